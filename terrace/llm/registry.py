@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import bpe, packing, token_store
+from terrace.llm import bpe, packing, simhash, token_store
 from terrace.llm.common import table
 from terrace.llm.tokens import default_tokenizer
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), default_tokenizer())
 
@@ -24,7 +28,7 @@ def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_bpe, op7_packing, op8_token_store)}
+    return {f.__name__: f for f in (op1_simhash, op3_bpe, op7_packing, op8_token_store)}
 
 
 def oracle_sql() -> dict[str, str]:
