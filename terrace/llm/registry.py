@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import bpe, packing, simhash, token_store
+from terrace.llm import bpe, language, packing, simhash, token_store, toxicity
 from terrace.llm.common import table
 from terrace.llm.tokens import default_tokenizer
 
@@ -15,6 +15,14 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.document_languages(table(spark, sf_dir, "documents"))
+
+
+def op2_language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.page_languages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), default_tokenizer())
 
@@ -27,8 +35,12 @@ def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.store_and_check(table(spark, sf_dir, "documents"), default_tokenizer())
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op3_bpe, op7_packing, op8_token_store)}
+    return {f.__name__: f for f in (op1_simhash, op2_language_id, op2_language_id_pages, op3_bpe, op7_packing, op8_token_store, op9_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:

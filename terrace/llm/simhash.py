@@ -192,5 +192,5 @@ def keep_one(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
     Rows that share a doc_id count as one document.
     """
-    kept = near_duplicates(docs, distance).where("doc_id = component_id").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi")
+    kept = near_duplicates(docs, distance).where("doc_id <=> component_id").select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left_semi")
