@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import bpe, language, packing, simhash, token_store, toxicity
+from terrace.llm import bpe, html_text, language, media, packing, simhash, token_store, toxicity, url_filter
 from terrace.llm.common import table
 from terrace.llm.tokens import default_tokenizer
 
@@ -27,6 +27,14 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), default_tokenizer())
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_pages(table(spark, sf_dir, "pages"))
+
+
+def op6_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.digests(table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), default_tokenizer())
 
@@ -39,9 +47,13 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_language_id, op2_language_id_pages, op3_bpe, op7_packing, op8_token_store, op9_toxicity)}
+    return {f.__name__: f for f in (op1_simhash, op2_language_id, op2_language_id_pages, op3_bpe, op5_url_filter, op6_media, op7_packing, op8_token_store, op9_toxicity, op10_html_text)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_url_filter": url_filter.FILTER_SQL}
