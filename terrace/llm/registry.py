@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from terrace.llm import bpe, html_text, language, media, packing, simhash, token_store, toxicity, url_filter
+from terrace.llm import bpe, html_text, language, media, packing, simhash, token_store, topk, toxicity, url_filter
 from terrace.llm.common import table
 from terrace.llm.tokens import default_tokenizer
 
@@ -27,6 +29,10 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), default_tokenizer())
 
 
+def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_pages(table(spark, sf_dir, "pages"))
 
@@ -51,9 +57,13 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_language_id, op2_language_id_pages, op3_bpe, op5_url_filter, op6_media, op7_packing, op8_token_store, op9_toxicity, op10_html_text)}
+    return {f.__name__: f for f in (op1_simhash, op2_language_id, op2_language_id_pages, op3_bpe, op4_top_k, op5_url_filter, op6_media, op7_packing, op8_token_store, op9_toxicity, op10_html_text, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_url_filter": url_filter.FILTER_SQL}
+    return {"op4_top_k": topk.TOPK_SQL, "op5_url_filter": url_filter.FILTER_SQL}
