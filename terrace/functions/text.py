@@ -169,7 +169,7 @@ def absolute_url(href: Column, base: Column) -> Column:
 
 
 def duration_ms(start: Column, end: Column) -> Column:
-    return F.floor((F.unix_micros(end) - F.unix_micros(start)) / 1000).cast("bigint")
+    return F.floor((F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))) / 1000).cast("bigint")
 
 
 # Month names as the bank's calendar shows them.

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrace.functions.text import duration_ms
+
 
 def _row(table: str, check: str, failing: Column, total: Column, status: Column) -> Column:
     return F.struct(F.lit(table).alias("table_name"), F.lit(check).alias("check_name"), status.alias("status"), failing.cast("bigint").alias("n_failing"), total.cast("bigint").alias("n_total"))
@@ -75,5 +77,5 @@ def load_log(events: DataFrame) -> DataFrame:
     end = events.where(F.col("ended_at").isNotNull()).select(F.col("load_key").alias("_k"), F.col("ended_at").alias("_e"), F.struct("ended_at", "status", "n_rows", "message").alias("_v"))
     joined = start.join(end, (F.col("load_key") == F.col("_k")) & (F.col("_e") >= F.col("started_at")), "left")
     state = joined.groupBy("load_key", "started_at").agg(F.min_by("_v", "_e").alias("v"))
-    ms = F.floor((F.unix_micros("v.ended_at") - F.unix_micros("started_at")) / 1000)
+    ms = duration_ms(F.col("started_at"), F.col("v.ended_at"))
     return state.select("load_key", "started_at", F.col("v.ended_at").alias("ended_at"), F.coalesce("v.status", F.lit("RUNNING")).alias("status"), F.col("v.n_rows").alias("n_rows"), F.col("v.message").alias("message"), ms.alias("duration_ms"))

@@ -1,4 +1,6 @@
-"""The registered queries and their SQL."""
+"""All registered queries and their SQL."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from terrace.plans import casting, enrichment, loads, relational  # noqa: F401
+from terrace.plans.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
