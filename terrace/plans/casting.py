@@ -18,16 +18,18 @@ def _rates(c):
 
 @query(f"""
 WITH r AS (SELECT c_nationkey, c_mktsegment, {_RATES} AS rate FROM customer),
-v AS (SELECT c_nationkey, c_mktsegment, CAST(replace(rate, ',', '.') AS DECIMAL(14,2)) AS x FROM r WHERE rate <> '-'),
-g AS (SELECT c_nationkey, c_mktsegment, count(*) AS n, sum(x) AS s FROM v GROUP BY ALL)
-SELECT c_nationkey, c_mktsegment, n AS n_rates, CAST(round(s / n, 2) AS DOUBLE) AS avg_rate, n_name, r_name
+v AS (SELECT c_nationkey, c_mktsegment, CAST(CAST(replace(rate, ',', '.') AS DECIMAL(14,2)) * 100 AS BIGINT) AS x FROM r WHERE rate <> '-'),
+g AS (SELECT c_nationkey, c_mktsegment, count(*) AS n, CAST(sum(x) AS BIGINT) AS s FROM v GROUP BY ALL)
+SELECT c_nationkey, c_mktsegment, n AS n_rates, CAST(sign(s) * ((2 * abs(s) + n) // (2 * n)) AS DOUBLE) / 100 AS avg_rate, n_name, r_name
 FROM g LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey""")
 def flagship_rollup(spark, d):
     """Rates parsed, placeholders rejected, counted and averaged by group, names attached after the grouping."""
     rates = _rates(table(spark, d, "customer"))
     parsed = rates.withColumn("x", casts.placeholder_decimal(F.col("rate"), 2).cast("decimal(14,2)"))
     valid, _ = quarantine.split(parsed, [("rate missing", F.col("x").isNotNull())])
-    grouped = valid.groupBy("c_nationkey", "c_mktsegment").agg(F.count("*").alias("n_rates"), F.round(F.sum("x").cast("double") / F.count("*"), 2).alias("avg_rate"))
+    grouped = valid.groupBy("c_nationkey", "c_mktsegment").agg(F.count("*").alias("n_rates"), F.sum((F.col("x") * 100).cast("bigint")).alias("cents"))
+    # rounded half away from zero in whole cents, so that no engine's floating point decides a tie
+    grouped = grouped.withColumn("avg_rate", F.expr("CAST(sign(cents) * ((2 * abs(cents) + n_rates) DIV (2 * n_rates)) AS DOUBLE) / 100")).drop("cents")
     nations = table(spark, d, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
     regions = table(spark, d, "region").withColumnRenamed("r_regionkey", "n_regionkey")
     return enrich.lookup(enrich.lookup(grouped, nations, "c_nationkey", ["n_name", "n_regionkey"]), regions, "n_regionkey", ["r_name"]).drop("n_regionkey")
