@@ -8,7 +8,6 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,9 +44,18 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def numeric_id(df: DataFrame, name: str) -> DataFrame:
-    """``df`` with column ``name`` as a long."""
-    return df.withColumn(name, F.col(name).cast(T.LongType()))
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have, beginning with ``name``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def semi_join(df: DataFrame, kept: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The rows of ``df`` whose key, a number or null, is in the only column of ``kept``."""
+    name = free_name(df, "_kept")
+    return df.join(kept.toDF(name).distinct(), F.col(key).cast("long").eqNullSafe(F.col(name)), "left_semi")
 
 
 def binary_rows(batch: pa.RecordBatch, name: str) -> list[bytes]:

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrace.llm.common import binary_rows, slices, stored
+from terrace.llm.common import binary_rows, semi_join, slices, stored
 from terrace.llm.tokens import ChunkMemo, chunks_of, text_blocks
 from terrace.llm.toxicity import held_out
 
@@ -191,5 +191,4 @@ def page_languages(pages: DataFrame, docs: DataFrame) -> DataFrame:
 
 def keep_identified(docs: DataFrame) -> DataFrame:
     """The documents whose language is accepted, with their columns as they were."""
-    accepted = document_languages(docs).where("accepted").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(accepted, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left_semi")
+    return semi_join(docs, document_languages(docs).where("accepted").select("doc_id"))

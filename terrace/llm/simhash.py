@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.common import binary_rows, slices, stored
+from terrace.llm.common import binary_rows, semi_join, slices, stored
 from terrace.llm.components import components
 
 DISTANCE = 3
@@ -192,5 +192,4 @@ def keep_one(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
     Rows that share a doc_id count as one document.
     """
-    kept = near_duplicates(docs, distance).where("doc_id <=> component_id").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left_semi")
+    return semi_join(docs, near_duplicates(docs, distance).where("doc_id <=> component_id").select("doc_id"))

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrace.llm.common import binary_rows, slices, stored
+from terrace.llm.common import binary_rows, free_name, slices, stored
 
 #: Labelled rows that the lexicon and the score are fitted on, at most.
 SAMPLE_ROWS = 20_000
@@ -181,7 +181,7 @@ def _fit(sample: DataFrame, model: Model) -> tuple[float, ...]:
 
 def with_scores(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     """All columns of ``docs`` and the score of ``text`` as column ``name``, which replaces one so called."""
-    docs = docs.drop(name)
+    docs = docs.drop(name).withColumn("text", F.col("text").cast("string"))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -199,4 +199,5 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_civil(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that aren't predicted toxic, with their columns."""
-    return with_scores(docs, learn(docs, labels), "_score").where(F.col("_score") < THRESHOLD).drop("_score")
+    score = free_name(docs, "_score")
+    return with_scores(docs, learn(docs, labels), score).where(F.col(score) < THRESHOLD).drop(score)
