@@ -42,14 +42,13 @@ def prefix_match(zones: DataFrame, places: DataFrame, zone_name: str, place_name
     ``startswith`` alone would need a nested loop. Names of PREFIX letters join on these letters; shorter
     ones join on their own length, so none is lost. Wildcard marks in names mean themselves.
     """
-    z = zones.withColumn("_z", normalize_name(F.col(zone_name))).withColumn("_row", F.monotonically_increasing_id())
-    keyed = z.where(F.col("_z") != "").withColumn("_k", F.substring("_z", 1, PREFIX))
+    z = zones.withColumn("_z", normalize_name(F.col(zone_name))).withColumn("_at", F.col(level))
+    names = z.where(F.col("_z") != "").select("_z", "_at").distinct().withColumn("_k", F.substring("_z", 1, PREFIX))
     p = places.select(F.col(level).alias("_level"), F.col(place_id).alias("matched_id"), F.col(place_name).alias("matched_name"), normalize_name(F.col(place_name)).alias("_p"))
-    lengths = F.explode(F.sequence(F.lit(1), F.lit(PREFIX)))
-    p = p.withColumn("_n", lengths).where(F.length("_p") >= F.col("_n")).withColumn("_pk", F.col("_p").substr(F.lit(1), F.col("_n")))
-    met = keyed.join(p, (F.col(level) == F.col("_level")) & (F.col("_k") == F.col("_pk")) & F.col("_p").startswith(F.col("_z")))
-    best = met.groupBy("_row").agg(F.min(F.struct(F.length("_p").alias("_l"), "matched_id", "matched_name")).alias("_m"))
-    return z.join(best, "_row", "left").select(*zones.columns, "_m.matched_id", "_m.matched_name")
+    p = p.withColumn("_n", F.explode(F.sequence(F.lit(1), F.lit(PREFIX)))).where(F.length("_p") >= F.col("_n")).withColumn("_pk", F.col("_p").substr(F.lit(1), F.col("_n")))
+    met = names.join(p, (F.col("_at") == F.col("_level")) & (F.col("_k") == F.col("_pk")) & F.col("_p").startswith(F.col("_z")))
+    best = met.groupBy("_z", "_at").agg(F.min(F.struct(F.length("_p").alias("_l"), "matched_id", "matched_name")).alias("_m"))
+    return z.join(best, ["_z", "_at"], "left").select(*zones.columns, "_m.matched_id", "_m.matched_name")
 
 
 def match_by_name(df: DataFrame, dim: DataFrame, name: str, dim_name: str, dim_id: str) -> DataFrame:

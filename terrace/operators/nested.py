@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrace.functions.text import collapse, fold_header
@@ -33,8 +33,7 @@ def find_field(df: DataFrame, json: str, field: str, depth: int, keep: list[str]
     at = df.select(*keep, F.try_parse_json(json).alias("v"))
     found = []
     for level in range(1, depth + 1):
-        at.createOrReplaceTempView("_find_field")
-        spread = at.sparkSession.sql(f"SELECT {', '.join(f't.`{k}`' for k in keep)}, e.key AS k, e.value AS v FROM _find_field t, LATERAL variant_explode(t.v) e")
+        spread = at.sparkSession.sql(f"SELECT {', '.join(f't.`{k}`' for k in keep)}, e.key AS k, e.value AS v FROM {{at}} t, LATERAL variant_explode(t.v) e", at=at)
         found.append(spread.where(F.col("k") == field).select(*keep, F.lit(level).alias("depth"), F.to_json("v").alias("value")))
         at = spread.select(*keep, "v")
     return reduce(DataFrame.unionByName, found)
@@ -121,8 +120,6 @@ def with_period(record: Column, period: Column, key: str = "periode") -> Column:
 
 def sheet_records(df: DataFrame, record: str, keep: list[str], position: str) -> DataFrame:
     """Records without their null cells; those with none left are dropped, the rest numbered from 1 by keep."""
-    from pyspark.sql import Window
-
     full = df.select(*keep, position, F.map_filter(F.col(record), lambda k, v: v.isNotNull()).alias("record")).where(F.size("record") > 0)
     return full.withColumn("row_number", F.row_number().over(Window.partitionBy(*keep).orderBy(position))).drop(position)
 

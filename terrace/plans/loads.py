@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from terrace.operators import enrich, incremental
-from terrace.plans.registry import query, shared_path, table
+from terrace.plans.registry import query, table
 from terrace.sources import readers, sinks
+from terrace.sources.storage import shared_path
 from terrace.streaming.upsert import stream_upsert
 
 

@@ -28,17 +28,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the folder that driver and executors share, removed when the application ends."""
-    import uuid
-
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
-    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return path
-
-
 def text2(x: str) -> Column:
     """A number as text with two decimals: '711.56'."""
     return F.col(x).cast("decimal(14,2)").cast("string")
@@ -47,7 +36,3 @@ def text2(x: str) -> Column:
 def french(x: str) -> Column:
     """'711,56'."""
     return F.replace(text2(x), F.lit("."), F.lit(","))
-
-
-def no_time(ts: str) -> Column:
-    return F.to_date(ts)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from terrace.functions.casts import INTEGER, NUMBER
 from terrace.operators.dedup import dedup_latest
+from terrace.sources.storage import stored
 
 
 def full_load(df: DataFrame, path: str) -> DataFrame:
@@ -69,9 +70,10 @@ def surrogate_key(df: DataFrame, order: list[str], name: str = "id") -> DataFram
     """Numbers 1, 2, ... in the order of ``order``, without one task that sees all rows.
 
     Rows are range partitioned; each partition numbers its own rows after the count of those before.
+    The partitioned rows are stored, as a second computation might draw other bounds.
     """
     part, local = "_part", "_local"
-    ranged = df.repartitionByRange(*order).withColumn(part, F.spark_partition_id())
+    ranged = stored(df.repartitionByRange(*order).withColumn(part, F.spark_partition_id()), "ranged")
     numbered = ranged.withColumn(local, F.row_number().over(Window.partitionBy(part).orderBy(*order)))
     sizes = numbered.groupBy(part).agg(F.max(local).alias("_n"))
     before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
