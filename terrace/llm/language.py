@@ -27,17 +27,19 @@ from terrace.llm.common import binary_rows, semi_join, slices, stored
 from terrace.llm.tokens import ChunkMemo, chunks_of, text_blocks
 from terrace.llm.toxicity import held_out
 
-#: Labelled rows that the likelihoods are learnt from, at most, letters read of all, and trigrams kept a language.
+#: Labelled rows that the likelihoods are learnt from, at most, and trigrams kept a language.
 SAMPLE_ROWS, TRIGRAMS = 4_000, 30_000
 #: Text counts as so many independent trigrams at most; weights of domain and table in a host's prior.
 INDEPENDENT, HOST_WEIGHT, DOMAIN_WEIGHT = 40.0, 20.0, 50.0
+#: Chunks whose trigrams are looked up at a time.
+COUNTED = 50_000
 #: A language is accepted from this posterior on.
 LEAST_POSTERIOR = 0.5
 
 
 def trigrams(word: str) -> list[str]:
     """Letter trigrams of a word between blanks, its other characters left out."""
-    w = f" {''.join(c for c in word if c.isalpha())} ".lower()
+    w = f" {word if word.isalpha() else ''.join(c for c in word if c.isalpha())} ".lower()
     return [w[i : i + 3] for i in range(len(w) - 2)] if len(w) > 2 else []
 
 
@@ -49,14 +51,23 @@ class Likelihoods:
         every = sorted({g for c in counts.values() for g in c})
         table = np.array([[counts[la][g] for la in self.languages] for g in every], dtype=float).reshape(len(every), len(self.languages))
         total = table.sum(axis=0) + 0.5 * (len(every) + 1)
-        self.unseen = np.log(0.5 / total)
-        self.of = dict(zip(every, np.log((table + 0.5) / total).astype(np.float32), strict=True))
-
-    def word(self, chunk: bytes) -> bytes:
-        """(number of trigrams, log probability by language) as packed floats."""
-        grams = trigrams(chunk.decode("utf-8", "replace"))
-        logs = sum((self.of.get(g, self.unseen) for g in grams), np.zeros(len(self.languages)))
-        return np.r_[len(grams), logs].astype("<f4").tobytes()
+        self.place = {g: k + 1 for k, g in enumerate(every)}
+        #: Row 0: a trigram that wasn't seen.
+        self.logs = np.vstack([np.log(0.5 / total), np.log((table + 0.5) / total)])
+
+    def chunks(self, chunks: list[bytes]) -> list[bytes]:
+        """(number of trigrams, log probability by language) of each chunk, as packed floats."""
+        if len(chunks) > COUNTED:
+            return [x for k in range(0, len(chunks), COUNTED) for x in self.chunks(chunks[k : k + COUNTED])]
+        place, at, ends = self.place, [], []
+        for c in chunks:
+            at += [place.get(g, 0) for g in trigrams(c.decode("utf-8", "replace"))]
+            ends.append(len(at))
+        upto = np.vstack([np.zeros(len(self.languages)), np.cumsum(self.logs[np.array(at, dtype=np.int64)], axis=0)])
+        ends = np.array(ends, dtype=np.int64)
+        starts = np.concatenate([[0], ends[:-1]])
+        packed = np.column_stack([ends - starts, upto[ends] - upto[starts]]).astype("<f4")
+        return [x.tobytes() for x in packed]
 
 
 def learn(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Likelihoods:
@@ -94,7 +105,7 @@ def with_text_evidence(rows: DataFrame, model: Likelihoods, text_col: str = "tex
     width = len(model.languages) + 1
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = ChunkMemo(lambda chunks: [model.word(c) for c in chunks])
+        memo = ChunkMemo(model.chunks)
         for batch in (x for b in batches for x in text_blocks(b, text_col)):
             begin, number, distinct = chunks_of(batch.column(len(kept)))
             table = np.frombuffer(b"".join(memo.of(distinct)), "<f4").reshape(-1, width).astype(np.float64)
