@@ -162,16 +162,18 @@ def short_code_geocode(spark, d):
     return found.select("c_custkey", F.round("lat", 9).alias("lat"), F.round("lon", 9).alias("lon"))
 
 
-@query("""SELECT 1 AS level, r_name AS name, CAST(r_regionkey AS BIGINT) AS code, NULL AS name_1, NULL AS name_2 FROM region
-UNION ALL SELECT 2, n_name, CAST(n_nationkey AS BIGINT), r_name, NULL FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 6 <> 0
-UNION ALL SELECT 3, s_name, s_suppkey, r_name, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
+@query("""WITH s AS (SELECT s_suppkey // 64 AS batch, * FROM supplier JOIN nation ON s_nationkey = n_nationkey)
+SELECT DISTINCT 1 AS level, 'batch ' || batch AS name, batch AS code, NULL AS name_1, NULL AS name_2 FROM s
+UNION ALL SELECT DISTINCT 2, n_name, CAST(n_nationkey AS BIGINT), 'batch ' || batch, NULL FROM s WHERE n_nationkey % 6 <> 0
+UNION ALL SELECT 3, s_name, s_suppkey, 'batch ' || batch, n_name FROM s""")
 def tree_flatten(spark, d):
-    """Region, nation, supplier nested and flattened; each sixth nation lacks a centroid."""
-    s = table(spark, d, "supplier").groupBy("s_nationkey").agg(F.collect_list(F.struct(F.col("s_name").alias("name"), F.col("s_suppkey").alias("code"), F.lit(1.0).alias("centroid"))).alias("children"))
+    """Batches of 64 suppliers nested by nation and flattened; each sixth nation lacks a centroid. No tree grows with the table."""
+    s = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).withColumn("batch", F.floor(F.col("s_suppkey") / 64))
+    leaves = s.groupBy("batch", "n_nationkey", "n_name").agg(F.collect_list(F.struct(F.col("s_name").alias("name"), F.col("s_suppkey").alias("code"), F.lit(1.0).alias("centroid"))).alias("children"))
     centroid = F.when(F.col("n_nationkey") % 6 != 0, F.lit(1.0))
-    n = table(spark, d, "nation").join(s, F.col("n_nationkey") == F.col("s_nationkey"), "left").groupBy("n_regionkey").agg(F.collect_list(F.struct(F.col("n_name").alias("name"), F.col("n_nationkey").cast("bigint").alias("code"), centroid.alias("centroid"), "children")).alias("children"))
-    r = table(spark, d, "region").join(n, F.col("r_regionkey") == F.col("n_regionkey"), "left").select(F.struct(F.col("r_name").alias("name"), F.col("r_regionkey").cast("bigint").alias("code"), F.lit(1.0).alias("centroid"), "children").alias("root"))
-    return nested.flatten_tree(r, "root", 3, ["name", "code"], "centroid")
+    nations = leaves.groupBy("batch").agg(F.collect_list(F.struct(F.col("n_name").alias("name"), F.col("n_nationkey").cast("bigint").alias("code"), centroid.alias("centroid"), "children")).alias("children"))
+    root = F.struct(F.concat(F.lit("batch "), F.col("batch").cast("string")).alias("name"), F.col("batch").alias("code"), F.lit(1.0).alias("centroid"), "children")
+    return nested.flatten_tree(nations.select(root.alias("root")), "root", 3, ["name", "code"], "centroid")
 
 
 @query("SELECT p_partkey, CAST(p_partkey % 3 + 1 AS INT) AS depth, CAST(p_size AS VARCHAR) AS value FROM part")
@@ -200,29 +202,29 @@ def header_merge(spark, d):
     return table(spark, d, "part").select("p_partkey", *(F.get(h, F.lit(k)).alias(f"h{k + 1}") for k in range(3)))
 
 
-@query("SELECT o_custkey, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS INT) AS line, CAST(o_orderkey AS VARCHAR) AS a, o_orderstatus AS b FROM orders")
+@query("SELECT o_orderkey // 64 AS batch, CAST(row_number() OVER (PARTITION BY o_orderkey // 64 ORDER BY o_orderkey) AS INT) AS line, CAST(o_orderkey AS VARCHAR) AS a, o_orderstatus AS b FROM orders")
 def cell_expand(spark, d):
-    """A customer's orders as lines of two cells, and back."""
-    o = table(spark, d, "orders").groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderstatus"))).alias("os"))
+    """Batches of 64 order keys as lines of two cells, and back."""
+    o = table(spark, d, "orders").groupBy(F.floor(F.col("o_orderkey") / 64).alias("batch")).agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderstatus"))).alias("os"))
     joined = lambda f: F.array_join(F.transform("os", lambda x: x[f].cast("string")), "\n")
-    rows = o.select("o_custkey", F.array(joined("o_orderkey"), joined("o_orderstatus")).alias("row"))
-    e = nested.expand_cells(rows, "row", ["o_custkey"])
-    return e.select("o_custkey", "line", F.get("row", F.lit(0)).alias("a"), F.get("row", F.lit(1)).alias("b"))
+    rows = o.select("batch", F.array(joined("o_orderkey"), joined("o_orderstatus")).alias("row"))
+    e = nested.expand_cells(rows, "row", ["batch"])
+    return e.select("batch", "line", F.get("row", F.lit(0)).alias("a"), F.get("row", F.lit(1)).alias("b"))
 
 
 def _grids(s):
-    """A nation's suppliers as a grid with a two-row header, a blank row and a total."""
+    """Batches of 64 supplier keys of a nation as grids with a two-row header, a blank row and a total."""
     row = lambda *cells: F.array(*(F.lit(c) for c in cells))
     data = F.transform(F.array_sort(F.collect_list(F.struct("s_suppkey", "s_name", text2("s_acctbal").alias("m")))), lambda x: F.array(x["s_suppkey"].cast("string"), x["s_name"], x["m"]))
-    g = s.groupBy("s_nationkey").agg(data.alias("rows"))
-    return g.select("s_nationkey", F.concat(F.array(row("Code", "Nom", "Depots"), row("", "", "Montant")), F.col("rows"), F.array(row("", "", ""), row("Total général", "", "9"))).alias("grid"))
+    g = s.groupBy("s_nationkey", F.floor(F.col("s_suppkey") / 64).alias("batch")).agg(data.alias("rows"))
+    return g.select("s_nationkey", "batch", F.concat(F.array(row("Code", "Nom", "Depots"), row("", "", "Montant")), F.col("rows"), F.array(row("", "", ""), row("Total général", "", "9"))).alias("grid"))
 
 
-@query("SELECT s_nationkey, CAST(row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS INT) AS row_number, CAST(s_suppkey AS VARCHAR) AS code, CAST(CAST(s_acctbal AS DECIMAL(14,2)) AS VARCHAR) AS amount, '12-2025' AS periode FROM supplier")
+@query("SELECT s_nationkey, s_suppkey // 64 AS batch, CAST(row_number() OVER (PARTITION BY s_nationkey, s_suppkey // 64 ORDER BY s_suppkey) AS INT) AS row_number, CAST(s_suppkey AS VARCHAR) AS code, CAST(CAST(s_acctbal AS DECIMAL(14,2)) AS VARCHAR) AS amount, '12-2025' AS periode FROM supplier")
 def grid_records(spark, d):
-    r = nested.table_rows(_grids(table(spark, d, "supplier")), "grid", ["s_nationkey"])
+    r = nested.table_rows(_grids(table(spark, d, "supplier")), "grid", ["s_nationkey", "batch"])
     r = r.withColumn("record", nested.with_period(F.col("record"), text.period_from_title(F.lit("Repartition 12-2025"))))
-    return r.select("s_nationkey", "row_number", *(F.try_element_at("record", F.lit(k)).alias(n) for k, n in (("Code", "code"), ("Depots Montant", "amount"), ("periode", "periode"))))
+    return r.select("s_nationkey", "batch", "row_number", *(F.try_element_at("record", F.lit(k)).alias(n) for k, n in (("Code", "code"), ("Depots Montant", "amount"), ("periode", "periode"))))
 
 
 @query("SELECT CAST(s_nationkey AS INT) AS s_nationkey, CAST(count(*) AS BIGINT) AS n_rows FROM supplier GROUP BY s_nationkey")
@@ -232,22 +234,22 @@ def total_rows_dropped(spark, d):
     return kept.groupBy("s_nationkey").agg(F.count("*").alias("n_rows"))
 
 
-@query("SELECT p_brand, CAST(row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS INT) AS row_number, CAST(p_partkey AS VARCHAR) AS k, CASE WHEN p_size > 25 THEN CAST(p_size AS VARCHAR) END AS size FROM part WHERE p_partkey % 5 <> 0")
+@query("SELECT p_partkey // 64 AS sheet, CAST(row_number() OVER (PARTITION BY p_partkey // 64 ORDER BY p_partkey) AS INT) AS row_number, CAST(p_partkey AS VARCHAR) AS k, CASE WHEN p_size > 25 THEN CAST(p_size AS VARCHAR) END AS size FROM part WHERE p_partkey % 5 <> 0")
 def sheet_records(spark, d):
-    """Each fifth sheet row is all null; small sizes are null cells."""
+    """Sheets of 64 part keys: each fifth row is all null, small sizes are null cells."""
     full = F.col("p_partkey") % 5 != 0
     record = F.map_from_arrays(F.array(F.lit("k"), F.lit("size")), F.array(F.when(full, F.col("p_partkey").cast("string")), F.when(full & (F.col("p_size") > 25), F.col("p_size").cast("string"))))
-    r = nested.sheet_records(table(spark, d, "part").withColumn("record", record), "record", ["p_brand"], "p_partkey")
-    return r.select("p_brand", "row_number", F.try_element_at("record", F.lit("k")).alias("k"), F.try_element_at("record", F.lit("size")).alias("size"))
+    r = nested.sheet_records(table(spark, d, "part").withColumns({"record": record, "sheet": F.floor(F.col("p_partkey") / 64)}), "record", ["sheet"], "p_partkey")
+    return r.select("sheet", "row_number", F.try_element_at("record", F.lit("k")).alias("k"), F.try_element_at("record", F.lit("size")).alias("size"))
 
 
-@query("SELECT o_custkey AS page_id, CAST(o_orderkey AS VARCHAR) AS code, o_orderstatus AS status, CAST(CAST(o_totalprice AS DECIMAL(14,2)) AS VARCHAR) AS amount FROM orders")
+@query("SELECT o_orderkey // 64 AS page_id, CAST(o_orderkey AS VARCHAR) AS code, o_orderstatus AS status, CAST(CAST(o_totalprice AS DECIMAL(14,2)) AS VARCHAR) AS amount FROM orders")
 def html_tables(spark, d):
-    """Orders rendered as HTML beside another table, cells taken out, the marked table chosen, records built."""
+    """Batches of 64 order keys rendered as HTML beside another table, cells taken out, the marked table chosen, records built."""
     row = F.concat(F.lit("<tr><td>"), F.col("o_orderkey").cast("string"), F.lit("</td><td><b>"), F.col("o_orderstatus"), F.lit("</b></td><td>\n"), text2("o_totalprice"), F.lit("</tr>"))
-    g = table(spark, d, "orders").groupBy("o_custkey").agg(F.array_join(F.collect_list(row), "").alias("rows"))
+    g = table(spark, d, "orders").groupBy(F.floor(F.col("o_orderkey") / 64).alias("page_id")).agg(F.array_join(F.collect_list(row), "").alias("rows"))
     html = F.concat(F.lit("<table><tr><td>menu</td></tr></table><table><tr><th>Códe</th><th>Status</th><th>Amount</th></tr>"), F.col("rows"), F.lit("</table>"))
-    grids = pages.extract_html_tables(g.select(F.col("o_custkey").alias("page_id"), html.alias("html")))
+    grids = pages.extract_html_tables(g.select("page_id", html.alias("html")))
     chosen = grids.groupBy("page_id").agg(nested.choose_table(F.transform(F.array_sort(F.collect_list(F.struct("table_no", "grid"))), lambda t: t["grid"]), " CODE ").alias("grid"))
     r = nested.grid_records(chosen, "grid", ["page_id"])
     return r.select("page_id", *(F.try_element_at("record", F.lit(k)).alias(n) for k, n in (("Códe", "code"), ("Status", "status"), ("Amount", "amount"))))
