@@ -64,13 +64,12 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     The driver gets one number a shard, from the metadata columns alone.
     """
     rows = spark.read.schema(SCHEMA).parquet(path)
-    sizes = sorted((r["shard"], r["n"]) for r in rows.groupBy("shard").agg(F.sum("n_tokens").alias("n")).collect())
-    starts, total = [], 0
-    for shard, n in sizes:
-        starts.append((shard, total))
-        total += n
-    offsets = spark.createDataFrame(starts, "shard int, _before long")
-    return rows.join(offsets, "shard").select("doc_id", (F.col("_before") + F.col("first")).alias("start"), "n_tokens", "ids")
+    sizes = {r["shard"]: r["n"] for r in rows.groupBy("shard").agg(F.sum("n_tokens").alias("n")).collect()}
+    before = [0]
+    for shard in range(max(sizes, default=0)):
+        before.append(before[-1] + sizes.get(shard, 0))
+    # a literal of one number a shard: a join would shuffle the ids
+    return rows.select("doc_id", (F.get(F.lit(before).cast("array<bigint>"), F.col("shard")) + F.col("first")).alias("start"), "n_tokens", "ids")
 
 
 def checksums(tokens: DataFrame) -> DataFrame:
