@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import unicodedata
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 def _accents() -> tuple[str, str]:
@@ -29,6 +31,12 @@ def _ascii(x: Column) -> Column:
     return F.regexp_replace(x, r"[^\x00-\x7F]", "")
 
 
+@F.pandas_udf(StringType())
+def nfkc(x: pd.Series) -> pd.Series:
+    """Full compatibility normalisation and trim, for the few texts that need it; no built-in function does that."""
+    return x.str.normalize("NFKC").str.strip()
+
+
 def collapse(x: Column) -> Column:
     return F.trim(F.regexp_replace(x, r"\s+", " "))
 

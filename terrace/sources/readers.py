@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,6 +64,11 @@ def list_raw_pages(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "url", "html", F.sha2(F.coalesce("html", F.lit("")), 256).alias("content_sha256"), F.octet_length(F.coalesce("html", F.lit(""))).alias("size_bytes"))
 
 
+def new_batch_id() -> str:
+    """One id for all rows of a run."""
+    return str(uuid.uuid4())
+
+
 def with_audit(df: DataFrame, batch_id: str, source: str | Column, at: Column | None = None) -> DataFrame:
     """Audit columns: one batch id for the run, the source, the time of ingest (AUD-1)."""
     return df.withColumns({"_ingested_at": F.current_timestamp() if at is None else at, "_batch_id": F.lit(batch_id), "_source_file": F.lit(source) if isinstance(source, str) else source})
