@@ -247,7 +247,10 @@ def sheet_records(spark, d):
 def html_tables(spark, d):
     """Batches of 64 order keys rendered as HTML beside another table, cells taken out, the marked table chosen, records built."""
     row = F.concat(F.lit("<tr><td>"), F.col("o_orderkey").cast("string"), F.lit("</td><td><b>"), F.col("o_orderstatus"), F.lit("</b></td><td>\n"), text2("o_totalprice"), F.lit("</tr>"))
-    g = table(spark, d, "orders").groupBy(F.floor(F.col("o_orderkey") / 64).alias("page_id")).agg(F.array_join(F.collect_list(row), "").alias("rows"))
+    # dealt to a fixed number of tasks: parsing takes long for few bytes, and partitions are joined by their bytes
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = table(spark, d, "orders").withColumn("page_id", F.floor(F.col("o_orderkey") / 64)).repartition(tasks, "page_id")
+    g = dealt.groupBy("page_id").agg(F.array_join(F.collect_list(row), "").alias("rows"))
     html = F.concat(F.lit("<table><tr><td>menu</td></tr></table><table><tr><th>Códe</th><th>Status</th><th>Amount</th></tr>"), F.col("rows"), F.lit("</table>"))
     grids = pages.extract_html_tables(g.select("page_id", html.alias("html")))
     chosen = grids.groupBy("page_id").agg(nested.choose_table(F.transform(F.array_sort(F.collect_list(F.struct("table_no", "grid"))), lambda t: t["grid"]), " CODE ").alias("grid"))
