@@ -9,24 +9,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.llm import bpe, html_text, language, media, packing, simhash, token_store, topk, toxicity, url_filter
-from terrace.llm.common import table
+from terrace.llm.common import spread, table
 from terrace.llm.tokens import default_tokenizer
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole documents table, over all cores."""
+    return spread(table(spark, sf_dir, "documents"))
+
+
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return simhash.near_duplicates(_documents(spark, sf_dir))
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return language.document_languages(table(spark, sf_dir, "documents"))
+    return language.document_languages(_documents(spark, sf_dir))
 
 
 def op2_language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return language.page_languages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+    return language.page_languages(spread(table(spark, sf_dir, "pages")), _documents(spark, sf_dir))
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.digests(table(spark, sf_dir, "documents"), default_tokenizer())
+    return bpe.digests(_documents(spark, sf_dir), default_tokenizer())
 
 
 def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,23 +43,23 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.digests(table(spark, sf_dir, "documents"))
+    return media.digests(_documents(spark, sf_dir))
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"), default_tokenizer())
+    return packing.pack_documents(_documents(spark, sf_dir), default_tokenizer())
 
 
 def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_store.store_and_check(table(spark, sf_dir, "documents"), default_tokenizer())
+    return token_store.store_and_check(_documents(spark, sf_dir), default_tokenizer())
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return toxicity.toxicity(_documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html_text.extract(table(spark, sf_dir, "pages"))
+    return html_text.extract(spread(table(spark, sf_dir, "pages")))
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
