@@ -12,7 +12,7 @@ from terrace.operators.dedup import dedup_latest
 from terrace.operators.enrich import mark_existing, prefix_match
 from terrace.operators.quarantine import tag_rejects
 
-#: Zones of the dashboard's tree that are outside the statistical scope, in lower case.
+# Zones of the dashboard's tree that are outside the statistical scope, in lower case.
 OUT_OF_SCOPE = ("sebta", "mellilia", "melilla")
 ROOT_CODE = "MA"
 
@@ -49,6 +49,7 @@ def silver_zones(bronze: DataFrame, boundaries: DataFrame | None = None) -> Data
 def silver_indicators(bronze: DataFrame, zones: DataFrame) -> DataFrame:
     """Typed rows tagged with the reason of the first broken rule."""
     value = F.col("valeur")
+    # Reasons, and the shape of a number.
     rules = [
         ("code_zone_inconnu", F.col("_zone")),
         ("indicateur_vide", F.trim("indicateur") != ""),

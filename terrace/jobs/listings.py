@@ -15,6 +15,7 @@ from terrace.operators.quarantine import key_present, tag_rejects
 def silver_listings(bronze: DataFrame) -> DataFrame:
     """Typed listings, tagged; missing coordinates are rejected as not numeric."""
     lat, lon = casts.to_double(F.col("lat")), casts.to_double(F.col("lon"))
+    # Reasons and their order.
     rules = [
         ("place_id_manquant", key_present("place_id")),
         ("lat_lon_non_numerique", lat.isNotNull() & lon.isNotNull()),

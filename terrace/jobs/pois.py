@@ -31,6 +31,7 @@ def assign(points: DataFrame, boundaries: DataFrame, cell: float) -> DataFrame:
 def silver_pois(bronze: DataFrame) -> DataFrame:
     """Typed points, tagged."""
     lat, lon = casts.to_double(F.col("lat")), casts.to_double(F.col("lon"))
+    # Reasons and their order.
     rules = [
         ("osm_id manquant/non numerique", casts.to_int(F.col("osm_id")).isNotNull()),
         ("osm_type invalide", F.trim("osm_type").isin("node", "way", "relation")),

@@ -17,6 +17,7 @@ from terrace.sources.sinks import surrogate_key, upsert_ignore, upsert_update
 def silver_rates(bronze: DataFrame) -> DataFrame:
     """Exchange rates, typed and tagged; a placeholder is told apart from garbage."""
     rate, day = casts.to_double_fr(F.col("cours_moyen")), casts.to_date_fr(F.col("date_cours"))
+    # Reasons and their order.
     rules = [
         ("devise_code manquant", key_present("devise_code")),
         ("date_cours invalide (attendu JJ/MM/AAAA)", day.isNotNull()),

@@ -87,7 +87,7 @@ def expand_cells(df: DataFrame, row: str, keep: list[str]) -> DataFrame:
     return spread.select(*keep, "line", cells.alias("row"))
 
 
-#: Words one of which a header row holds.
+# Words one of which a header row holds.
 HEADER_WORDS = ("rayon", "localite", "code", "dépôts", "crédit", "nombre")
 
 

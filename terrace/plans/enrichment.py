@@ -272,6 +272,7 @@ def text_indicators(spark, d):
     k = F.col("doc_id") % 3
     added = F.when(k == 0, F.concat(F.lit(" La densité bancaire du pays ressort à "), F.col("n_chars").cast("string"))).when(k == 1, F.concat(F.lit(" Le nombre d'agences bancaires s'est accru pour ressortir à "), F.col("doc_id").cast("string"))).otherwise("")
     docs = table(spark, d, "documents").select("doc_id", F.concat("text", added).alias("text"), F.lit("Rapport annuel 2024").alias("title"))
+    # Patterns of the report's sentences.
     patterns = {"density": [r"(?i)densit[ée]\s+bancaire[^.]{0,120}?ressort\s*à\s*([0-9.,\s]+)"], "agencies": [r"(?i)nombre\s+d.agences\s+bancaires[^.]{0,120}?ressortir\s*à\s*([0-9.,\s]+)"]}
     return pages.text_indicators(docs, "text", "title", patterns, ["doc_id"])
 
