@@ -1,7 +1,11 @@
-"""The pipeline against its stages applied by hand."""
+"""The pipeline against its stages' definitions, applied by brute force where that is possible."""
+
+import math
+
+from test_operators import brute_components, brute_fingerprint, check_packing
 
 import corpus_pipeline
-from terrace.llm import registry
+from terrace.llm import language, registry, toxicity
 from terrace.llm.common import table
 
 DATA = "/root/testdata/sf0.001"
@@ -9,16 +13,31 @@ DATA = "/root/testdata/sf0.001"
 
 def test_stages_take_effect(spark):
     docs = table(spark, DATA, "documents")
-    kept = docs
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        out = stage(spark, kept, DATA)
-        assert out.columns == docs.columns, name
-        rows = {r["doc_id"] for r in out.collect()}
-        assert rows <= {r["doc_id"] for r in kept.collect()} and rows
-        kept = docs.where(docs["doc_id"].isin(list(rows)))
-    packed = corpus_pipeline.run(spark, DATA)
-    assert {r["doc_id"] for r in packed.select("doc_id").distinct().collect()} == {r["doc_id"] for r in kept.collect()}
-    assert kept.count() < docs.count()
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    stages = dict(corpus_pipeline.STAGES)
+
+    identified = stages["language"](spark, docs, DATA)
+    assert identified.columns == docs.columns
+    expected = {r["doc_id"] for r in language.document_languages(docs).where("accepted").collect()}
+    assert {r["doc_id"] for r in identified.collect()} == expected
+
+    civil = stages["toxicity"](spark, identified, DATA)
+    assert civil.columns == docs.columns
+    toxic = {r["doc_id"] for r in toxicity.toxicity(identified, table(spark, DATA, "labels")).where("predicted = 1").collect()}
+    expected -= toxic
+    assert toxic and {r["doc_id"] for r in civil.collect()} == expected
+
+    single = stages["near_duplicates"](spark, civil, DATA)
+    assert single.columns == docs.columns
+    prints = {k: brute_fingerprint(texts[k]) for k in sorted(expected)}
+    roots, first = brute_components(set(prints.values())), {}
+    for k, p in prints.items():
+        first.setdefault(roots[p], k)
+    assert {r["doc_id"] for r in single.collect()} == set(first.values()) < expected
+
+    rows = corpus_pipeline.run(spark, DATA).collect()
+    n, total = check_packing(rows, {k: texts[k] for k in first.values()}, 2048)
+    assert n <= math.ceil(total / 2048) * 1.02 + 1
 
 
 def test_every_operator_is_registered():
