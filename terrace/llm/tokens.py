@@ -17,9 +17,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Chunks in a generation of a worker's memo, which keeps two. Longer chunks aren't kept.
-MEMO_CHUNKS, MEMO_BYTES = 400_000, 40
+MEMO_CHUNKS, MEMO_BYTES = 250_000, 40
 #: Bytes of text that are split at a time (a longer text alone).
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 10 << 20
 #: A letter followed by one of these always ends a pre-token, and each is a pre-token if it ends its chunk.
 MARKS = ".,;:!?"
 
