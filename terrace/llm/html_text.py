@@ -6,7 +6,9 @@ labelled blocks says which blocks are content. What the markup itself says comes
 styles, forms and other invisible or interactive parts hold no text blocks, blocks inside navigation,
 header, footer, sidebar or complementary elements, or ones whose class or id names a notice, advert,
 menu or comments, carry that as a feature, and where a page marks an article, blocks outside it
-carry that.
+carry that. A name is a weak sign: prefixes such as "with-" or "tag-" void it, an article or main element
+sheds those around it where most of the articles' words would go, and names count for nothing where
+they would leave nothing of a page.
 
 Defined results: null or empty HTML, and a page without content blocks, give an empty text; unclosed
 tags end with their page; a page without any tag is one block; repeated rows give repeated results;
@@ -33,6 +35,8 @@ BLOCKS = frozenset("address article aside blockquote body caption center dd deta
 BOILERPLATE = frozenset("nav header footer aside menu dialog".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 NAMES = re.compile(r"(?i)(?<![a-z])(ads?|advert\w*|banner|breadcrumbs?|comments?|cookies?|consent|disqus|disclaimer|foot(er)?|gdpr|head(er)?|login|masthead|menus?|modal|nav(bar|igation)?|newsletter|notices?|popup|promo\w*|related|replies|reply|respond|share|sharing|sidebar|signup|skip|social|sponsor\w*|subscribe|tags?|toolbar|widget)(?![a-z])")
+#: Class or id tokens that say how an element looks or is filed, not that it is what they name.
+MODIFIERS = re.compile(r"(?i)(with(out)?|has|have|no|not|non|is|hide|show|layout|category|cat)[-_]|tags?[-_](?!(cloud|list|links?)\b)|related[-_]works?\b")
 ROLES = re.compile(r"(?i)\brole\s*=\s*[\"']?(navigation|banner|contentinfo|complementary|search|dialog|alert|menu)")
 
 _TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<({'|'.join(SKIPPED)})\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*(?<!/)>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\"<>])*)(>|(?=<)|\Z)|<[!?][^>]*(?:>|\Z)", re.S | re.I)
@@ -48,16 +52,23 @@ class Block:
     boilerplate: bool
     article: bool
     heading: bool
+    named: bool = False  # by a class or id inside the innermost article or main, or anywhere if there is none
+    around: bool = False  # by a class or id of such an element or around it
+
+
+def _named(attributes: str) -> bool:
+    tokens = " ".join(x[0] or x[1] or x[2] for x in _ATTRIBUTE.findall(attributes)).split()
+    return any(NAMES.search(x) and not MODIFIERS.match(x) for x in tokens)
 
 
 def blocks(source: str) -> list[Block]:
     """The flat text blocks of a page, in order."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # open element: name, boilerplate, article, hidden
+    stack: list[tuple[str, bool, bool, bool, bool, bool]] = []  # open element: name, boilerplate, article, hidden, named, around
     parts: list[str] = []
     linked = [0, 0]  # depth of open anchors, characters inside
     heading = False
-    state = (False, False, False)
+    state = none = (False,) * 5
 
     def flush() -> None:
         nonlocal heading
@@ -65,7 +76,7 @@ def blocks(source: str) -> list[Block]:
             text = " ".join(html.unescape("".join(parts)).split())
             if text and not state[2]:
                 inside = min(1.0, linked[1] / max(1, sum(map(len, parts))))
-                out.append(Block(text, text.count(" ") + 1, inside, state[0], state[1], heading))
+                out.append(Block(text, text.count(" ") + 1, inside, state[0], state[1], heading, state[3], state[4]))
             parts.clear()
         linked[1] = 0
         heading = False
@@ -94,11 +105,14 @@ def blocks(source: str) -> list[Block]:
             elif name not in VOID and not m[4].rstrip().endswith("/"):
                 if name in ("p", "li") and stack and stack[-1][0] == name:
                     stack.pop()  # closed by the next of its kind
-                b, a, h = stack[-1][1:] if stack else (False, False, False)
-                named = any(NAMES.search(x[0] or x[1] or x[2]) for x in _ATTRIBUTE.findall(m[4])) if m[4].strip() and name not in ("body", "html") else False
-                stack.append((name, b or name in BOILERPLATE and not (a and name == "header") or named or bool(m[4] and ROLES.search(m[4])), a or name in ("article", "main") and not b, h or bool(m[4] and _HIDDEN.search(m[4]))))
+                b, a, h, named, around = stack[-1][1:] if stack else none
+                b = b or name in BOILERPLATE and not (a and name == "header") or bool(m[4] and ROLES.search(m[4]))
+                named = named or name not in ("body", "html") and bool(m[4].strip()) and _named(m[4])
+                if name in ("article", "main") and not b:
+                    a, named, around = True, False, around or named
+                stack.append((name, b, a, h or bool(m[4] and _HIDDEN.search(m[4])), named, around))
                 heading = name[0] == "h" and name[1:].isdigit()
-            state = stack[-1][1:] if stack else (False, False, False)
+            state = stack[-1][1:] if stack else none
         elif name == "a":
             linked[0] = max(0, linked[0] + (-1 if m[2] else 1))
         elif name == "br":
@@ -106,15 +120,20 @@ def blocks(source: str) -> list[Block]:
     if at < len(source):
         parts.append(source[at:])
     flush()
+    inside = [b for b in out if b.article and not b.boilerplate and not b.named]
+    shed = sum(b.words for b in inside if b.around) > sum(b.words for b in inside if not b.around)
+    for b in out:
+        b.named = b.named or b.around and not shed
+        b.article = b.article and (shed or not b.around)
     return out
 
 
-def features(found: list[Block]) -> np.ndarray:
+def features(found: list[Block], names: bool = True) -> np.ndarray:
     """Per block: words and link density of it and its neighbours, boilerplate, place (1 outside, -1 inside a marked article, 0 none marked), heading."""
     marked = any(b.article for b in found)
     words = np.array([0, *(b.words for b in found), 0], float)
     links = np.array([0, *(b.link_density for b in found), 0], float)
-    own = np.array([(b.boilerplate, (marked and not b.article) - b.article, b.heading) for b in found], float).reshape(-1, 3)
+    own = np.array([(b.boilerplate or names and b.named, (marked and not b.article) - b.article, b.heading) for b in found], float).reshape(-1, 3)
     return np.column_stack([words[1:-1], words[:-2], words[2:], links[1:-1], links[:-2], links[2:], own])
 
 
@@ -169,7 +188,10 @@ def main_text(source: str, tree: tuple) -> str:
     found = blocks(source)
     if not found:
         return ""
-    return " ".join(b.text for b, p in zip(found, content(tree, features(found)), strict=True) if p >= 0.5)
+    kept = content(tree, features(found)) >= 0.5
+    if not kept.any() and any(b.named for b in found):
+        kept = content(tree, features(found, names=False)) >= 0.5
+    return " ".join(b.text for b, k in zip(found, kept, strict=True) if k)
 
 
 def extract(pages: DataFrame, tree: tuple | None = None) -> DataFrame:
