@@ -3,7 +3,8 @@
 A page is cut at block tags into flat blocks of text, each with its number of words, its link
 density, and those of the blocks before and after it. A decision tree trained on a small table of
 labelled blocks says which blocks are content. What the markup itself says comes first: scripts,
-styles, forms and other invisible or interactive parts hold no text blocks, blocks inside navigation,
+styles and other invisible or interactive parts hold no text blocks, nor does a form unless it wraps an
+article or a long block; blocks inside navigation,
 header, footer, sidebar or complementary elements, or ones whose class or id names a notice, advert,
 menu or comments, carry that as a feature, and where a page marks an article, blocks outside it
 carry that. A name is a weak sign: prefixes such as "with-" or "tag-" void it, an article or main element
@@ -11,7 +12,8 @@ sheds those around it where most of the articles' words would go, and names coun
 they would leave nothing of a page.
 
 Defined results: null or empty HTML, and a page without content blocks, give an empty text; unclosed
-tags end with their page; a page without any tag is one block; repeated rows give repeated results;
+blocks and forms end with the block around them, unclosed buttons and the like hide nothing, unclosed
+scripts and other raw text end with their page; a page without any tag is one block; repeated rows give repeated results;
 extra columns are ignored.
 """
 
@@ -30,16 +32,25 @@ from pyspark.sql import functions as F
 from terrace.llm.common import slices
 
 # Elements by what they do to the text inside or around them.
-SKIPPED = ("script", "style", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "select", "textarea", "button", "form", "title", "audio", "video")
-BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
+RAW = ("script", "style", "textarea", "title", "iframe")  # hold no tags; unclosed ones end with the page
+SKIPPED = ("noscript", "template", "svg", "math", "object", "canvas", "select", "button", "audio", "video")  # only with their end tag
+BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
 BOILERPLATE = frozenset("nav header footer aside menu dialog".split())
+#: Words of a block from which on a form that holds it is taken for a wrapper of the page.
+LONG = 20
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 NAMES = re.compile(r"(?i)(?<![a-z])(ads?|advert\w*|banner|breadcrumbs?|comments?|cookies?|consent|disqus|disclaimer|foot(er)?|gdpr|head(er)?|login|masthead|menus?|modal|nav(bar|igation)?|newsletter|notices?|popup|promo\w*|related|replies|reply|respond|share|sharing|sidebar|signup|skip|social|sponsor\w*|subscribe|tags?|toolbar|widget)(?![a-z])")
 #: Class or id tokens that say how an element looks or is filed, not that it is what they name.
 MODIFIERS = re.compile(r"(?i)(with(out)?|has|have|no|not|non|is|hide|show|layout|category|cat)[-_]|tags?[-_](?!(cloud|list|links?)\b)|related[-_]works?\b")
 ROLES = re.compile(r"(?i)\brole\s*=\s*[\"']?(navigation|banner|contentinfo|complementary|search|dialog|alert|menu)")
 
-_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<({'|'.join(SKIPPED)})\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*(?<!/)>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\"<>])*)(>|(?=<)|\Z)|<[!?][^>]*(?:>|\Z)", re.S | re.I)
+_REST = r"(?:\"[^\"]*\"|'[^']*'|[^'\">])*(?<!/)>"
+_TOKEN = re.compile(
+    rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<({'|'.join(RAW)})\b{_REST}.*?(?:</\1\s*>|\Z)"
+    rf"|<(?P<skipped>{'|'.join(SKIPPED)})\b{_REST}(?:(?!<(?:(?P=skipped)|article|main)\b|</(?:article|main|body)\b).)*?</(?P=skipped)\s*>"
+    r"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^'\"<>])*)(?:>|(?=<)|\Z)|<[!?][^>]*(?:>|\Z)",
+    re.S | re.I,
+)
 _ATTRIBUTE = re.compile(r"\b(?:class|id)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _HIDDEN = re.compile(r"(?i)\bhidden\b(?!\s*=\s*[\"']?false)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true")
 
@@ -54,6 +65,7 @@ class Block:
     heading: bool
     named: bool = False  # by a class or id inside the innermost article or main, or anywhere if there is none
     around: bool = False  # by a class or id of such an element or around it
+    form: int = 0  # number of the form that holds it, 0 if none does
 
 
 def _named(attributes: str) -> bool:
@@ -64,11 +76,12 @@ def _named(attributes: str) -> bool:
 def blocks(source: str) -> list[Block]:
     """The flat text blocks of a page, in order."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool, bool, bool, bool]] = []  # open element: name, boilerplate, article, hidden, named, around
+    stack: list[tuple[str, bool, bool, bool, bool, bool, int]] = []  # open element: name, boilerplate, article, hidden, named, around, form
     parts: list[str] = []
     linked = [0, 0]  # depth of open anchors, characters inside
     heading = False
-    state = none = (False,) * 5
+    state = none = (False, False, False, False, False, 0)
+    forms = 0
 
     def flush() -> None:
         nonlocal heading
@@ -76,7 +89,7 @@ def blocks(source: str) -> list[Block]:
             text = " ".join(html.unescape("".join(parts)).split())
             if text and not state[2]:
                 inside = min(1.0, linked[1] / max(1, sum(map(len, parts))))
-                out.append(Block(text, text.count(" ") + 1, inside, state[0], state[1], heading, state[3], state[4]))
+                out.append(Block(text, text.count(" ") + 1, inside, state[0], state[1], heading, *state[3:]))
             parts.clear()
         linked[1] = 0
         heading = False
@@ -89,37 +102,40 @@ def blocks(source: str) -> list[Block]:
             if linked[0]:
                 linked[1] += len(piece)
         at = m.end()
-        name = m[3]
+        name = m["name"]
         if name is None:
-            if m[1] and m[1].lower() in BLOCKS:
-                flush()
             continue
         name = name.lower()
         if name in BLOCKS:
             flush()
-            if m[2]:
+            if m["end"]:
                 for k in range(len(stack) - 1, -1, -1):
                     if stack[k][0] == name:
                         del stack[k:]
                         break
-            elif name not in VOID and not m[4].rstrip().endswith("/"):
+            elif name not in VOID and not m["rest"].rstrip().endswith("/"):
                 if name in ("p", "li") and stack and stack[-1][0] == name:
                     stack.pop()  # closed by the next of its kind
-                b, a, h, named, around = stack[-1][1:] if stack else none
-                b = b or name in BOILERPLATE and not (a and name == "header") or bool(m[4] and ROLES.search(m[4]))
-                named = named or name not in ("body", "html") and bool(m[4].strip()) and _named(m[4])
+                b, a, h, named, around, form = stack[-1][1:] if stack else none
+                b = b or name in BOILERPLATE and not (a and name == "header") or bool(m["rest"] and ROLES.search(m["rest"]))
+                named = named or name not in ("body", "html") and bool(m["rest"].strip()) and _named(m["rest"])
+                if name == "form":
+                    forms += 1
+                    form = forms
                 if name in ("article", "main") and not b:
                     a, named, around = True, False, around or named
-                stack.append((name, b, a, h or bool(m[4] and _HIDDEN.search(m[4])), named, around))
+                stack.append((name, b, a, h or bool(m["rest"] and _HIDDEN.search(m["rest"])), named, around, form))
                 heading = name[0] == "h" and name[1:].isdigit()
             state = stack[-1][1:] if stack else none
         elif name == "a":
-            linked[0] = max(0, linked[0] + (-1 if m[2] else 1))
+            linked[0] = max(0, linked[0] + (-1 if m["end"] else 1))
         elif name == "br":
             parts.append(" ")
     if at < len(source):
         parts.append(source[at:])
     flush()
+    wrappers = {b.form for b in out if b.article or b.words >= LONG and b.link_density < 0.5}
+    out = [b for b in out if not b.form or b.form in wrappers]
     inside = [b for b in out if b.article and not b.boilerplate and not b.named]
     shed = sum(b.words for b in inside if b.around) > sum(b.words for b in inside if not b.around)
     for b in out:

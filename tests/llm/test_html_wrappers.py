@@ -28,3 +28,18 @@ def test_named_wrapper_of_an_article():
     assert html_text.main_text(f'<main><h1>Bridge</h1><div class="sidebar"><article><p>{TEXT}</p><p class="share">Share this page now</p></article></div></main>', TREE).endswith(TEXT)
     page = f'<article><p>{TEXT}</p></article><section class="comments"><article class="comment"><p>I disagree with this very much.</p></article></section>'
     assert html_text.main_text(page, TREE) == TEXT
+
+
+@pytest.mark.parametrize("tag", ["form", "button", "select", "noscript", "canvas", "svg"])
+def test_unclosed_parts_end_with_their_block(tag):
+    page = f"<body><div><{tag}>Menu</div><div><h1>Bridge</h1><p>{TEXT}</p></div></body>"
+    assert html_text.main_text(page, TREE).endswith(TEXT)
+
+
+def test_forms():
+    assert html_text.main_text(f"<body><form action=x><h1>Bridge</h1><p>{TEXT}</p><p>Short one.</p></form></body>", TREE) == f"Bridge {TEXT} Short one."
+    assert html_text.main_text("<body><form><article><h1>Bridge</h1><p>Short one.</p></article></form></body>", TREE) == "Bridge Short one."
+    assert html_text.main_text(f"<p>{TEXT}</p><form>Your name<input><button>Send</button></form>", TREE) == TEXT
+    assert html_text.main_text(f"<p>{TEXT} <button>Send</button> <svg><text>x</text></svg></p><script>var a = 1", TREE) == TEXT
+    long = html_text.main_text("<button>x " * 20_000 + f"<p>{TEXT}</p>", TREE)  # in linear time
+    assert long.endswith(TEXT)
