@@ -31,13 +31,14 @@ from terrace.llm.tokens import encoder, text_blocks
 class Capacity:
     """Limits of a sequence, and how the best bin is chosen.
 
-    The default piece and attention limits follow from the token limit, so they cost no sequence.
+    The default piece and attention limits follow from the token limit, so they cost no sequence; by
+    their weights they decide between bins of like room.
     """
 
     tokens: int = 2048
     pieces: int = 2048
     attention: int = 2048**2
-    weights: tuple[float, float, float] = (1.0, 0.0, 0.0)
+    weights: tuple[float, float, float] = (1.0, 0.1, 0.1)
     rule: str = "norm"  # or "dot"
 
     def limits(self) -> np.ndarray:
