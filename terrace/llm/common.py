@@ -61,10 +61,25 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+#: Ids that are sent to every executor at most; beyond it both sides of a join are shuffled.
+SENT_IDS = 1 << 20
+
+
+def _by_id(df: DataFrame, ids: DataFrame, key: str, how: str) -> DataFrame:
+    name = free_name(df, "_kept")
+    ids = stored(ids.toDF(name).distinct(), "ids")
+    few = ids.count() <= SENT_IDS
+    return df.join(F.broadcast(ids) if few else ids, F.col(key).cast("long").eqNullSafe(F.col(name)), how)
+
+
 def semi_join(df: DataFrame, kept: DataFrame, key: str = "doc_id") -> DataFrame:
     """The rows of ``df`` whose key, a number or null, is in the only column of ``kept``."""
-    name = free_name(df, "_kept")
-    return df.join(kept.toDF(name).distinct(), F.col(key).cast("long").eqNullSafe(F.col(name)), "left_semi")
+    return _by_id(df, kept, key, "left_semi")
+
+
+def anti_join(df: DataFrame, dropped: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The rows of ``df`` whose key, a number or null, isn't in the only column of ``dropped``."""
+    return _by_id(df, dropped, key, "left_anti")
 
 
 def binary_rows(batch: pa.RecordBatch, name: str) -> list[bytes]:

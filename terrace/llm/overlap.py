@@ -1,13 +1,19 @@
-"""Near-duplicates of the pipeline: texts whose sets of five-word shingles have a Jaccard similarity of 0.8.
+"""Operator 1 as the pipeline's stage: near-duplicates at five words and a Jaccard similarity of 0.8.
 
-Texts that similar differ in up to a third of their SimHash bits, so no bit blocks small enough to be
-keys are sure to be shared; shingles are. In any common order of all shingles the first
-n - ceil(0.8 n) + 1 of a text's n hold one that a similar text has among its own first ones. The order
-is that of hashes, with the shingles that are frequent in a sample last, which changes the number of
-candidates but not what is found. Every candidate pair is decided by its exact similarity.
+Texts that similar differ in 8 of 64 SimHash bits in the middle and in up to 16, beyond what block keys can
+guarantee. So the stage takes two steps, and decides every link by the exact similarity of the
+sets of shingles:
 
-Equal sets are one node, so copies cost nothing. Large groups of like texts are linked first, each
-text to one leader of its MinHash band; keys then give pairs of different components alone.
+1. The Gray-order index of ``simhash`` over five-word fingerprints finds the links of at most three bits. In a
+   large group of copies each text has many neighbours that near, so a spanning forest of these links
+   joins most of the group.
+2. The links beyond are found by shingles, between different components alone. In any common order of all shingles the
+   first n - ceil(0.8 n) + 1 of a text's n hold one that a similar text has among its own first ones. The order
+   is that of hashes, with the shingles that are frequent in a sample last, which changes the number of
+   candidates but not what is found. A text meets those with the nearest fingerprints first; whatever
+   components are still apart then are compared whole.
+
+Equal sets are one node, so copies cost nothing.
 
 Defined results: as for operator 1, a null or empty text is linked like any other (to those without
 words), and rows that share a doc_id count as one document.
@@ -19,30 +25,56 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.common import binary_rows, semi_join, slices, stored
+from terrace.llm.common import anti_join, semi_join, slices, stored
 from terrace.llm.components import components
+from terrace.llm.simhash import link_forest, majority
+from terrace.llm.tokens import text_blocks
 
-SHINGLE, SEED = 5, 42
+SHINGLE, SEED, DISTANCE = 5, 42, 3
 #: Least similarity, as a fraction of whole numbers.
 NEAR, OF = 4, 5
 #: Documents that frequent shingles are counted in, documents of these that make one frequent, and shingles at most.
 SAMPLE_ROWS, FREQUENT, MOST = 10_000, 3, 200_000
-#: MinHash bands and values in each.
-BANDS, VALUES = 8, 4
-
-
-def shingles(text: bytes) -> np.ndarray:
-    """The distinct hashes of a text's word shingles, ascending."""
-    words = text.lower().split()  # of bytes: A-Z alone are lowered, ASCII white space alone splits
-    if not words:
-        return np.zeros(0, np.uint64)
-    join, digest = b" ".join, xxhash.xxh64_intdigest
-    parts = map(join, zip(*(words[i:] for i in range(SHINGLE)), strict=False)) if len(words) > SHINGLE else [join(words)]
-    return np.unique(np.fromiter((digest(s, SEED) for s in parts), np.uint64))
+#: Texts of one key that are compared in one task; a key of more is split into cells. Comparisons held at a time.
+PART, HELD = 2048, 1 << 20
+_ODD = tuple(np.uint64(x | 1) for x in (0x9E3779B97F4A7C14, 0xBF58476D1CE4E5B8, 0x94D049BB133111EA))
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(30))) * _ODD[1]
+    h = (h ^ (h >> np.uint64(27))) * _ODD[2]
+    return h ^ (h >> np.uint64(31))
+
+
+def shingles(texts: pa.Array) -> list[np.ndarray]:
+    """The hashes of each text's word shingles, in order and with repeats; of the whole sequence where it is shorter.
+
+    Words end at ASCII white space and A-Z are lowered. A shingle's hash is mixed from the XXH64 of its words.
+    """
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    coded = lists.flatten().dictionary_encode()
+    words = coded.dictionary.cast(pa.binary()).to_pylist()
+    of_word = np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in words), np.uint64, len(words))
+    number = np.asarray(coded.indices)
+    real = np.fromiter((len(w) > 0 for w in words), bool, len(words))[number]
+    upto = np.concatenate([[0], np.cumsum(real)])
+    begin = upto[np.asarray(lists.offsets) - lists.offsets[0].as_py()]
+    h = of_word[number[real]]
+    every = np.zeros(max(0, len(h) - SHINGLE + 1), np.uint64)
+    for k in range(SHINGLE):
+        every = _mixed(every + h[k : k + len(every)] + _ODD[0])
+    out = []
+    for a, b in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True):
+        if b - a >= SHINGLE:
+            out.append(every[a : b - SHINGLE + 1])
+        else:
+            out.append(np.array([xxhash.xxh64_intdigest(h[a:b].tobytes(), SEED)] if b > a else [], np.uint64))
+    return out
 
 
 def node_of(found: np.ndarray) -> int:
@@ -50,19 +82,14 @@ def node_of(found: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(found.tobytes(), SEED) - (1 << 63)
 
 
-def bands(found: np.ndarray) -> list[int]:
-    """Keys that sets share the likelier the more similar they are."""
-    least = np.full(BANDS * VALUES, ~np.uint64(0))
-    least[(found % np.uint64(len(least)))[::-1]] = found[::-1]  # the smallest of each remainder is put last
-    return [xxhash.xxh64_intdigest(least[k * VALUES : (k + 1) * VALUES].tobytes(), k) - (1 << 63) for k in range(BANDS)]
-
-
 def prefix(found: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     """The first shingles of a set, one of which any similar set has among its own."""
     if not len(found):
         return found
-    late = np.isin(found, frequent, assume_unique=True)
-    return np.concatenate([found[~late], found[late]])[: len(found) - -(-NEAR * len(found) // OF) + 1]
+    if len(frequent):
+        late = frequent[np.minimum(np.searchsorted(frequent, found), len(frequent) - 1)] == found
+        found = np.concatenate([found[~late], found[late]])
+    return found[: len(found) - -(-NEAR * len(found) // OF) + 1]
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -74,46 +101,129 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def frequent_shingles(docs: DataFrame) -> np.ndarray:
-    """Shingles of many documents of a bounded sample, ascending."""
+def frequent_shingles(docs: DataFrame) -> tuple[np.ndarray, dict[int, int]]:
+    """Shingles of many documents of a bounded sample, ascending, and the number of parts of those expected to be crowded."""
     step = -(-max(1, docs.count()) // SAMPLE_ROWS)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            found = np.concatenate([np.zeros(0, np.uint64), *map(shingles, binary_rows(batch, "text"))])
+        for batch in (x for b in batches for x in text_blocks(b, "text")):
+            found = np.concatenate([np.zeros(0, np.uint64), *map(np.unique, shingles(batch.column(1)))])
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], ["key"])
 
     sample = _texts(docs).where(F.pmod(F.xxhash64("doc_id"), F.lit(step)) == 0)
     counted = sample.mapInArrow(rows, "key long").groupBy("key").count().where(F.col("count") >= FREQUENT)
-    kept = counted.orderBy(F.desc("count"), "key").limit(MOST).select("key").collect()
-    return np.sort(np.array([r["key"] for r in kept], np.int64).view(np.uint64))
+    kept = counted.orderBy(F.desc("count"), "key").limit(MOST).collect()
+    frequent = np.sort(np.array([r["key"] for r in kept], np.int64).view(np.uint64))
+    return frequent, {r["key"]: -(-r["count"] * step // PART) for r in kept if r["count"] * step > PART}
 
 
 def marks(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """doc_id, node, size, bands and keys of every row."""
+    """doc_id, node, fingerprint, size and keys of every row."""
 
-    def lists(values: list) -> pa.Array:
-        ends = np.cumsum([0, *map(len, values)]).astype(np.int32)
-        return pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.zeros(0, np.int64), *values])))
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (x for b in batches for x in text_blocks(b, "text")):
+            out: list[tuple] = []
+            for h in shingles(batch.column(1)):
+                found = np.unique(h)
+                out.append((node_of(found), majority(h) if len(h) else 0, len(found), prefix(found, frequent).view(np.int64)))
+            node, fp, size, keys = zip(*out, strict=True) if out else ((), (), (), ())
+            ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.zeros(0, np.int64), *keys])))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(node, pa.int64()), pa.array(fp, pa.int64()), pa.array(size, pa.int64()), lists], ["doc_id", "node", "fp", "size", "keys"])
+
+    return _texts(docs).mapInArrow(rows, "doc_id long, node long, fp long, size long, keys array<long>")
+
+
+def whole_runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
+    """(where runs begin and the last ends, columns) of sorted rows; runs agree in the first ``keys`` columns and aren't torn."""
+    held: list[list[np.ndarray]] = []
+    for columns in ([np.asarray(c) for c in batch.columns] for batch in batches if batch.num_rows):
+        last = held[-1] if held else columns
+        if held and all(h[-1] == c[-1] for h, c in zip(last[:keys], columns, strict=False)):
+            held.append(columns)  # of one run
+            continue
+        columns = [np.concatenate(x) for x in zip(*held, columns, strict=True)]
+        n = len(columns[0])
+        new = np.r_[True, np.logical_or.reduce([c[1:] != c[:-1] for c in columns[:keys]])]
+        starts = np.flatnonzero(new)
+        if len(starts) > 1:
+            yield starts, [c[: starts[-1]] for c in columns]
+        held = [[c[starts[-1] : n].copy() for c in columns]]
+    if held:
+        columns = [np.concatenate(x) for x in zip(*held, strict=True)]
+        yield np.array([0, len(columns[0])]), columns
+
+
+def shared_keys(marked: DataFrame, nodes: DataFrame) -> DataFrame:
+    """key and node wherever a key is held by several nodes."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            sets = [shingles(x) for x in binary_rows(batch, "text")]
-            node, size = pa.array(map(node_of, sets), pa.int64()), pa.array(map(len, sets), pa.int64())
-            keys = [prefix(x, frequent).view(np.int64) for x in sets]
-            yield pa.RecordBatch.from_arrays([batch.column(0), node, size, lists([np.array(bands(x), np.int64) for x in sets]), lists(keys)], ["doc_id", "node", "size", "bands", "keys"])
+        last: tuple | None = None  # the row before, and whether it was given out
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, node = (np.asarray(c) for c in batch.columns)
+            if last is not None:
+                key, node = np.r_[last[0], key], np.r_[last[1], node]
+            fresh = np.r_[True, (key[1:] != key[:-1]) | (node[1:] != node[:-1])]
+            given = last is not None and last[2]
+            key, node = key[fresh], node[fresh]
+            with_next = np.r_[key[1:] == key[:-1], False]
+            out = with_next | np.r_[False, with_next[:-1]]
+            last = (key[-1], node[-1], bool(out[-1]) or given and len(key) == 1)
+            if given:
+                out[0] = False
+            yield pa.RecordBatch.from_arrays([pa.array(key[out]), pa.array(node[out])], ["key", "node"])
+
+    first = nodes.select("doc")
+    keyed = semi_join(marked.select("doc_id", "node", "keys"), first).select(F.explode("keys").alias("key"), "node")
+    return keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(rows, "key long, node long")
+
+
+def candidates(shared: DataFrame, meets: str) -> DataFrame:
+    """Pairs (a, b) of nodes of different components that share a key and may be similar by their sizes.
+
+    ``shared``: key, parts, node, fp, size, root. A text ``meets`` by each of its keys the text of "one" other component
+    whose fingerprint is nearest, or "all" of other components.
+    """
+    whole = meets == "all"
+    own, other = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    celled = shared.withColumn("own", own).withColumn("other", other)
+    cell = (F.least("own", "other") * F.col("parts") + F.greatest("own", "other")).cast("long").alias("cell")
+    laid = celled.select("key", cell, "node", "fp", "size", "root").repartition("key", "cell").sortWithinPartitions("key", "cell", "root", "node")
 
-    return _texts(docs).mapInArrow(rows, "doc_id long, node long, size long, bands array<long>, keys array<long>")
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for starts, (_, _, node, fp, size, root) in whole_runs(batches, 2):
+            n = np.diff(starts)
+            begin, count = np.repeat(starts[:-1], n), np.repeat(n, n)
+            upto = np.concatenate([[0], np.cumsum(count)])
+            at = 0
+            while at < len(node):
+                to = max(at + 1, int(np.searchsorted(upto, upto[at] + HELD, side="right")) - 1)
+                a = np.repeat(np.arange(at, to), count[at:to])
+                b = np.arange(len(a)) - np.repeat(upto[at:to] - upto[at], count[at:to]) + np.repeat(begin[at:to], count[at:to])
+                fit = (root[a] < root[b] if whole else root[a] != root[b]) & (OF * np.minimum(size[a], size[b]) >= NEAR * np.maximum(size[a], size[b]))
+                a, b = a[fit], b[fit]
+                if len(a) and not whole:
+                    edges = np.flatnonzero(np.r_[True, a[1:] != a[:-1], True])
+                    far = np.bitwise_count((fp[a] ^ fp[b]).view(np.uint64)).astype(np.int64) << 32 | b
+                    kept = far == np.repeat(np.minimum.reduceat(far, edges[:-1]), np.diff(edges))
+                    a, b = a[kept], b[kept]
+                if len(a):
+                    two = np.unique(np.column_stack([np.minimum(node[a], node[b]), np.maximum(node[a], node[b])]), axis=0)
+                    yield pa.RecordBatch.from_arrays([pa.array(two[:, 0]), pa.array(two[:, 1])], ["a", "b"])
+                at = to
+
+    return laid.mapInArrow(rows, "a long, b long").distinct()
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b; distinct and stored) whose sets of shingles are similar, stored."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            sets = [shingles(x) for x in binary_rows(batch, "text")]
-            whole = pa.array([x.tobytes() for x in sets], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(map(node_of, sets), pa.int64()), whole], ["node", "found"])
+        for batch in (x for b in batches for x in text_blocks(b, "text")):
+            sets = [np.unique(h) for h in shingles(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([pa.array(map(node_of, sets), pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())], ["node", "found"])
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -124,7 +234,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     of = stored(nodes.join(asked, "node").select("node", F.col("doc").alias("doc_id")), "asked")
     # rows that share a doc_id can have other texts
     made = semi_join(_texts(docs), of.select("doc_id")).mapInArrow(rows, "node long, found binary")
-    sets = stored(made.join(of.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
+    sets = stored(semi_join(made, of.select("node"), "node").dropDuplicates(["node"]), "sets")
     both = pairs.join(sets.toDF("a", "found_a"), "a").join(sets.toDF("b", "found_b"), "b").select("a", "b", "found_a", "found_b")
     return stored(both.mapInArrow(decide, "a long, b long"), "links")
 
@@ -133,23 +243,36 @@ def placed(nodes: DataFrame, roots: DataFrame) -> DataFrame:
     return nodes.join(roots.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").withColumn("root", F.coalesce("root", "node")).drop("_node")
 
 
+def simhash_pairs(nodes: DataFrame) -> DataFrame:
+    """Pairs of nodes that connect those whose fingerprints the Gray-order index links."""
+    prints = stored(nodes.groupBy("fp").agg(F.min("node").alias("least")), "prints")
+    equal = nodes.join(prints, "fp").where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    apart = link_forest(prints, DISTANCE, True)
+    apart = apart.join(prints.toDF("a", "_a"), "a").join(prints.toDF("b", "_b"), "b").select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"))
+    return equal.union(apart).distinct()
+
+
 def near_copies(docs: DataFrame) -> DataFrame:
     """doc_id, component_id (smallest doc_id that chains of similar texts reach) of every document."""
-    marked = stored(marks(docs, frequent_shingles(docs)), "marks")
-    nodes = stored(marked.groupBy("node").agg(F.min("doc_id").alias("doc"), F.first("size").alias("size"), F.first("bands").alias("bands"), F.first("keys").alias("keys")), "nodes")
-
-    banded = nodes.select("node", F.explode("bands").alias("band"))
-    leaders = stored(banded.groupBy("band").agg(F.min("node").alias("b"), F.max("node").alias("_last")).where("b < _last").select("band", "b"), "leaders")
-    led = banded.join(leaders, "band").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
-    links = verified(stored(led, "led"), nodes, docs)
-
-    keyed = placed(nodes, components(links)).select("node", "root", "size", F.explode("keys").alias("key"))
-    shared = stored(keyed.groupBy("key").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).where("_a < _b").select("key"), "shared")
-    rows = stored(keyed.join(shared, "key"), "keyed")
-    other = rows.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("size").alias("size_b"))
-    could = (F.col("root") < F.col("root_b")) & (OF * F.least("size", "size_b") >= NEAR * F.greatest("size", "size_b"))
-    pairs = stored(rows.join(other, "key").where(could).select(F.col("node").alias("a"), "b").distinct(), "pairs")
-    roots = components(links.union(verified(pairs, nodes, docs)))
+    frequent, crowded = frequent_shingles(docs)
+    marked = stored(marks(docs, frequent), "marks")
+    nodes = stored(marked.groupBy("node").agg(F.min("doc_id").alias("doc"), F.first("fp").alias("fp"), F.first("size").alias("size")), "nodes")
+
+    tested = stored(simhash_pairs(nodes), "pairs")
+    links = verified(tested, nodes, docs)
+    shared = shared_keys(marked, nodes)
+    if crowded:  # at most MOST keys
+        parts = docs.sparkSession.createDataFrame(list(crowded.items()), "_key long, parts int")
+        shared = shared.join(F.broadcast(parts), F.col("key") == F.col("_key"), "left").drop("_key").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    else:
+        shared = shared.withColumn("parts", F.lit(1))
+    shared = stored(shared, "shared")
+    roots = components(links)
+    for meets in ("one", "one", "all"):
+        pairs = stored(candidates(shared.join(placed(nodes.drop("doc"), roots), "node"), meets).join(tested, ["a", "b"], "left_anti"), "pairs")
+        tested = tested.union(pairs)
+        links = links.union(verified(pairs, nodes, docs))
+        roots = components(links)
 
     whole = placed(nodes.select("node", "doc"), roots)
     least = whole.groupBy("root").agg(F.min("doc").alias("component_id"))
@@ -158,4 +281,6 @@ def near_copies(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents without those that another one of their component, with a smaller doc_id, stands for."""
-    return semi_join(docs, near_copies(docs).where("doc_id <=> component_id").select("doc_id"))
+    found = stored(near_copies(docs), "copies")
+    of_doc = found.groupBy("doc_id").agg(F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("stays"))
+    return anti_join(docs, of_doc.where("not stays").select("doc_id"))

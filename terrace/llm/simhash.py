@@ -46,7 +46,11 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
         return 0
     join, digest = b" ".join, xxhash.xxh64_intdigest
     parts = map(join, zip(*(words[i:] for i in range(shingle)), strict=False)) if len(words) > shingle else [join(words)]
-    h = np.fromiter((digest(s, SEED) for s in parts), np.uint64)
+    return majority(np.fromiter((digest(s, SEED) for s in parts), np.uint64))
+
+
+def majority(h: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes, as a signed number."""
     ones = np.zeros(64, np.int64)
     for at in range(0, len(h), COUNTED):
         ones += np.unpackbits(h[at : at + COUNTED].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
@@ -114,31 +118,59 @@ class GrayTree:
         return q, node
 
 
-def forest(prints: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """(fingerprint, another of its component) for all but one of each component of a cell."""
-    tree, label = GrayTree(prints), np.arange(len(prints))
-    found = [tree.within(prints[at : at + QUERIES], distance) for at in range(0, len(prints), QUERIES)]
-    a = np.concatenate([q + k * QUERIES for k, (q, _) in enumerate(found)])
-    b = np.concatenate([leaf for _, leaf in found])
-    linked = a > b
-    a, b = a[linked], b[linked]
+def _joined(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Labels, each the smallest of its component, after the links (a, b)."""
+    label = label.copy()
     while True:
         before = label.copy()
         np.minimum.at(label, a, before[b])
         np.minimum.at(label, b, label[a])
         label = label[label]
         if (label == before).all():
-            break
+            return label
+
+
+def spanning(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Numbers of those links (a, b), given in order of preference, that make a spanning forest of n nodes."""
+    label, kept = np.arange(n), np.zeros(0, np.int64)
+    while True:
+        left = np.flatnonzero(label[a] != label[b])
+        if not len(left):
+            return kept
+        first = np.full(n, len(a))
+        np.minimum.at(first, label[a[left]], left)
+        np.minimum.at(first, label[b[left]], left)
+        kept = np.union1d(kept, first[first < len(a)])
+        label = _joined(np.arange(n), a[kept], b[kept])
+
+
+def forest(prints: np.ndarray, distance: int, own_links: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(fingerprint, another of its component) for all but one of each component of a cell.
+
+    ``own_links``: the two are within the distance, the nearest first.
+    """
+    tree = GrayTree(prints)
+    found = [tree.within(prints[at : at + QUERIES], distance) for at in range(0, len(prints), QUERIES)]
+    a = np.concatenate([q + k * QUERIES for k, (q, _) in enumerate(found)])
+    b = np.concatenate([leaf for _, leaf in found])
+    linked = a > b
+    a, b = a[linked], b[linked]
+    if own_links:
+        nearest = np.argsort(np.bitwise_count(prints[a] ^ prints[b]), kind="stable")
+        a, b = a[nearest], b[nearest]
+        kept = spanning(len(prints), a, b)
+        return prints[a[kept]], prints[b[kept]]
+    label = _joined(np.arange(len(prints)), a, b)
     child = np.flatnonzero(label != np.arange(len(prints)))
     return prints[child], prints[label[child]]
 
 
-def _links(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.RecordBatch]:
+def _links(batches: Iterator[pa.RecordBatch], distance: int, own_links: bool) -> Iterator[pa.RecordBatch]:
     """Forests of the runs of one (key, cell) in sorted rows."""
 
     def out(runs: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         if runs:
-            a, b = (np.concatenate(x).view(np.int64) for x in zip(*(forest(r, distance) for r in runs), strict=True))
+            a, b = (np.concatenate(x).view(np.int64) for x in zip(*(forest(r, distance, own_links) for r in runs), strict=True))
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
@@ -164,8 +196,11 @@ def _links(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.Reco
         yield from out([np.concatenate(held)])
 
 
-def link_forest(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """Pairs (a, b) of fingerprints that connect whatever of ``prints`` (distinct fp) is within the distance."""
+def link_forest(prints: DataFrame, distance: int = DISTANCE, own_links: bool = False) -> DataFrame:
+    """Pairs (a, b) of fingerprints that connect whatever of ``prints`` (distinct fp) is within the distance.
+
+    ``own_links``: each pair itself is within the distance.
+    """
     keyed = prints.select("fp", F.explode(node_keys(F.col("fp"))).alias("key"))
     crowded = keyed.groupBy("key").count().where(F.col("count") > PART).select("key", F.ceil(F.col("count") / PART).cast("int").alias("parts"))
     own = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
@@ -173,7 +208,7 @@ def link_forest(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     celled = keyed.join(crowded, "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("own", own).withColumn("other", other)
     celled = celled.select("key", (F.least("own", "other") * F.col("parts") + F.greatest("own", "other")).cast("long").alias("cell"), "fp")
     laid = celled.repartition("key", "cell").sortWithinPartitions("key", "cell", gray_rank(F.col("fp")))
-    return laid.mapInArrow(lambda batches: _links(batches, distance), "a long, b long")
+    return laid.mapInArrow(lambda batches: _links(batches, distance, own_links), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:

@@ -2,7 +2,8 @@
 
 import math
 
-from test_operators import brute_components, brute_fingerprint, check_packing
+from test_operators import check_packing
+from test_overlap import brute_kept
 
 import corpus_pipeline
 from terrace.llm import language, registry, toxicity
@@ -29,14 +30,11 @@ def test_stages_take_effect(spark):
 
     single = stages["near_duplicates"](spark, civil, DATA)
     assert single.columns == docs.columns
-    prints = {k: brute_fingerprint(texts[k]) for k in sorted(expected)}
-    roots, first = brute_components(set(prints.values())), {}
-    for k, p in prints.items():
-        first.setdefault(roots[p], k)
-    assert {r["doc_id"] for r in single.collect()} == set(first.values()) < expected
+    first = brute_kept({k: texts[k] for k in expected})
+    assert {r["doc_id"] for r in single.collect()} == first < expected
 
     rows = corpus_pipeline.run(spark, DATA).collect()
-    n, total = check_packing(rows, {k: texts[k] for k in first.values()}, 2048)
+    n, total = check_packing(rows, {k: texts[k] for k in first}, 2048)
     assert n <= math.ceil(total / 2048) * 1.02 + 1
 
 
