@@ -357,7 +357,7 @@ def test_folding_and_exceptions():
 
 
 def test_html(spark):
-    tree = html_text.train(np.array(html_text.LABELLED, float))
+    tree = html_text.train(html_text.labelled())
     page = '<html><head><title>t</title><style>p{}</style></head><body><header><a href=/>Home</a></header><nav><ul><li><a href="/a">A</a></li></ul></nav><div class="cookie-notice">We use cookies on this site for many purposes indeed.</div><div id=ad-1>Buy now and save a lot of money today, friends.</div><article><h1>Title &amp; more</h1><p>First\n  paragraph &lt;b&gt; <a href="x">link</a> here.<p>Second<br>one.</article><aside>Aside text that is long enough to be a paragraph.</aside><section class="comments"><p>I disagree with this article very much indeed.</p></section><form>Name<input></form><footer>&copy; me</footer><script>var t="</p>";</script></body>'
     assert html_text.main_text(page, tree) == "Title & more First paragraph <b> link here. Second one."
     df = spark.createDataFrame([(1, "u", page, "x"), (2, None, None, "x"), (3, "u", "", "x"), (4, "u", "<p>a < b", "x"), (4, "u", "<p>a < b", "x"), (5, "u", "<" * 50_000, "x"), (6, "u", "<p>" + "word " * 100_000, "x")], "page_id long, url string, html string, text string")
