@@ -237,6 +237,33 @@ def test_top_k(spark, monkeypatch, block):
     assert found == brute_top([*range(400)], np.floor(256 * v).astype(np.int64), range(0, 400, 50), 5)
 
 
+def test_top_k_needs_fewer_products(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding").collect()
+    ids, x = np.array([r[0] for r in rows]), np.floor(256 * np.array([r[1] for r in rows], float)).astype(np.int64)
+    index, q = topk.Index(ids, x), x[:128]
+    a, b, score, used = index.search(ids[:128], q, np.full(128, -np.inf), 5)
+    exact = np.where(ids[:128, None] == ids, -(1 << 60), q @ x.T)
+    assert (score.reshape(128, 5) == -np.sort(-exact, axis=1)[:, :5]).all() and (exact[a, index.ids[b]] == score).all()
+    least = score.reshape(128, 5)[:, -1].astype(float)
+    again = index.search(ids[:128], q, least, 5)
+    assert (again[2] == score).all() and again[3] < 0.7 * 128 * x.size and used < 128 * x.size
+
+
+def test_top_k_awkward(spark):
+    rng = np.random.default_rng(6)
+    good = [(k // 2, [float(c) for c in r], True) for k, r in enumerate(rng.normal(size=(60, 4)))]  # each id twice
+    odd = [(100 + k, [1.0] * 3, True) for k in range(30)] + [(200 + k, [], True) for k in range(50)] + [(300, [0.0, -math.inf, 1.0, 1.0], None), (301, [-0.0] * 4, True)]
+    df = spark.createDataFrame(good + odd, "vec_id long, embedding array<double>, rank boolean")
+    found = sorted(tuple(r) for r in topk.top_k(df, F.col("rank") & (F.col("vec_id") < 100), 3).collect())
+    x = [(i, np.floor(256 * np.array(v))) for i, v, _ in good + odd if len(v) == 4 and i != 300]
+    expected = []
+    for i in range(30):
+        best = sorted((-int(a @ b), j) for q, a in x if q == i for j, b in x if j != i)[:3]
+        expected += [(i, r + 1, j, -s) for r, (s, j) in enumerate(best)]
+    assert found == expected
+    assert topk.top_k(df.where("size(embedding) = 0"), F.lit(True)).count() == 0
+
+
 def test_top_k_of_few(spark):
     schema = "vec_id long, embedding array<float>"
     assert topk.top_k(spark.createDataFrame([], schema), F.col("vec_id") % 50 == 0).count() == 0
