@@ -155,45 +155,51 @@ def whole_runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[n
 
 
 def shared_keys(marked: DataFrame, nodes: DataFrame) -> DataFrame:
-    """key and node wherever a key is held by several nodes."""
+    """key, node and leads wherever a key is held by several nodes.
+
+    A key ``leads`` a node if it is among the first ones, one of which any similar set of no smaller size has
+    among its own keys; so of two texts the smaller's key must lead.
+    """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple | None = None  # the row before, and whether it was given out
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key, node = (np.asarray(c) for c in batch.columns)
+            key, node, leads = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
             if last is not None:
-                key, node = np.r_[last[0], key], np.r_[last[1], node]
+                key, node, leads = np.r_[last[0], key], np.r_[last[1], node], np.r_[last[2], leads]
             fresh = np.r_[True, (key[1:] != key[:-1]) | (node[1:] != node[:-1])]
-            given = last is not None and last[2]
-            key, node = key[fresh], node[fresh]
+            given = last is not None and last[3]
+            key, node, leads = key[fresh], node[fresh], leads[fresh]
             with_next = np.r_[key[1:] == key[:-1], False]
             out = with_next | np.r_[False, with_next[:-1]]
-            last = (key[-1], node[-1], bool(out[-1]) or given and len(key) == 1)
+            last = (key[-1], node[-1], leads[-1], bool(out[-1]) or given and len(key) == 1)
             if given:
                 out[0] = False
-            yield pa.RecordBatch.from_arrays([pa.array(key[out]), pa.array(node[out])], ["key", "node"])
+            yield pa.RecordBatch.from_arrays([pa.array(key[out]), pa.array(node[out]), pa.array(leads[out])], ["key", "node", "leads"])
 
     first = nodes.select("doc")
-    keyed = semi_join(marked.select("doc_id", "node", "keys"), first).select(F.explode("keys").alias("key"), "node")
-    return keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(rows, "key long, node long")
+    leading = F.col("size") - F.ceil(F.col("size") * (2 * NEAR) / (NEAR + OF)) + 1
+    keyed = semi_join(marked.select("doc_id", "node", "size", "keys"), first).select("node", leading.alias("leading"), F.posexplode("keys").alias("at", "key"))
+    keyed = keyed.select("key", "node", (F.col("at") < F.col("leading")).alias("leads"))
+    return keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(rows, "key long, node long, leads boolean")
 
 
 def candidates(shared: DataFrame, meets: str) -> DataFrame:
     """Pairs (a, b) of nodes of different components that share a key and may be similar by their sizes.
 
-    ``shared``: key, parts, node, fp, size, root. A text ``meets`` by each of its keys the text of "one" other component
+    ``shared``: key, parts, node, leads, fp, size, root. A text ``meets`` by each of its keys the text of "one" other component
     whose fingerprint is nearest, or "all" of other components.
     """
     whole = meets == "all"
     own, other = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     celled = shared.withColumn("own", own).withColumn("other", other)
     cell = (F.least("own", "other") * F.col("parts") + F.greatest("own", "other")).cast("long").alias("cell")
-    laid = celled.select("key", cell, "node", "fp", "size", "root").repartition("key", "cell").sortWithinPartitions("key", "cell", "root", "node")
+    laid = celled.select("key", cell, "node", F.col("leads").cast("int").alias("leads"), "fp", "size", "root").repartition("key", "cell").sortWithinPartitions("key", "cell", "root", "node")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for starts, (_, _, node, fp, size, root) in whole_runs(batches, 2):
+        for starts, (_, _, node, leads, fp, size, root) in whole_runs(batches, 2):
             n = np.diff(starts)
             begin, count = np.repeat(starts[:-1], n), np.repeat(n, n)
             upto = np.concatenate([[0], np.cumsum(count)])
@@ -203,6 +209,7 @@ def candidates(shared: DataFrame, meets: str) -> DataFrame:
                 a = np.repeat(np.arange(at, to), count[at:to])
                 b = np.arange(len(a)) - np.repeat(upto[at:to] - upto[at], count[at:to]) + np.repeat(begin[at:to], count[at:to])
                 fit = (root[a] < root[b] if whole else root[a] != root[b]) & (OF * np.minimum(size[a], size[b]) >= NEAR * np.maximum(size[a], size[b]))
+                fit &= np.where((size[a] < size[b]) | (size[a] == size[b]) & (node[a] < node[b]), leads[a], leads[b]) > 0
                 a, b = a[fit], b[fit]
                 if len(a) and not whole:
                     edges = np.flatnonzero(np.r_[True, a[1:] != a[:-1], True])
@@ -217,25 +224,59 @@ def candidates(shared: DataFrame, meets: str) -> DataFrame:
     return laid.mapInArrow(rows, "a long, b long").distinct()
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b; distinct and stored) whose sets of shingles are similar, stored."""
+def enough_keys(a: np.ndarray, b: np.ndarray, size_a: int, size_b: int) -> bool:
+    """Whether two sets that share just these of their first shingles can be similar.
+
+    Of the one whose first shingles end earlier in the order, all that are in both sets are among the other's first ones.
+    """
+    least = -(-NEAR * (size_a + size_b) // (NEAR + OF))  # in both, if similar
+    need = min(len(a) - (size_a - least), len(b) - (size_b - least))
+    return len(np.intersect1d(a, b, assume_unique=True)) >= need
+
+
+def _with_both(pairs: DataFrame, of_node: DataFrame) -> DataFrame:
+    """The pairs with the columns of ``of_node`` for a and for b."""
+    for side in ("a", "b"):
+        pairs = pairs.join(of_node.toDF(*(f"{c}_{side}" for c in of_node.columns)).withColumnRenamed(f"node_{side}", side), side)
+    return pairs
+
+
+def verified(pairs: DataFrame, marked: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b; distinct and stored) whose sets of shingles are similar, stored.
+
+    First shingles rule most others out, so that few whole sets are sent.
+    """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (x for b in batches for x in text_blocks(b, "text")):
             sets = [np.unique(h) for h in shingles(batch.column(1))]
             yield pa.RecordBatch.from_arrays([pa.array(map(node_of, sets), pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())], ["node", "found"])
 
+    def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 4096):
+            at = batch.schema.get_field_index
+            keys = []
+            for side in ("keys_a", "keys_b"):
+                lists = batch.column(at(side))
+                keys.append(np.split(np.asarray(lists.flatten()), np.asarray(lists.offsets)[1:-1] - lists.offsets[0].as_py()) if batch.num_rows else [])
+            sizes = [batch.column(at(x)).to_pylist() for x in ("size_a", "size_b")]
+            yield batch.select(["a", "b"]).filter(pa.array([enough_keys(*x) for x in zip(*keys, *sizes, strict=True)], pa.bool_()))
+
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             a, b = ([np.frombuffer(x, np.uint64) for x in batch.column(k).to_pylist()] for k in (2, 3))
             yield batch.select(["a", "b"]).filter(pa.array([similar(x, y) for x, y in zip(a, b, strict=True)], pa.bool_()))
 
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    of = stored(nodes.join(asked, "node").select("node", F.col("doc").alias("doc_id")), "asked")
+    def asked(of: DataFrame) -> DataFrame:
+        return of.select(F.explode(F.array("a", "b")).alias("node"))
+
+    first = stored(semi_join(marked.select("node", "size", "keys"), asked(pairs), "node").dropDuplicates(["node"]), "first")
+    pairs = stored(_with_both(pairs, first).mapInArrow(possible, "a long, b long"), "possible")
+    of = stored(nodes.join(asked(pairs).distinct(), "node").select("node", F.col("doc").alias("doc_id")), "asked")
     # rows that share a doc_id can have other texts
     made = semi_join(_texts(docs), of.select("doc_id")).mapInArrow(rows, "node long, found binary")
     sets = stored(semi_join(made, of.select("node"), "node").dropDuplicates(["node"]), "sets")
-    both = pairs.join(sets.toDF("a", "found_a"), "a").join(sets.toDF("b", "found_b"), "b").select("a", "b", "found_a", "found_b")
+    both = _with_both(pairs, sets).select("a", "b", "found_a", "found_b")
     return stored(both.mapInArrow(decide, "a long, b long"), "links")
 
 
@@ -259,7 +300,7 @@ def near_copies(docs: DataFrame) -> DataFrame:
     nodes = stored(marked.groupBy("node").agg(F.min("doc_id").alias("doc"), F.first("fp").alias("fp"), F.first("size").alias("size")), "nodes")
 
     tested = stored(simhash_pairs(nodes), "pairs")
-    links = verified(tested, nodes, docs)
+    links = verified(tested, marked, nodes, docs)
     shared = shared_keys(marked, nodes)
     if crowded:  # at most MOST keys
         parts = docs.sparkSession.createDataFrame(list(crowded.items()), "_key long, parts int")
@@ -268,10 +309,10 @@ def near_copies(docs: DataFrame) -> DataFrame:
         shared = shared.withColumn("parts", F.lit(1))
     shared = stored(shared, "shared")
     roots = components(links)
-    for meets in ("one", "one", "all"):
+    for meets in ("one", "all"):
         pairs = stored(candidates(shared.join(placed(nodes.drop("doc"), roots), "node"), meets).join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = tested.union(pairs)
-        links = links.union(verified(pairs, nodes, docs))
+        links = links.union(verified(pairs, marked, nodes, docs))
         roots = components(links)
 
     whole = placed(nodes.select("node", "doc"), roots)
