@@ -3,12 +3,16 @@
 The automaton starts with one state that every token's arc leads back to. Each merge (u, v) -> w,
 in order of priority, applies a gadget: the state that u's arcs lead to is copied without its v
 arc, u's arcs lead to the copy, and each state that has a u arc gets a w arc to where v's arc led.
-All arcs of a token lead to one state, and a state differs from its origin only by the arcs it
-lost, so states are kept as what each gadget took away: token w starts from v's state and u's arc
-as they are at that time, and later gadgets on u or v don't reach it. Whether state(x) still has
-an arc for y is thus read off the two derivations, and memoised as a transition table.
+So all arcs of a token lead to one state, and an arc for w is there where one for u was at that time:
+what a gadget takes from a state are v's arc and those of the tokens grown from v by later merges on its right. In the
+preorder of the trees that left parts make, with children by age, these are two runs of numbers.
 
-A word's token sequence is the one path through the automaton that spells it.
+The compiled table holds for each state the bounds of the runs that it lacks; a state that w's arcs lead
+to starts with what v's state lacked when w was made. Tokens with equal rows share their state. A transition
+looks the token's number up in the state's row: it is there unless an odd number of bounds lie before it.
+
+A word's token sequence is the one path through the automaton that spells it; decoding follows the arcs of ids and
+emits their labels.
 
 Defined results: a null text is an empty one; an empty text, or one of white space alone, has no
 ids and decodes to the empty text; repeated rows give repeated results; extra columns are ignored.
@@ -19,6 +23,8 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -32,88 +38,62 @@ from terrace.llm.tokens import MARKS, ChunkMemo, chunks_of, in_letters, latin_wo
 
 #: Stands for the end of a word inside the automaton; byte-level text never holds it.
 END = "\ue000"
-#: Transitions and words kept by a worker.
-TABLE_SIZE, WORDS_KEPT = 400_000, 100_000
+#: Words kept by a worker.
+WORDS_KEPT = 100_000
 
 
 class Automaton:
-    """Deterministic automaton over token arcs, compiled from a merge list."""
+    """Deterministic automaton over token arcs, compiled from a merge list; state 0 is the start."""
 
     def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]], end: str = "</w>"):
         self.label = {i: s for s, i in vocab.items()}
-        n = len(vocab)
-        self.left, self.right, self.born = [-1] * n, [-1] * n, [-1] * n
-        self.taken: dict[tuple[int, int], int] = {}  # (u, v): the gadget that took v's arc after u
-        made = {b for a, c in merges for b in (a + c,)}
-        self.spelled: dict[str, int] = {}
-        form: dict[int, str] = {}
-        for s, i in vocab.items():
-            if s not in made:
-                form[i] = s[: -len(end)] + END if s.endswith(end) and len(s) > len(end) else s
-        for k, (a, b) in enumerate(merges):
-            self._gadget(k, vocab[a], vocab[b], vocab[a + b])
-            form[vocab[a + b]] = form[vocab[a]] + form[vocab[b]]
-        for i, s in form.items():
-            self.spelled[s] = i
+        n = max(vocab.values(), default=-1) + 1
+        made = {a + c for a, c in merges}
+        form = {i: s[: -len(end)] + END if s.endswith(end) and len(s) > len(end) else s for s, i in vocab.items() if s not in made}
+        gadgets = []
+        for a, c in merges:
+            u, v, w = vocab[a], vocab[c], vocab[a + c]
+            form[w] = form[u] + form[v]
+            gadgets.append((u, v, w))
+        self.spelled = {s: i for i, s in form.items()}
         self.longest = max(map(len, self.spelled), default=1)
-        self.table: dict[int, bool] = {}
+        self.place, runs = _runs(n, gadgets)
+        self.state, self.rows = _rows(n, gadgets, runs, {i for i, s in form.items() if s.endswith(END)})
         self.trie = ahocorasick.Automaton()
         for x in self.spelled:
             self.trie.add_word(x, True)
 
-    def _gadget(self, k: int, u: int, v: int, w: int) -> None:
-        self.taken[u, v] = k
-        self.left[w], self.right[w], self.born[w] = u, v, k
-
-    def has_arc(self, x: int, y: int) -> bool:
-        """Whether the state after token x has an arc for token y."""
-        found = self.table.get(x << 20 | y)
-        if found is None:
-            found = self._derived(x, y)
-            if len(self.table) >= TABLE_SIZE:
-                self.table.clear()
-            self.table[x << 20 | y] = found
-        return found
-
-    def _derived(self, x: int, y: int) -> bool:
-        before = len(self.taken)  # what x inherits from a right part was taken before x was born
-        a = x
-        while a >= 0:
-            until, b = len(self.taken), y
-            while b >= 0:
-                k = self.taken.get((a, b))
-                if k is not None and k < before and k <= until:
-                    return False
-                until, b = self.born[b], self.left[b]
-            before, a = self.born[a], self.right[a]
-        return True
+    def step(self, state: int, token: int) -> int:
+        """The state that the token's arc leads to, -1 if there is no such arc."""
+        return -1 if bisect_right(self.rows[state], self.place[token]) & 1 else self.state[token]
 
     def path(self, word: str) -> list[int]:
         """Tokens of a word in byte-level letters, its last letter followed by END."""
-        spelled, has_arc, n = self.spelled, self.has_arc, len(word)
+        spelled, step, n = self.spelled, self.step, len(word)
         out: list[int] = []
-        ends = [0]  # where each token of out ends
+        ends, states = [0], [0]  # where each token of out ends, and the states on the way
         dead = set()
         length = self.reach(word, 0)
         while True:
-            at, last = ends[-1], out[-1] if out else -1
+            at, state, to = ends[-1], states[-1], -1
             while length:
                 t = spelled.get(word[at : at + length])
-                if t is not None and (last < 0 or has_arc(last, t)) and not (dead and (at + length, t) in dead):
+                if t is not None and (to := step(state, t)) >= 0 and not (dead and (at + length, t) in dead):
                     break
                 length -= 1
             if length:
                 out.append(t)
                 ends.append(at + length)
+                states.append(to)
                 if at + length == n:
                     return out
                 length = self.reach(word, at + length)
             else:  # no arc leads on from here: the token before must be shorter
                 if not out:
                     raise ValueError(f"no path spells {word!r}")
-                dead.add((at, last))
-                out.pop()
+                dead.add((at, out.pop()))
                 ends.pop()
+                states.pop()
                 length = at - ends[-1] - 1
 
     def reach(self, word: str, at: int) -> int:
@@ -121,6 +101,65 @@ class Automaton:
         return self.trie.longest_prefix(word[at : at + self.longest])
 
 
+def _runs(n: int, gadgets: list[tuple[int, int, int]]) -> tuple[list[int], list[tuple[int, int, int, int]]]:
+    """Each token's preorder number, and the two runs (from, to, from, to) of numbers that each gadget takes from a state."""
+    children: list[list[int]] = [[] for _ in range(n)]
+    born = [0] * n
+    for k, (u, _, w) in enumerate(gadgets):
+        children[u].append(w)  # in order of age
+        born[w] = k
+    place, last = [0] * n, [0] * n
+    has_parent = {w for _, _, w in gadgets}
+    number = 0
+    stack = [x for x in range(n) if x not in has_parent]
+    while stack:
+        x = stack.pop()
+        if x < 0:
+            last[~x] = number
+            continue
+        place[x] = number
+        number += 1
+        stack.append(~x)
+        stack += reversed(children[x])
+    runs = []
+    for k, (_, v, _) in enumerate(gadgets):
+        later = children[v][bisect_left(children[v], k, key=born.__getitem__) :]
+        runs.append((place[v], place[v] + 1, place[later[0]] if later else last[v], last[v]))
+    return place, runs
+
+
+def _rows(n: int, gadgets: list[tuple[int, int, int]], runs: list[tuple[int, int, int, int]], final: set[int]) -> tuple[list[int], list[array]]:
+    """Each token's state, and the bounds of what each state lacks: 0 is the start, 1 the end, which has no arcs."""
+    own: list[list[int]] = [[] for _ in range(n)]
+    part: dict[int, tuple[int, int]] = {}  # right part and gadget of a token
+    for k, (u, v, w) in enumerate(gadgets):
+        own[u].append(k)
+        part[w] = (v, k)
+    table = np.array(runs, np.int64).reshape(-1, 2, 2)
+    rows, numbers = [array("I"), array("I", [0])], {b"": 0}
+    state = [1] * n
+    lacks: dict[int, np.ndarray] = {}  # gadgets that took something from the state of a token
+    for x in [x for x in range(n) if x not in part] + [w for _, _, w in gadgets]:
+        if x in final:
+            continue
+        taken = np.array(own[x], np.int64)
+        if x in part:
+            v, k = part[x]
+            taken = np.concatenate([taken, lacks[v][lacks[v] < k]])
+        lacks[x] = taken
+        found = table[taken].reshape(-1, 2)
+        found = found[np.argsort(found[:, 0], kind="stable")]
+        upto = np.maximum.accumulate(found[:, 1])
+        apart = np.flatnonzero(found[1:, 0] > upto[:-1])
+        bounds = np.column_stack([found[np.r_[0, apart + 1], 0], upto[np.r_[apart, len(upto) - 1]]]).ravel().astype(np.uint32) if len(found) else np.zeros(0, np.uint32)
+        row = bounds.tobytes()
+        if row not in numbers:
+            numbers[row] = len(rows)
+            rows.append(array("I", row))
+        state[x] = numbers[row]
+    return state, rows
+
+
 @lru_cache(maxsize=2)
 def codec(path: str):
     """Function from the UTF-8 bytes of a text to the parts (count, decimal ids, arc labels) of its chunks."""
