@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,6 +11,32 @@ NUMBER = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 INTEGER = r"^[+-]?[0-9]{1,19}$"
 
 
+def _compatible() -> tuple[str, str, list[tuple[str, str]]]:
+    """Forms of letters, digits and marks that full-width and other variants, blanks and ligatures stand for, by the Unicode tables."""
+    single, several = [], []
+    for code in [*range(0xA0, 0x250), *range(0x2000, 0x2190), *range(0x3000, 0x3001), *range(0xFB00, 0xFB07), *range(0xFF01, 0xFFEF)]:
+        c = chr(code)
+        plain = unicodedata.normalize("NFKC", c)
+        if plain != c and len(plain) == 1:
+            single.append((c, plain))
+        elif plain != c and plain.isascii() and plain.isalpha():
+            several.append((c, plain))
+    return "".join(a for a, _ in single), "".join(b for _, b in single), several
+
+
+_FORMS, _PLAIN, _LIGATURES = _compatible()
+
+
+def compat(x: Column) -> Column:
+    """Compatibility variants of Latin letters, digits, marks and blanks as what they stand for; see ``text.nfkc`` for all of Unicode."""
+    x = F.translate(x, _FORMS, _PLAIN)
+    held = x.rlike("[" + "".join(c for c, _ in _LIGATURES) + "]")
+    spelled = x
+    for c, plain in _LIGATURES:
+        spelled = F.replace(spelled, F.lit(c), F.lit(plain))
+    return F.when(held, spelled).otherwise(x)
+
+
 def blank_to_null(x: Column) -> Column:
     return F.nullif(F.trim(x), F.lit(""))
 
@@ -62,7 +90,7 @@ def unit_or_one(x: Column) -> Column:
 
 def normalize_number(x: Column) -> Column:
     """struct(i, d, s): a whole number, a number with point or percent sign, or the cleaned text."""
-    t = F.trim(x)
+    t = F.trim(compat(x))
     percent = t.endswith("%")
     clean = F.nullif(F.replace(F.translate(t, "%    ​\"'", ""), F.lit(","), F.lit(".")), F.lit(""))
     whole = clean.rlike(r"^[+-]?[0-9]+$") & ~percent

@@ -9,6 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from terrace.functions.casts import compat, normalize_number
+
 
 def _accents() -> tuple[str, str]:
     """Latin letters that decompose into one ASCII letter and marks, and those letters."""
@@ -48,7 +50,7 @@ def normalize_name(x: Column) -> Column:
 
 def fold_header(x: Column) -> Column:
     """Header key: no accents, one kind of apostrophe, single blanks, lower case."""
-    return F.lower(collapse(F.replace(strip_accents(F.coalesce(x, F.lit(""))), F.lit("’"), F.lit("'"))))
+    return F.lower(collapse(F.replace(strip_accents(compat(F.coalesce(x, F.lit("")))), F.lit("’"), F.lit("'"))))
 
 
 # Slug patterns and their canonical names, the first that matches counts.
@@ -79,7 +81,7 @@ FIELD_RULES = (
 
 
 def slug(x: Column) -> Column:
-    folded = F.replace(strip_accents(F.lower(F.trim(F.coalesce(x, F.lit(""))))), F.lit("%"), F.lit(" percent "))
+    folded = F.replace(strip_accents(F.lower(F.trim(compat(F.coalesce(x, F.lit("")))))), F.lit("%"), F.lit(" percent "))
     return F.regexp_replace(F.regexp_replace(folded, "[^a-z0-9]+", "_"), "^_+|_+$", "")
 
 
@@ -92,9 +94,9 @@ def field_name(x: Column, rules: tuple[tuple[str, str], ...] = FIELD_RULES) -> C
     return found.otherwise(s)
 
 
-def normalize_map(m: Column, value: Column | None = None) -> Column:
-    """A map with canonical keys and, on two labels of one name, the last one's value."""
-    entries = F.transform(F.map_entries(m), lambda e: F.struct(field_name(e["key"]).alias("key"), e["value"].alias("value")))
+def normalize_map(m: Column) -> Column:
+    """A map with canonical keys and values as ``normalize_number`` gives them; on two labels of one name, the last one's value."""
+    entries = F.transform(F.map_entries(m), lambda e: F.struct(field_name(e["key"]).alias("key"), normalize_number(e["value"]).alias("value")))
     names = F.array_distinct(F.transform(entries, lambda e: e["key"]))
     return F.map_from_arrays(names, F.transform(names, lambda k: F.element_at(F.filter(entries, lambda e: e["key"] == k), -1)["value"]))
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrace.functions.text import normalize_name
+from terrace.operators.dedup import first_by
 
 
 def mark_existing(df: DataFrame, keys: DataFrame, key: str, name: str) -> DataFrame:
@@ -15,10 +16,10 @@ def mark_existing(df: DataFrame, keys: DataFrame, key: str, name: str) -> DataFr
 
 
 def lookup(df: DataFrame, dim: DataFrame | None, key: str, columns: list[str]) -> DataFrame:
-    """Attributes of a dimension, null where it, or the whole dimension, is missing."""
+    """Attributes of a dimension, null where it, or the whole dimension, is missing; of rows of one key the least counts."""
     if dim is None:
         return df.withColumns({c: F.lit(None).cast("string") for c in columns})
-    return df.join(dim.select(key, *columns).dropDuplicates([key]), key, "left")
+    return df.join(first_by(dim.select(key, *columns), [key], columns), key, "left")
 
 
 def full_series(a: DataFrame, b: DataFrame, key: str) -> DataFrame:

@@ -14,18 +14,21 @@ from terrace.functions.text import collapse, fold_header
 
 
 def flatten_tree(df: DataFrame, root: str, depth: int, fields: list[str], present: str, children: str = "children") -> DataFrame:
-    """Rows of a nested tree, level by level: level, the fields, and each ancestor's first field as name_1, name_2, ...
+    """Rows of a nested tree: level, the fields, and each ancestor's first field as name_1, name_2, ...
 
-    A node without ``present`` gives no row, but its children do.
+    A node without ``present`` gives no row, but its children do. One pass: the nodes of all levels become one array.
     """
-    levels, at = [], df.select(F.col(root).alias("n"), F.array().cast("array<string>").alias("above"))
-    for level in range(1, depth + 1):
-        rows = at.where(F.col(f"n.{present}").isNotNull())
-        names = [F.get("above", F.lit(k)).alias(f"name_{k + 1}") for k in range(depth - 1)]
-        levels.append(rows.select(F.lit(level).alias("level"), *(F.col(f"n.{f}").alias(f) for f in fields), *names))
-        if level < depth:
-            at = at.select(F.explode(f"n.{children}").alias("n"), F.concat("above", F.array(F.col(f"n.{fields[0]}").cast("string"))).alias("above")).select("n", "above")
-    return reduce(DataFrame.unionByName, levels)
+
+    def nodes(n: Column, above: list[Column], level: int) -> Column:
+        padding = [F.lit(None).cast("string")] * (depth - 1 - len(above))
+        names = [x.alias(f"name_{k + 1}") for k, x in enumerate([*above, *padding])]
+        own = F.filter(F.array(F.struct(F.lit(level).alias("level"), *(n[f].alias(f) for f in fields), *names)), lambda _: n[present].isNotNull())
+        if level == depth:
+            return own
+        below = F.flatten(F.transform(n[children], lambda c: nodes(c, [*above, n[fields[0]].cast("string")], level + 1)))
+        return F.concat(own, F.when(n[children].isNotNull(), below).otherwise(F.slice(own, 1, 0)))
+
+    return df.select(F.explode(nodes(F.col(root), [], 1)).alias("n")).select("n.*")
 
 
 def find_field(df: DataFrame, json: str, field: str, depth: int, keep: list[str]) -> DataFrame:

@@ -72,10 +72,8 @@ def load_log(events: DataFrame) -> DataFrame:
 
     The latest start of a key counts, with the first end after it; without one the load is RUNNING.
     """
-    latest = Window.partitionBy("load_key").orderBy(F.desc("started_at"))
-    start = events.where(F.col("started_at").isNotNull()).withColumn("_n", F.row_number().over(latest)).where("_n = 1").select("load_key", "started_at")
-    end = events.where(F.col("ended_at").isNotNull()).select(F.col("load_key").alias("_k"), F.col("ended_at").alias("_e"), F.struct("ended_at", "status", "n_rows", "message").alias("_v"))
-    joined = start.join(end, (F.col("load_key") == F.col("_k")) & (F.col("_e") >= F.col("started_at")), "left")
-    state = joined.groupBy("load_key", "started_at").agg(F.min_by("_v", "_e").alias("v"))
+    begun = events.withColumn("_s", F.max("started_at").over(Window.partitionBy("load_key"))).where(F.col("_s").isNotNull())
+    after = F.col("ended_at") >= F.col("_s")
+    state = begun.groupBy("load_key", F.col("_s").alias("started_at")).agg(F.min(F.when(after, F.struct("ended_at", "status", "n_rows", "message"))).alias("v"))
     ms = duration_ms(F.col("started_at"), F.col("v.ended_at"))
     return state.select("load_key", "started_at", F.col("v.ended_at").alias("ended_at"), F.coalesce("v.status", F.lit("RUNNING")).alias("status"), F.col("v.n_rows").alias("n_rows"), F.col("v.message").alias("message"), ms.alias("duration_ms"))

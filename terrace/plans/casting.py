@@ -102,6 +102,14 @@ def number_normalise(spark, d):
     return table(spark, d, "part").select("p_partkey", n["i"].alias("i"), n["d"].alias("x"), n["s"].alias("s"))
 
 
+@query("""SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(14,2)) AS DOUBLE) AS price, CAST(o_custkey AS BIGINT) AS customer, 'office_' || o_custkey AS slug, lower(o_orderpriority) AS header FROM orders""")
+def wide_forms(spark, d):
+    """Full-width digits and letters, odd blanks and ligatures count as what they stand for."""
+    wide = lambda x: F.translate(x, "0123456789.-ABCDEFGHILMNOPRSTUVW", "".join(chr(ord(c) + 0xFEE0) for c in "0123456789.-ABCDEFGHILMNOPRSTUVW"))
+    price, customer = wide(text2("o_totalprice")), F.concat(F.lit("\u2003"), wide(F.col("o_custkey").cast("string")))
+    return table(spark, d, "orders").select("o_orderkey", casts.normalize_number(price)["d"].alias("price"), casts.normalize_number(customer)["i"].alias("customer"), text.slug(F.concat(F.lit("o\ufb03ce "), customer)).alias("slug"), text.fold_header(wide(F.col("o_orderpriority"))).alias("header"))
+
+
 _FOLD = r"trim(regexp_replace(replace(regexp_replace(strip_accents(lower(trim({0}))), '[^\x00-\x7F]', '', 'g'), '-', ' '), '[\s]+', ' ', 'g'))"
 
 
@@ -245,7 +253,7 @@ def map_normalise(spark, d):
     """Two labels of one canonical name: the last counts."""
     raw = F.map_from_arrays(F.array(F.lit("Ville"), F.lit("Rayon"), F.lit("Commune")), F.array(F.lit("?"), F.get_json_object("props", "$.k"), F.col("event_type")))
     m = text.normalize_map(raw)
-    return table(spark, d, "events").select("event_id", casts.normalize_number(F.try_element_at(m, F.lit("rayon_action")))["i"].alias("rayon_action"), F.try_element_at(m, F.lit("localite")).alias("localite"))
+    return table(spark, d, "events").select("event_id", F.try_element_at(m, F.lit("rayon_action"))["i"].alias("rayon_action"), F.try_element_at(m, F.lit("localite"))["s"].alias("localite"))
 
 
 @query("""SELECT p_partkey, concat_ws('|', p_partkey, p_brand, p_type) AS k, CASE WHEN regexp_matches(trim(regexp_replace(p_name, '[^A-Za-z0-9_]', '_', 'g'), '_'), '^[0-9]') THEN 't_' ELSE '' END || trim(regexp_replace(p_name, '[^A-Za-z0-9_]', '_', 'g'), '_') AS ident FROM part""")

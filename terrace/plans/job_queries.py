@@ -84,7 +84,7 @@ def _rates(spark, d):
     day = F.when(k % 13 == 0, "31/02/2026").otherwise(F.date_format("o_orderdate", "dd/MM/yyyy"))
     orders = table(spark, d, "orders")
     bronze = orders.select("o_orderkey", code.alias("devise_code"), F.lit("devise ").alias("devise_libelle"), F.lit("x 100").alias("unite"), day.alias("date_cours"), price.alias("cours_moyen"))
-    decisions = orders.where("o_orderkey % 50 = 0").select(F.date_format("o_orderdate", "d/M/yyyy").alias("date_decision"), F.lit("2,25%").alias("taux_directeur"), F.lit("-").alias("ratio_reserve_obligatoire"))
+    decisions = orders.select(F.date_format("o_orderdate", "d/M/yyyy").alias("date_decision"), F.lit("2,25%").alias("taux_directeur"), F.lit("-").alias("ratio_reserve_obligatoire"))
     return rates.run(bronze, decisions)
 
 
@@ -102,7 +102,7 @@ def job_rates_rejects(spark, d):
     return _rates(spark, d)["rejects"].groupBy("reject_reason").agg(F.count("*").alias("n"))
 
 
-@query(f"""WITH x AS (SELECT date_id FROM ({_RATE}) UNION SELECT CAST(o_orderdate AS DATE) FROM orders WHERE o_orderkey % 50 = 0)
+@query(f"""WITH x AS (SELECT date_id FROM ({_RATE}) UNION SELECT CAST(o_orderdate AS DATE) FROM orders)
 SELECT date_id, CAST(year(date_id) AS INT) AS annee, CAST(month(date_id) AS INT) AS mois, CAST(quarter(date_id) AS INT) AS trimestre FROM x""")
 def job_rates_dates(spark, d):
     return _rates(spark, d)["dim_date"].drop("libelle_mois")

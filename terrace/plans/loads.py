@@ -31,7 +31,7 @@ def multi_file_ingest(spark, d):
     base = shared_path(spark, "many")
     parts = (("nation", "n_nationkey", "n_name"), ("region", "r_regionkey", "r_name"), ("supplier", "s_suppkey", "s_name"))
     paths = [_as_text(table(spark, d, t).select(k, n), f"{base}/{t}") for t, k, n in parts]
-    rows = readers.read_text_csv(spark, paths, ["k", "name"]).withColumn("kind", F.element_at(F.split("_metadata.file_path", "/"), -2))
+    rows = readers.read_many_text_csv(spark, paths, ["k", "name"]).withColumn("kind", F.element_at(F.split("_source_file", "/"), -2))
     return rows.select("k", "name", "kind")
 
 
@@ -54,6 +54,25 @@ def geojson_rows(spark, d):
     return rows.withColumn("first_lon", F.get_json_object("geojson_geom", "$.coordinates[0]")).drop("geojson_geom")
 
 
+@query("SELECT CAST(s_suppkey AS VARCHAR) AS osm_id, s_name AS name, 4 AS admin_level, 'region' AS level_label, CAST(s_nationkey AS VARCHAR) AS first_lon FROM supplier")
+def geojson_files(spark, d):
+    """Collections of at most 256 suppliers, a file each, read as files."""
+    path = shared_path(spark, "geojson")
+    feature = F.struct(F.lit("Feature").alias("type"), F.create_map(F.lit("ID"), F.col("s_suppkey").cast("string"), F.lit("NAME"), F.col("s_name")).alias("properties"), F.struct(F.lit("Point").alias("type"), F.array(F.col("s_nationkey"), F.lit(0)).alias("coordinates")).alias("geometry"))
+    groups = table(spark, d, "supplier").groupBy((F.col("s_suppkey") / 256).cast("bigint").alias("part")).agg(F.collect_list(feature).alias("features"))
+    groups.select("part", F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), "features")).alias("value")).write.partitionBy("part").text(path)
+    rows = readers.read_geojson(spark, path, "NAME", "ID", 4, "region")
+    return rows.withColumn("first_lon", F.get_json_object("geojson_geom", "$.coordinates[0]")).drop("geojson_geom")
+
+
+@query("SELECT 1 AS n_batches, count(*) AS n_rows, 36 AS id_length FROM supplier")
+def batch_lineage(spark, d):
+    """One new batch id for all rows of a run, carried from bronze to silver."""
+    bronze = readers.with_audit(table(spark, d, "supplier").select("s_suppkey"), readers.new_batch_id(), "supplier.csv")
+    silver = readers.carry_batch(sinks.full_load(bronze, shared_path(spark, "batches")))
+    return silver.agg(F.count_distinct("_bronze_batch_id").cast("int").alias("n_batches"), F.count("*").alias("n_rows"), F.max(F.length("_bronze_batch_id")).alias("id_length"))
+
+
 @query("SELECT event_id, event_type, user_id FROM events")
 def log_read(spark, d):
     path = shared_path(spark, "log")

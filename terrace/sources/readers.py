@@ -19,8 +19,8 @@ def read_text_csv(spark: SparkSession, path: str | list[str], columns: list[str]
 
 
 def read_many_text_csv(spark: SparkSession, paths: list[str], columns: list[str], tag: str = "_source_file") -> DataFrame:
-    """Files of one shape in one table, with the name of each row's file."""
-    return read_text_csv(spark, paths, columns).withColumn(tag, F.col("_metadata.file_name"))
+    """Files of one shape in one table, with the path of each row's file."""
+    return read_text_csv(spark, paths, columns).withColumn(tag, F.col("_metadata.file_path"))
 
 
 def read_theme_directory(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -48,7 +48,9 @@ def geojson_rows(collections: DataFrame, text: str, name_field: str, id_field: s
 
 
 def read_geojson(spark: SparkSession, path: str, name_field: str, id_field: str, level: int, label: str) -> DataFrame:
-    return geojson_rows(spark.read.text(path, wholetext=True), "value", name_field, id_field, level, label)
+    """The features of a folder of collections, one collection a file."""
+    files = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
+    return geojson_rows(files, "value", name_field, id_field, level, label)
 
 
 RUN_LOG = "dataset_key string, source_url string, file_name string, file_sha256 string, file_size_bytes bigint, http_status int, status string, n_rows bigint, error_message string, scraped_at string"

@@ -50,7 +50,7 @@ def test_text(spark):
 
 def test_colliding_labels_keep_the_last(spark):
     m = F.map_from_arrays(F.array(F.lit("Ville"), F.lit("Commune")), F.array(F.lit("a"), F.lit("b")))
-    assert spark.range(1).select(text.normalize_map(m)).first()[0] == {"localite": "b"}
+    assert spark.range(1).select(text.normalize_map(m)).first()[0]["localite"].asDict() == {"i": None, "d": None, "s": "b"}
 
 
 def test_split_is_complementary(spark):
@@ -165,3 +165,46 @@ def test_stream_in_any_order(spark, tmp_path):
             out = stream_upsert(spark, f"{base}/landing", df.schema, f"{base}/table", f"{base}/state", ["k"], "version", [("key missing", F.col("k").isNotNull())])
         results.append(sorted(map(tuple, out.select("k", "v", "version").collect())))
     assert results[0] == results[1] == [(1, 11, 2), (2, 20, 1), (3, 30, 1)]
+
+
+def test_stream_touches_few_buckets(spark, tmp_path):
+    schema = "k int, v int, version int"
+    (tmp_path / "landing").mkdir()
+    args = (f"{tmp_path}/table", f"{tmp_path}/state", ["k"], "version")
+    shape = spark.createDataFrame([], schema).schema
+    none = stream_upsert(spark, f"{tmp_path}/landing", shape, *args)
+    assert none.count() == 0 and none.columns == ["k", "v", "version"]
+    for n, rows in enumerate([[(k, k, 1) for k in range(100)], [(7, 70, 2)], [(7, 71, 2)], [(7, 0, 1), (None, 5, 1)]]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/landing")
+        out = stream_upsert(spark, f"{tmp_path}/landing", shape, *args, buckets=8)
+        written = sorted(p.name for p in (tmp_path / "table" / f"batch={n:012d}").glob("bucket=*"))
+        assert len(written) == 8 if n == 0 else len(written) <= 2
+    found = {r["k"]: r["v"] for r in out.collect()}
+    assert found == {k: k for k in range(100)} | {7: 71, None: 5}
+    for name in written:  # older versions are gone
+        assert len([*(tmp_path / "table").glob(f"batch=*/{name}")]) == 2
+
+
+def test_header_rules_follow_the_slug(spark):
+    """All rules as they apply to slugs: words joined by underscores are one word, so patterns of several words find nothing."""
+    import re
+
+    labels = ["Code rayon action", "Rayon", "rayon d'action", "Localité", "Ville", "COMMUNE", "Code localité", "Nombre guichet", "Guichet", "Dépôts", "Dépôt montant", "dépôts %", "Crédit montant", "Immobilier", "Équipement", "Trésorerie", "Consommation", "Ménage", "Ménages", "Sociétés non financières privées", "Entreprise", "Entreprises", "%", "Variation %", "Encours variation", "Autre"]
+    found = values(spark, text.field_name, *labels)
+    slugs = values(spark, text.slug, *labels)
+    assert found == [next((name for pattern, name in text.FIELD_RULES if re.search(pattern, s, re.ASCII)), s) for s in slugs]
+    assert {"rayon_action", "localite", "nombre_guichets", "credit_immobilier", "credit_equipement", "credit_tresorerie", "credit_consommation", "credit_menages", "credit_entreprises", "percent"} <= set(found)
+
+
+def test_load_log_of_long_histories(spark):
+    rows = [("a", f"2026-01-{k:02d} 00:00:00", None, None, None, None) for k in range(1, 29)] + [("a", None, f"2026-01-{k:02d} 01:00:00", "OK", k, None) for k in range(1, 29)] + [("b", "2026-02-01 00:00:00", None, None, None, None), ("c", None, "2026-02-01 00:00:00", "OK", 1, None)]
+    df = spark.createDataFrame(rows, "load_key string, started_at string, ended_at string, status string, n_rows int, message string").withColumns({c: F.col(c).cast("timestamp") for c in ("started_at", "ended_at")})
+    found = {r["load_key"]: (r["status"], r["n_rows"], r["duration_ms"]) for r in quality.load_log(df).collect()}
+    assert found == {"a": ("OK", 28, 3_600_000), "b": ("RUNNING", None, None)}
+
+
+def test_point_in_two_parts_is_one_match(spark):
+    ring = lambda x, y: [[(x, y), (x + 4.0, y), (x + 4.0, y + 4.0), (x, y + 4.0), (x, y)]]
+    polygons = spark.createDataFrame([(1, [ring(0.0, 0.0), ring(2.0, 2.0)])], "id int, geom array<array<array<struct<lon:double,lat:double>>>>")
+    points = spark.createDataFrame([(1, 3.0, 3.0), (2, 1.0, 1.0), (3, 5.5, 5.5), (4, 9.0, 9.0)], "p int, lon double, lat double")
+    assert sorted(r["p"] for r in spatial.points_in_polygons(points, polygons, 1.0).collect()) == [1, 2, 3]
