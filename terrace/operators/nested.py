@@ -90,6 +90,20 @@ def expand_cells(df: DataFrame, row: str, keep: list[str]) -> DataFrame:
     return spread.select(*keep, "line", cells.alias("row"))
 
 
+def expanded_grid(grid: Column) -> Column:
+    """A grid whose third row's cells all hold the same number of lines, with these lines as rows.
+
+    Below two header rows such a table has one row of cells and, unless that is of lines too, one summary row.
+    """
+    third, fourth = F.coalesce(F.get(grid, F.lit(2)), F.array().cast("array<string>")), F.get(grid, F.lit(3))
+    parts = F.transform(third, lambda c: F.split(F.coalesce(c, F.lit("")), "\n"))
+    sizes = F.array_distinct(F.transform(F.filter(parts, lambda p: p != F.array(F.lit(""))), F.size))
+    n = F.get(sizes, F.lit(0))
+    lines = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.transform(parts, lambda p: F.get(p, i)))
+    summary = F.when(~F.coalesce(F.exists(fourth, lambda c: F.contains(F.coalesce(c, F.lit("")), F.lit("\n"))), F.lit(True)), F.slice(grid, 4, 1)).otherwise(F.slice(grid, 1, 0))
+    return F.when((F.size(sizes) == 1) & (n > 1), F.concat(F.slice(grid, 1, 2), lines, summary)).otherwise(grid)
+
+
 # Words one of which a header row holds.
 HEADER_WORDS = ("rayon", "localite", "code", "dépôts", "crédit", "nombre")
 
@@ -101,7 +115,8 @@ def header_index(grid: Column) -> Column:
 
 
 def table_rows(df: DataFrame, grid: str, keep: list[str]) -> DataFrame:
-    """(keep..., row_number, record) of a grid with a two-row header: blank first cells and totals are dropped."""
+    """(keep..., row_number, record) of a grid with a two-row header: cells of lines become rows, blank first cells and totals are dropped."""
+    df = df.select(*keep, expanded_grid(F.col(grid)).alias(grid))
     at = df.withColumn("_at", header_index(F.col(grid)))
     head = at.withColumn("_h", merged_header(F.get(F.col(grid), F.col("_at")), F.coalesce(F.get(F.col(grid), F.col("_at") + 1), F.array().cast("array<string>"))))
     rows = head.select(*keep, "_h", F.posexplode(F.slice(F.col(grid), F.col("_at") + 3, F.greatest(F.size(grid) - F.col("_at") - 2, F.lit(0)))).alias("_p", "_r"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from terrace.functions import casts, geo, text
@@ -258,6 +259,17 @@ def html_tables(spark, d):
     return r.select("page_id", *(F.try_element_at("record", F.lit(k)).alias(n) for k, n in (("Códe", "code"), ("Status", "status"), ("Amount", "amount"))))
 
 
+@query("""WITH s AS (SELECT s_suppkey AS k, CAST(CAST(s_acctbal AS DECIMAL(14,2)) AS VARCHAR) AS b FROM supplier)
+SELECT k, CAST(1 AS INT) AS row_number, 'A' || k AS code, b AS amount, '1' AS share FROM s UNION ALL SELECT k, 2, 'B' || k, '7', '2' FROM s UNION ALL SELECT k, 3, 'Ensemble', b, '3' FROM s WHERE k % 2 = 1""")
+def table_chain(spark, d):
+    """Tables whose one data row holds lines, with merged headers and a summary row that is kept unless it is a total."""
+    k, b = F.col("s_suppkey").cast("string"), text2("s_acctbal")
+    cells = lambda *x: F.array(*(c if isinstance(c, Column) else F.lit(c) for c in x))
+    grid = F.array(cells("Code", "Dépôts", ""), cells("", "Montant", "%"), cells(F.concat(F.lit("A"), k, F.lit("\nB"), k), F.concat(b, F.lit("\n7")), "1\n2"), cells(F.when(F.col("s_suppkey") % 2 == 1, "Ensemble").otherwise("TOTAL"), b, "3"))
+    rows = nested.table_rows(table(spark, d, "supplier").select(F.col("s_suppkey").alias("k"), grid.alias("grid")), "grid", ["k"])
+    return rows.select("k", "row_number", *(F.try_element_at("record", F.lit(h)).alias(n) for h, n in (("Code", "code"), ("Dépôts Montant", "amount"), ("Dépôts %", "share"))))
+
+
 @query(r"""WITH a AS (SELECT page_id, url AS base, unnest(regexp_extract_all(html, '(?is)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["''][^>]*>(.*?)</a>', 1)) AS href,
 unnest(regexp_extract_all(html, '(?is)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["''][^>]*>(.*?)</a>', 2)) AS title, unnest(range(CAST(len(regexp_extract_all(html, '(?is)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["''][^>]*>(.*?)</a>', 1)) AS BIGINT))) AS pos FROM pages),
 u AS (SELECT page_id, CAST(pos AS INT) AS pos, CASE WHEN starts_with(trim(href), 'http') THEN trim(href) ELSE regexp_extract(base, '^([a-z]+://[^/?#]+)', 1) || trim(href) END AS url, trim(regexp_replace(regexp_replace(title, '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) AS title FROM a)
@@ -266,14 +278,15 @@ def page_links(spark, d):
     return pages.extract_links(table(spark, d, "pages"))
 
 
-@query("""SELECT doc_id, '2024' AS year, CASE WHEN doc_id % 3 = 0 THEN CAST(n_chars AS VARCHAR) END AS density, CASE WHEN doc_id % 3 = 1 THEN CAST(doc_id AS VARCHAR) END AS agencies FROM documents WHERE doc_id % 3 < 2""")
+@query("""SELECT doc_id, '2024' AS year, CASE WHEN doc_id % 3 = 0 THEN CAST(n_chars AS VARCHAR) END AS density, CASE WHEN doc_id % 3 = 1 THEN CAST(doc_id AS VARCHAR) END AS agencies, CASE WHEN doc_id % 3 = 1 THEN '1,6' END AS per_10000 FROM documents WHERE doc_id % 3 < 2""")
 def text_indicators(spark, d):
     """Each document with a sentence appended; a third has none."""
     k = F.col("doc_id") % 3
-    added = F.when(k == 0, F.concat(F.lit(" La densité bancaire du pays ressort à "), F.col("n_chars").cast("string"))).when(k == 1, F.concat(F.lit(" Le nombre d'agences bancaires s'est accru pour ressortir à "), F.col("doc_id").cast("string"))).otherwise("")
+    added = F.when(k == 0, F.concat(F.lit(" La densité bancaire du pays ressort à "), F.col("n_chars").cast("string"))).when(k == 1, F.concat(F.lit(" Le nombre d'agences bancaires s'est accru pour ressortir à "), F.col("doc_id").cast("string"), F.lit("; Le nombre d'agences pour 10 000 habitants s'est établi à 1,6"))).otherwise("")
     docs = table(spark, d, "documents").select("doc_id", F.concat("text", added).alias("text"), F.lit("Rapport annuel 2024").alias("title"))
     # Patterns of the report's sentences.
-    patterns = {"density": [r"(?i)densit[ée]\s+bancaire[^.]{0,120}?ressort\s*à\s*([0-9.,\s]+)"], "agencies": [r"(?i)nombre\s+d.agences\s+bancaires[^.]{0,120}?ressortir\s*à\s*([0-9.,\s]+)"]}
+    patterns = {"density": [r"(?i)densit[ée]\s+bancaire[^.]{0,120}?ressort\s*à\s*([0-9.,\s]+)"], "agencies": [r"(?i)nombre\s+d.agences\s+bancaires[^.]{0,120}?ressortir\s*à\s*([0-9.,\s]+)"],
+                "per_10000": [r"(?i)nombre\s+d.agences\s+pour\s+10\s*[.]?\s*000\s+habitants[^.]{0,60}?établi\s*à\s*([0-9.,]+)"]}
     return pages.text_indicators(docs, "text", "title", patterns, ["doc_id"])
 
 
