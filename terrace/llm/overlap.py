@@ -42,6 +42,8 @@ NEAR, OF = 4, 5
 SAMPLE_ROWS, FREQUENT, MOST = 10_000, 3, 200_000
 #: Texts of one key that are compared in one task; a key of more is split into cells. Comparisons held at a time.
 PART, HELD = 2048, 1 << 20
+#: Texts of a key up to which their pairs are given out; those of more are compared in place.
+SMALL = 16
 _ODD = tuple(np.uint64(x | 1) for x in (0x9E3779B97F4A7C14, 0xBF58476D1CE4E5B8, 0x94D049BB133111EA))
 
 
@@ -137,7 +139,7 @@ def marks(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
 def whole_runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
     """(where runs begin and the last ends, columns) of sorted rows; runs agree in the first ``keys`` columns and aren't torn."""
     held: list[list[np.ndarray]] = []
-    for columns in ([np.asarray(c) for c in batch.columns] for batch in batches if batch.num_rows):
+    for columns in ([c.to_numpy(zero_copy_only=False) for c in batch.columns] for batch in batches if batch.num_rows):
         last = held[-1] if held else columns
         if held and all(h[-1] == c[-1] for h, c in zip(last[:keys], columns, strict=False)):
             held.append(columns)  # of one run
@@ -224,6 +226,72 @@ def candidates(shared: DataFrame, meets: str) -> DataFrame:
     return laid.mapInArrow(rows, "a long, b long").distinct()
 
 
+def crowded_candidates(rows: DataFrame, firsts: DataFrame) -> DataFrame:
+    """As ``candidates`` for all, of keys of very many texts: pairs that share enough first shingles, each given out by one key.
+
+    ``rows``: as there; ``firsts``: node, keys. Of a key's texts, those outside the commonest component are compared with all.
+    """
+    own, other = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    crowded = rows.groupBy("node").agg(F.collect_list("key").alias("hot"), F.collect_list(F.col("leads").cast("int")).alias("hot_leads"))
+    wide = rows.join(crowded.join(firsts, "node"), "node").withColumn("own", own).withColumn("other", other)
+    cell = (F.least("own", "other") * F.col("parts") + F.greatest("own", "other")).cast("long").alias("cell")
+    laid = wide.select("key", cell, "own", "node", "size", "root", "keys", "hot", "hot_leads").repartition("key", "cell").sortWithinPartitions("key", "cell", "root", "node")
+
+    def holders(lists: np.ndarray, *more: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """(value, who holds it, what they hold beside it) for each value that several hold, ascending."""
+        owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+        value = np.concatenate(lists)
+        order = np.argsort(value, kind="stable")
+        edges = np.flatnonzero(np.r_[True, value[order][1:] != value[order][:-1], True])
+        beside = [np.concatenate(m)[order] for m in more]
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            if b - a > 1:
+                yield value[order[a]], owner[order[a:b]], *(m[a:b] for m in beside)
+
+    def compared(key: int, own: np.ndarray, node: np.ndarray, size: np.ndarray, root: np.ndarray, keys: np.ndarray, hot: np.ndarray, leads: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        values, counts = np.unique(root, return_counts=True)
+        asks = np.flatnonzero(root != values[counts.argmax()])
+        least, length = np.full(len(node), -1), np.array([len(x) for x in keys])
+        for at in range(0, len(asks), max(1, HELD // len(node))):
+            block = asks[at : at + max(1, HELD // len(node))]
+            least[:] = -1
+            least[block] = np.arange(len(block))
+            shared, elsewhere = np.zeros((len(block), len(node)), np.uint16), np.zeros((len(block), len(node)), bool)
+            smaller = (size[block, None] < size) | (size[block, None] == size) & (node[block, None] < node)  # the asking one
+            for _, who in holders(keys):
+                a = who[least[who] >= 0]
+                shared[np.ix_(least[a], who)] += 1
+            here = None
+            for k, who, lead in holders(hot, leads):
+                if k > key:
+                    break
+                mine = least[who] >= 0
+                a = least[who[mine]]
+                met = np.where(smaller[np.ix_(a, who)], lead[mine][:, None], lead) > 0
+                if k == key:
+                    here = np.zeros_like(elsewhere)
+                    here[np.ix_(a, who)] = met
+                else:
+                    elsewhere[np.ix_(a, who)] |= met
+            both = -(-NEAR * (size[block, None] + size) // (NEAR + OF))
+            need = np.minimum(length[block, None] - size[block, None] + both, length - size + both)
+            fit = here & ~elsewhere & (shared >= need) & (root[block, None] != root) & (OF * np.minimum(size[block, None], size) >= NEAR * np.maximum(size[block, None], size))
+            if own.min() != own.max():
+                fit &= own[block, None] != own
+            fit &= (least < 0) | (block[:, None] < np.arange(len(node)))  # two that ask meet once
+            a, b = np.nonzero(fit)
+            yield node[block[a]], node[b]
+
+    def pairs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for starts, (key, cell, own, node, size, root, keys, hot, leads) in whole_runs(batches, 2):
+            for x, y in zip(starts[:-1], starts[1:], strict=True):
+                if root[x] != root[y - 1]:
+                    for a, b in compared(key[x], *(c[x:y] for c in (own, node, size, root, keys, hot, leads))):
+                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+    return laid.mapInArrow(pairs_of, "a long, b long")
+
+
 def enough_keys(a: np.ndarray, b: np.ndarray, size_a: int, size_b: int) -> bool:
     """Whether two sets that share just these of their first shingles can be similar.
 
@@ -302,15 +370,23 @@ def near_copies(docs: DataFrame) -> DataFrame:
     tested = stored(simhash_pairs(nodes), "pairs")
     links = verified(tested, marked, nodes, docs)
     shared = shared_keys(marked, nodes)
-    if crowded:  # at most MOST keys
+    if crowded:  # no more than MOST keys
         parts = docs.sparkSession.createDataFrame(list(crowded.items()), "_key long, parts int")
         shared = shared.join(F.broadcast(parts), F.col("key") == F.col("_key"), "left").drop("_key").withColumn("parts", F.coalesce("parts", F.lit(1)))
     else:
         shared = shared.withColumn("parts", F.lit(1))
     shared = stored(shared, "shared")
+    crowd = stored(shared.groupBy("key").count().where(F.col("count") > SMALL).select("key"), "crowd")
     roots = components(links)
-    for meets in ("one", "all"):
-        pairs = stored(candidates(shared.join(placed(nodes.drop("doc"), roots), "node"), meets).join(tested, ["a", "b"], "left_anti"), "pairs")
+    for meets in ("one", "one", "all"):
+        rows = shared.join(placed(nodes.drop("doc"), roots), "node")
+        if meets == "one":
+            found = candidates(rows, meets)
+        else:
+            crowded_rows = stored(semi_join(rows, crowd, "key"), "crowded")
+            firsts = semi_join(marked.select("node", "keys"), crowded_rows.select("node"), "node").dropDuplicates(["node"])
+            found = candidates(anti_join(rows, crowd, "key"), meets).union(crowded_candidates(crowded_rows, firsts)).distinct()
+        pairs = stored(found.join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = tested.union(pairs)
         links = links.union(verified(pairs, marked, nodes, docs))
         roots = components(links)

@@ -3,6 +3,8 @@
 import re
 from itertools import combinations
 
+import pytest
+
 import corpus_pipeline
 from terrace.llm import overlap
 
@@ -35,8 +37,11 @@ def test_given_documents(spark):
     assert {1, 6} <= set(kept) and not {145, 177} & set(kept)  # similarity 0.83, more than 3 bits
 
 
-def test_chains_edges_and_groups(spark, monkeypatch):
+@pytest.mark.parametrize(("small", "part"), [(16, 2048), (2, 6)])
+def test_chains_edges_and_groups(spark, monkeypatch, small, part):
     monkeypatch.setattr(overlap, "SAMPLE_ROWS", 60)
+    monkeypatch.setattr(overlap, "SMALL", small)  # keys of few texts are compared in place
+    monkeypatch.setattr(overlap, "PART", part)  # and split into cells
     texts = {0: None, 1: "", 2: " \n", 3: "a", 4: "A", 5: "a b c d", 6: "a b c d e"}
     words = [f"w{k}" for k in range(104)]
     for k in range(8):  # a chain whose ends are unlike
