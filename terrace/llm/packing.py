@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terrace.llm.common import stored
 from terrace.llm.tokens import encoder, text_blocks
@@ -74,7 +75,8 @@ def plan(histogram: dict[int, int], capacity: Capacity) -> list[tuple[int, int,
                 room, open_bins = residual[at], int(bins[at])
             else:
                 at, room, open_bins = -1, limits, left
-            copies = int((room // need).min())
+            # by the norm, a bin that got one is the best for the next; by the dot-product the others of its class are
+            copies = int((room // need).min()) if capacity.rule == "norm" or at < 0 else 1
             full, rest = divmod(left, copies)
             if full >= open_bins:
                 full, rest = open_bins, 0
@@ -130,19 +132,52 @@ def token_pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int = 0, id
 def pack(pieces: DataFrame, capacity: Capacity = Capacity()) -> DataFrame:
     """``pieces`` (with length and part; already stored) with sequence_id and offset, without part.
 
-    The driver gets one row for each length that occurs. Numbers within a length are local to a
-    task's rows plus the counts of the tasks before, so no length gathers in one place.
+    The driver gets one row for each length that occurs, and sends the plan, which is no larger. Rows are dealt by
+    the task that made them: numbers within a length are local to its rows plus the counts of the tasks before, which
+    come first in the stream, so no length gathers in one place.
     """
-    spark = pieces.sparkSession
-    by_part = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
+    by_part = stored(pieces.groupBy("length", "part").agg(F.count("*").alias("n")), "lengths")
     histogram = {r["length"]: r["n"] for r in by_part.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    before = by_part.select("length", "part", F.coalesce(F.sum("n").over(Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    order = [c for c in pieces.columns if c not in ("length", "part")]
-    numbered = pieces.withColumn("_local", F.row_number().over(Window.partitionBy("length", "part").orderBy(*order)) - 1)
-    numbered = numbered.join(before, ["length", "part"]).withColumn("_number", F.col("_local") + F.col("_before"))
-    steps = spark.createDataFrame(plan(histogram, capacity), "_length long, _from long, _to long, _first long, offset long")
-    at = (F.col("length") == F.col("_length")) & (F.col("_number") >= F.col("_from")) & (F.col("_number") < F.col("_to"))
-    return numbered.join(steps, at).select(*order[:3], "length", *order[3:], (F.col("_first") + F.col("_number") - F.col("_from")).alias("sequence_id"), "offset")
+    earlier = F.sum("n").over(Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    kept = [f for f in pieces.schema.fields if f.name != "part"]
+    names = [f.name for f in kept]
+    at_length = names.index("length")
+    before = by_part.select("part", F.lit(0).alias("_kind"), F.coalesce(earlier, F.lit(0)).alias("_before"), *((F.col(f.name) if f.name == "length" else F.lit(None).cast(f.dataType)).alias(f.name) for f in kept))
+    rows = before.union(pieces.select("part", F.lit(1).alias("_kind"), F.lit(None).cast("long").alias("_before"), *names))
+    rows = rows.repartition("part").sortWithinPartitions("part", "_kind", *names)
+
+    steps = np.array(sorted((length, start, first, offset) for length, start, _, first, offset in plan(histogram, capacity)), np.int64).reshape(-1, 4)
+    starts = steps[:, 0] * (1 << 44) + steps[:, 1]
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, number = None, np.zeros(capacity.tokens + 1, np.int64)  # of the next piece of each length
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            parts, kinds, lengths = np.asarray(batch.column(0)), np.asarray(batch.column(1)), np.asarray(batch.column(3 + at_length))
+            edges = np.flatnonzero(np.r_[True, (parts[1:] != parts[:-1]) | (kinds[1:] != kinds[:-1]), True])
+            for start, stop in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                if parts[start] != part:
+                    part = parts[start]
+                    number[:] = 0
+                own = lengths[start:stop]
+                if kinds[start] == 0:
+                    number[own] = batch.column(2).slice(start, stop - start).to_numpy()
+                    continue
+                order = np.argsort(own, kind="stable")
+                same = own[order]
+                first = np.flatnonzero(np.r_[True, same[1:] != same[:-1]])
+                many = np.diff(np.r_[first, len(same)])
+                local = np.empty(len(own), np.int64)
+                local[order] = np.arange(len(own)) - np.repeat(first, many)
+                mine = number[own] + local
+                number[same[first]] += many
+                step = np.searchsorted(starts, own * (1 << 44) + mine, side="right") - 1
+                sequence = steps[step, 2] + mine - steps[step, 1]
+                piece = batch.slice(start, stop - start)
+                yield pa.RecordBatch.from_arrays([*piece.columns[3:], pa.array(sequence), pa.array(steps[step, 3])], [*names, "sequence_id", "offset"])
+
+    return rows.mapInArrow(place, T.StructType([*kept, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]))
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: Capacity = Capacity()) -> DataFrame:
