@@ -2,12 +2,13 @@
 
 Evidence of a text's language: letter trigrams of its words, the language its markup declares, the
 suffix of its address, and its host. The trigram likelihoods are learnt from a bounded labelled
-sample. A first pass gives each row a language by its text alone; grouped aggregation of these
-posteriors says how far declarations and suffixes are to be trusted, and gives each host a prior
-that is smoothed towards its domain's, which is smoothed towards that of the whole table. The final
-posterior is their product.
+sample of each language. A first pass gives each row a posterior by its text alone; grouped aggregation of these
+says how far declarations and suffixes are to be trusted, and gives each host a prior
+that is smoothed towards its domain's, which is smoothed towards that of the whole table. All of these
+leave the row's own posterior out, so its text counts once. The final posterior is their product.
 
-Defined results: a text without a letter trigram has the language "und" and isn't accepted; null
+Defined results: a text without a letter trigram has the language "und" and isn't accepted, nor is one most of whose
+trigrams no language of the sample has; null
 texts, declarations, suffixes and hosts are no evidence; repeated rows get equal results; an empty
 table gives an empty result; with no labelled rows every text is "und".
 """
@@ -19,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,14 +28,16 @@ from terrace.llm.common import binary_rows, semi_join, slices, stored
 from terrace.llm.tokens import ChunkMemo, chunks_of, text_blocks
 from terrace.llm.toxicity import held_out
 
-#: Labelled rows that the likelihoods are learnt from, at most, and trigrams kept a language.
-SAMPLE_ROWS, TRIGRAMS = 4_000, 30_000
-#: Text counts as so many independent trigrams at most; weights of domain and table in a host's prior.
-INDEPENDENT, HOST_WEIGHT, DOMAIN_WEIGHT = 40.0, 20.0, 50.0
-#: Chunks whose trigrams are looked up at a time.
-COUNTED = 50_000
-#: A language is accepted from this posterior on.
-LEAST_POSTERIOR = 0.5
+#: Labelled rows that the likelihoods are learnt from, at most, in equal parts for the languages.
+SAMPLE_ROWS = 4_000
+#: Text counts as so many independent trigrams at most; rows that the table's shares count as in what is told of a value, a domain and a host.
+INDEPENDENT, VALUE_WEIGHT, DOMAIN_WEIGHT, HOST_WEIGHT = 40.0, 5.0, 50.0, 20.0
+#: Chunks whose trigrams are looked up at a time; chunks that a worker keeps.
+COUNTED, KEPT = 50_000, 120_000
+#: A language is accepted from this posterior on, if this share of the trigrams is known.
+LEAST_POSTERIOR, LEAST_KNOWN = 0.5, 0.5
+#: Rows of an evidence table that are sent to every executor at most.
+SENT_ROWS = 50_000
 
 
 def trigrams(word: str) -> list[str]:
@@ -56,25 +59,32 @@ class Likelihoods:
         self.logs = np.vstack([np.log(0.5 / total), np.log((table + 0.5) / total)])
 
     def chunks(self, chunks: list[bytes]) -> list[bytes]:
-        """(number of trigrams, log probability by language) of each chunk, as packed floats."""
+        """(number of trigrams, number of known ones, log probability by language) of each chunk, as packed floats."""
         if len(chunks) > COUNTED:
             return [x for k in range(0, len(chunks), COUNTED) for x in self.chunks(chunks[k : k + COUNTED])]
         place, at, ends = self.place, [], []
         for c in chunks:
             at += [place.get(g, 0) for g in trigrams(c.decode("utf-8", "replace"))]
             ends.append(len(at))
-        upto = np.vstack([np.zeros(len(self.languages)), np.cumsum(self.logs[np.array(at, dtype=np.int64)], axis=0)])
+        at = np.array(at, dtype=np.int64)
+        each = np.column_stack([np.ones(len(at)), at > 0, self.logs[at]])
+        upto = np.vstack([np.zeros(each.shape[1]), np.cumsum(each, axis=0)])
         ends = np.array(ends, dtype=np.int64)
         starts = np.concatenate([[0], ends[:-1]])
-        packed = np.column_stack([ends - starts, upto[ends] - upto[starts]]).astype("<f4")
+        packed = (upto[ends] - upto[starts]).astype("<f4")
         return [x.tobytes() for x in packed]
 
 
 def learn(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Likelihoods:
-    """Likelihoods from at most about ``rows`` rows of ``docs`` (doc_id, text, lang) outside the held-out fold."""
+    """Likelihoods from at most about ``rows`` rows of ``docs`` (doc_id, text, lang) outside the held-out fold.
+
+    Each language has the same share of the sample, small ones all their rows; the driver gets one row a language.
+    """
     known = docs.select("doc_id", F.col("text").cast("string").alias("text"), "lang").where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    step = -(-max(1, known.count()) // rows)
-    sample = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(step)) == 0).select("text", "lang")
+    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    share = max(1, rows // max(1, len(sizes)))
+    steps = F.create_map(*(F.lit(x) for la, n in sorted(sizes.items()) for x in (la, -(-n // share)))) if sizes else F.lit(None).cast("map<string,int>")
+    sample = known.where(F.pmod(F.xxhash64("doc_id"), F.element_at(steps, F.col("lang"))) == 0).select("text", "lang")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -91,21 +101,20 @@ def learn(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Likelihoods:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(b, pa.string()), pa.array(c, pa.int64())], ["lang", "gram", "n"])
 
     summed = sample.mapInArrow(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    ranked = summed.withColumn("_k", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))).where(F.col("_k") <= TRIGRAMS)
     counts: dict[str, Counter] = {}
-    for r in ranked.select("lang", "gram", "n").collect():
+    for r in summed.collect():
         counts.setdefault(r["lang"], Counter())[r["gram"]] = r["n"]
     return Likelihoods(counts)
 
 
 def with_text_evidence(rows: DataFrame, model: Likelihoods, text_col: str = "text") -> DataFrame:
-    """All columns of ``rows`` but the text's, and ``_grams``, ``_logs`` (of the text by language)."""
+    """All columns of ``rows`` but the text's, and ``_grams``, ``_known``, ``_logs`` (of the text by language)."""
     kept = [f for f in rows.schema.fields if f.name != text_col]
     rows = rows.select(*(f.name for f in kept), F.col(text_col).cast("string").alias(text_col))
-    width = len(model.languages) + 1
+    width = len(model.languages) + 2
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = ChunkMemo(model.chunks)
+        memo = ChunkMemo(model.chunks, KEPT)
         for batch in (x for b in batches for x in text_blocks(b, text_col)):
             begin, number, distinct = chunks_of(batch.column(len(kept)))
             table = np.frombuffer(b"".join(memo.of(distinct)), "<f4").reshape(-1, width).astype(np.float64)
@@ -113,10 +122,11 @@ def with_text_evidence(rows: DataFrame, model: Likelihoods, text_col: str = "tex
             for k in range(width):
                 upto = np.concatenate([[0.0], np.cumsum(table[number, k])])
                 sums[:, k] = upto[begin[1:]] - upto[begin[:-1]]
-            logs = pa.ListArray.from_arrays(np.arange(batch.num_rows + 1, dtype=np.int32) * (width - 1), pa.array(sums[:, 1:].ravel()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(np.rint(sums[:, 0]).astype(np.int64)), logs], [*(f.name for f in kept), "_grams", "_logs"])
+            logs = pa.ListArray.from_arrays(np.arange(batch.num_rows + 1, dtype=np.int32) * (width - 2), pa.array(sums[:, 2:].ravel()))
+            numbers = [pa.array(np.rint(sums[:, k]).astype(np.int64)) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *numbers, logs], [*(f.name for f in kept), "_grams", "_known", "_logs"])
 
-    return rows.mapInArrow(score, T.StructType([*kept, T.StructField("_grams", T.LongType()), T.StructField("_logs", T.ArrayType(T.DoubleType()))]))
+    return rows.mapInArrow(score, T.StructType([*kept, T.StructField("_grams", T.LongType()), T.StructField("_known", T.LongType()), T.StructField("_logs", T.ArrayType(T.DoubleType()))]))
 
 
 def _posterior(logs: Column) -> Column:
@@ -129,46 +139,65 @@ def _sums(n: int) -> list[Column]:
     return [F.sum(F.get("_p", F.lit(k))).alias(f"s{k}") for k in range(n)]
 
 
-def _smoothed(name: str, above: Column, weight: float) -> Column:
-    return F.zip_with(f"_s_{name}", above, lambda s, p: (s + weight * p) / (F.col(f"_n_{name}") + weight))
+def _told(rows: DataFrame, first: DataFrame, name: str, n: int) -> DataFrame:
+    """``rows`` with the number (_n_name) and summed posteriors (_s_name) of the rows of ``first`` that have their value, null for no value.
+
+    The table has one row a value. A small one is sent to all executors; of a larger one, the values of very many
+    rows are, and those of few rows join by shuffle, so that no value gathers its rows in one task.
+    """
+    counts, sums = f"_n_{name}", f"_s_{name}"
+    by = stored(first.where(F.col(name).isNotNull()).groupBy(name).agg(F.count("*").alias(counts), F.array(*_sums(n)).alias(sums)), "evidence")
+    size = by.agg(F.count("*").alias("n"), F.sum(counts).alias("rows")).first()
+    if size["n"] <= SENT_ROWS:
+        return rows.join(F.broadcast(by), name, "left")
+    heavy = by.where(F.col(counts) >= size["rows"] / SENT_ROWS)
+    hot = rows.join(F.broadcast(heavy), name)
+    cold = rows.where(F.col(name).isNotNull()).join(F.broadcast(heavy.select(name)), name, "left_anti").join(by, name, "left")
+    none = rows.where(F.col(name).isNull()).withColumns({counts: F.lit(None).cast("long"), sums: F.lit(None).cast("array<double>")})
+    return hot.unionByName(cold).unionByName(none)
 
 
 def identify(rows: DataFrame, model: Likelihoods, declared: str | None = None, suffix: str | None = None, host: str | None = None, domain: str | None = None) -> DataFrame:
     """``rows`` (already with text evidence and stored) with lang, posterior and accepted in place of the evidence.
 
     The names are those of the columns that hold the declared language, the address suffix, the host
-    and the host's domain. Hosts and declarations join as tables of one row each, which a hot host
-    doesn't enlarge.
+    and the host's domain.
     """
     n = len(model.languages)
     if not n:
-        return rows.drop("_grams", "_logs").withColumns({"lang": F.lit("und"), "posterior": F.lit(0.0), "accepted": F.lit(False)})
+        return rows.drop("_grams", "_known", "_logs").withColumns({"lang": F.lit("und"), "posterior": F.lit(0.0), "accepted": F.lit(False)})
     scale = F.least(F.lit(1.0), F.lit(INDEPENDENT) / F.greatest(F.col("_grams"), F.lit(1)))
+    told = F.col("_grams") > 0
     rows = rows.withColumn("_text", F.transform("_logs", lambda x: x * scale))
-    first = rows.where("_grams > 0").withColumn("_p", _posterior(F.col("_text")))
+    # the row's own part of all sums: its posterior by text alone, nothing without a trigram
+    rows = rows.withColumn("_p", F.when(told, _posterior(F.col("_text"))).otherwise(F.array_repeat(F.lit(0.0), n))).withColumn("_one", told.cast("int"))
+    first = rows.where("_grams > 0")
     table = first.agg(*_sums(n)).first()
-    share = np.array([(table[k] or 0.0) + 1.0 for k in range(n)])
-    share = (share / share.sum()).tolist()
-    base = F.array(*(F.lit(x) for x in share))
-    logs = F.col("_text")
+    every = F.array(*(F.lit((table[k] or 0.0) + 1.0) for k in range(n)))
+    rows = rows.withColumn("_base", F.zip_with(every, "_p", lambda s, p: s - p))
+    rows = rows.withColumn("_base", F.transform("_base", lambda x: x / F.aggregate("_base", F.lit(0.0), lambda a, b: a + b)))
+
+    def of_value(name: str, above: Column, weight: float) -> Column:
+        """P(language | value) by the other rows, smoothed towards ``above``."""
+        others = F.zip_with(f"_s_{name}", "_p", lambda s, p: F.greatest(s - p, F.lit(0.0)))
+        found = F.zip_with(others, above, lambda s, q: (s + weight * q) / (F.col(f"_n_{name}") - F.col("_one") + weight))
+        return F.when(F.col(f"_n_{name}").isNull(), above).otherwise(found)
 
+    logs, prior = F.col("_text"), F.col("_base")
     for name in (declared, suffix):
-        if name:  # P(value | language), smoothed by the value's share of all
-            by = first.where(F.col(name).isNotNull()).groupBy(name).agg(F.count("*").alias("_all"), *_sums(n))
-            likely = [F.log((F.col(f"s{k}") + 5 * F.col("_all") / (1 + F.col("_all"))) / F.lit(share[k])) for k in range(n)]
-            rows = rows.join(by.select(name, F.array(*likely).alias(f"_of_{name}")), name, "left")
-            logs = F.when(F.col(f"_of_{name}").isNull(), logs).otherwise(F.zip_with(logs, f"_of_{name}", lambda a, b: a + b))
-    prior = base
+        if name:
+            rows = _told(rows, first, name, n)
+            told_by = F.zip_with(of_value(name, F.col("_base"), VALUE_WEIGHT), "_base", lambda a, b: F.log(a / b))
+            logs = F.zip_with(logs, told_by, lambda a, b: a + b)
     for name, weight in ((domain, DOMAIN_WEIGHT), (host, HOST_WEIGHT)):
         if name:
-            by = first.where(F.col(name).isNotNull()).groupBy(name).agg(F.count("*").alias(f"_n_{name}"), F.array(*_sums(n)).alias(f"_s_{name}"))
-            rows = rows.join(by, name, "left")
-            prior = F.when(F.col(f"_n_{name}").isNull(), prior).otherwise(_smoothed(name, prior, weight))
-    rows = rows.withColumn("_logs", F.zip_with(logs, F.transform(prior, lambda p: F.log(p)), lambda a, b: a + b)).withColumn("_p", _posterior(F.col("_logs")))
+            rows = _told(rows, first, name, n)
+            prior = of_value(name, prior, weight)
+    rows = rows.withColumn("_logs", F.zip_with(logs, prior, lambda a, p: a + F.log(p))).withColumn("_p", _posterior(F.col("_logs")))
     best = F.array_max("_p")
-    told = F.col("_grams") > 0
     found = F.when(told, F.element_at(F.array(*(F.lit(x) for x in model.languages)), F.array_position("_p", best).cast("int"))).otherwise("und")
-    rows = rows.withColumns({"lang": found, "posterior": F.when(told, best).otherwise(0.0), "accepted": told & (best >= LEAST_POSTERIOR)})
+    known = F.col("_known") >= LEAST_KNOWN * F.col("_grams")
+    rows = rows.withColumns({"lang": found, "posterior": F.when(told, best).otherwise(0.0), "accepted": told & known & (best >= LEAST_POSTERIOR)})
     return rows.drop(*[c for c in rows.columns if c.startswith("_")])
 
 
@@ -192,7 +221,7 @@ def page_languages(pages: DataFrame, docs: DataFrame) -> DataFrame:
         F.col("page_id").cast("long").alias("page_id"),
         F.nullif(F.lower(F.regexp_extract(html, r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]{2,3})", 1)), F.lit("")).alias("declared"),
         F.nullif(F.substring_index(host, ".", -1), F.lit("")).alias("suffix"),
-        F.nullif(F.substring_index(host, ".", -3), F.lit("")).alias("domain"),
+        F.nullif(F.nullif(F.substring_index(host, ".", -3), F.lit("")), host).alias("domain"),  # none of a host that is its own
         F.nullif(host, F.lit("")).alias("host"),
         bare.alias("text"),
     )

@@ -69,11 +69,11 @@ def in_letters(word: str) -> str:
 class ChunkMemo:
     """Values of chunks, computed in batches by ``compute``; those met lately are kept, in two generations."""
 
-    def __init__(self, compute: Callable[[list[bytes]], list]):
-        self.compute, self.known, self.older = compute, {}, {}
+    def __init__(self, compute: Callable[[list[bytes]], list], kept: int = MEMO_CHUNKS):
+        self.compute, self.kept, self.known, self.older = compute, kept, {}, {}
 
     def of(self, chunks: list[bytes]) -> list:
-        if len(self.known) > MEMO_CHUNKS:
+        if len(self.known) > self.kept:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
         found = list(map(known.get, chunks))
