@@ -3,8 +3,9 @@
 Folding lowers case, maps homoglyphs and full-width letters to Latin ones, drops invisible
 characters, undoes digit and symbol substitutions and turns other ASCII marks into blanks. The
 lexicon holds beginnings of words with their log odds, learnt from labelled rows: a beginning is
-taken if toxic rows hold it far oftener than clean ones. Exception phrases, and words of clean rows
-that start like a lexicon entry, hide the matches inside them. The score is a logistic function of
+taken if toxic rows hold it far oftener than clean ones and chance doesn't explain that. Exceptions are words of
+clean rows that start like a lexicon entry, phrases of two words that clean rows hold oftener, and given
+phrases; they hide the matches inside them. The score is a logistic function of
 the weights found, as a sum and by length.
 
 Defined results: null and empty texts score as texts without matches; with no labelled rows
@@ -16,9 +17,11 @@ or ignored as the function says.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -31,8 +34,8 @@ from terrace.llm.common import binary_rows, free_name, slices, stored
 
 #: Labelled rows that the lexicon and the score are fitted on, at most.
 SAMPLE_ROWS = 20_000
-#: Lexicon: letters of a beginning, least share of toxic rows that hold it, least odds, entries.
-STEM_LETTERS, LEAST_SHARE, LEAST_ODDS, LEXICON_SIZE = (4, 9), 0.02, 12.0, 4000
+#: Lexicon: letters of a beginning, least odds, least log likelihood ratio against chance; rows that make an exception.
+STEM_LETTERS, LEAST_ODDS, LEAST_EVIDENCE, LEAST_ROWS = (3, 9), 12.0, 20.0, 3
 #: A score from here on is toxic.
 THRESHOLD = 0.3
 
@@ -68,8 +71,8 @@ class Model:
     def __getstate__(self) -> dict:
         return self.__dict__ | {"_automaton": None}
 
-    def features(self, text: bytes) -> tuple[float, float]:
-        """(log of 1 + the sum of weights, weights for a hundred words)."""
+    def matches(self, s: str) -> dict[int, float]:
+        """Where entries begin in a folded text, outside exceptions, and their weights."""
         if self._automaton is None:
             self._automaton = ahocorasick.Automaton()
             for stem, weight in self.lexicon.items():
@@ -78,20 +81,24 @@ class Model:
                 p = folded(phrase.encode())
                 self._automaton.add_word(p, (len(p) - 1, None))
             self._automaton.make_automaton()
-        s = folded(text)
+        best: dict[int, float] = {}
         if not len(self._automaton):
-            return 0.0, 0.0
+            return best
         hits, hidden = [], []
         for end, (length, weight) in self._automaton.iter(s):
             (hits if weight is not None else hidden).append((end - length, end, weight))
-        if not hits:
-            return 0.0, 0.0
         if hidden:
-            hits = [h for h in hits if not any(a <= h[0] and h[1] <= b for a, b, _ in hidden)]
-        best: dict[int, float] = {}
+            hidden.sort()
+            starts, reach = [a for a, _, _ in hidden], list(accumulate((b for _, b, _ in hidden), max))
+            hits = [h for h in hits if not (k := bisect_right(starts, h[0])) or reach[k - 1] < h[1]]
         for a, _, w in hits:
             best[a] = max(w, best.get(a, 0.0))
-        total = sum(best.values())
+        return best
+
+    def features(self, text: bytes) -> tuple[float, float]:
+        """(log of 1 + the sum of weights, weights for a hundred words)."""
+        s = folded(text)
+        total = sum(self.matches(s).values())
         return float(np.log1p(total)), 100 * total / (20 + s.count(" "))
 
     def score(self, text: bytes) -> float:
@@ -126,22 +133,53 @@ def _stems(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array([toxic] * len(n), pa.int32()), pa.array(list(n.values()), pa.int64())], ["stem", "toxic", "n"])
 
 
+def _phrases(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    """Pairs of neighbouring words of which one is matched, by label, and how many rows hold each."""
+    for batch in slices(batches):
+        found: dict[int, Counter] = {0: Counter(), 1: Counter()}
+        for text, toxic in zip(binary_rows(batch, "text"), batch.column(1).to_pylist(), strict=True):
+            s = folded(text)
+            pairs = set()
+            for at in model.matches(s):
+                word = s[at + 1 : s.index(" ", at + 1)]
+                before, after = s[:at].rsplit(None, 1)[-1:], s[at + 1 + len(word) :].split(None, 1)[:1]
+                pairs |= {f"{x} {word}" for x in before} | {f"{word} {x}" for x in after}
+            found[1 if toxic else 0].update(pairs)
+        for toxic, n in found.items():
+            if n:
+                yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array([toxic] * len(n), pa.int32()), pa.array(list(n.values()), pa.int64())], ["stem", "toxic", "n"])
+
+
+def _by_label(counted: DataFrame) -> DataFrame:
+    """stem, and the toxic (t) and clean (c) rows that hold it."""
+    n = {k: F.sum(F.when(F.col("toxic") == v, F.col("n")).otherwise(0)).alias(k) for k, v in (("t", 1), ("c", 0))}
+    return counted.groupBy("stem").agg(*n.values())
+
+
 def learn(docs: DataFrame, labels: DataFrame, exceptions: list[str] | None = None) -> Model:
     """A model from the labelled rows outside the held-out fold."""
     sample = stored(labelled_sample(docs, labels), "labelled")
     size = {r["toxic"]: r["n"] for r in sample.groupBy((F.col("toxic") > 0).cast("int").alias("toxic")).agg(F.count("*").alias("n")).collect()}
     bad, good = size.get(1, 0), size.get(0, 0)
-    counts = sample.mapInArrow(_stems, "stem string, toxic int, n long").groupBy("stem").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("t"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("c"))
+    counts = _by_label(sample.mapInArrow(_stems, "stem string, toxic int, n long"))
     odds = ((F.col("t") + 0.5) / (bad + 1)) / ((F.col("c") + 0.5) / (good + 1))
-    strong = counts.where((F.col("t") >= max(4.0, LEAST_SHARE * bad)) & (odds >= LEAST_ODDS)).withColumn("w", F.log(odds)).orderBy(F.desc(F.col("t") * F.col("w")), "stem").limit(LEXICON_SIZE).collect()
+    counts = stored(counts.withColumn("odds", odds), "stems")
+    share = (bad + 0.5) / (bad + good + 1)
+    rows = F.col("t") + F.col("c")
+    evidence = F.col("t") * F.log(F.col("t") / rows / F.lit(share)) + F.when(F.col("c") > 0, F.col("c") * F.log(F.col("c") / rows / F.lit(1 - share))).otherwise(0.0)
+    # the sample bounds the entries
+    strong = counts.where((F.col("t") > 0) & (F.col("odds") >= LEAST_ODDS) & (evidence >= LEAST_EVIDENCE)).withColumn("w", F.log("odds")).collect()
     model = Model(_choose({r["stem"]: (r["t"], r["w"]) for r in strong}), list(exceptions or []))
     if bad and good:
-        # a word of clean rows that starts like an entry is an exception
-        starts = F.lit(False)
-        for n in sorted({len(s) for s in model.lexicon}):
-            starts = starts | F.substring("stem", 1, n).isin([s for s in model.lexicon if len(s) == n])
-        excused = counts.where(starts & (F.col("c") >= 3) & (odds < 1)).orderBy(F.desc("c"), "stem").limit(LEXICON_SIZE).collect()
-        model.exceptions += [r["stem"] for r in excused if r["stem"] not in model.lexicon]
+        starts = F.lit(False)  # a word of clean rows that starts like an entry is an exception
+        for n in sorted({len(x) for x in model.lexicon}):
+            starts = starts | F.substring("stem", 1, n).isin([x for x in model.lexicon if len(x) == n])
+        excused = counts.where(starts & (F.col("c") >= LEAST_ROWS) & (F.col("odds") < 1)).select("stem").collect()
+        model.exceptions += sorted(r["stem"] for r in excused if r["stem"] not in model.lexicon)
+        pairs = _by_label(sample.mapInArrow(lambda batches: _phrases(batches, model), "stem string, toxic int, n long"))
+        mild = pairs.where((F.col("c") >= LEAST_ROWS) & (F.col("c") * bad >= F.col("t") * good)).select("stem").collect()
+        model.exceptions += sorted(r["stem"] for r in mild)
+        model.__post_init__()
         model.coefficients = _fit(sample, model)
     elif bad or good:
         p = (bad + 0.5) / (bad + good + 1)
