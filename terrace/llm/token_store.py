@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from terrace.llm.common import new_path
 from terrace.llm.tokens import encoder, text_blocks
 
+#: Bytes of input that make a shard where there are more of them than shuffle partitions; shards at most, one number of each goes to the driver.
+SHARD_BYTES, MOST_SHARDS = 64 << 20, 100_000
 SCHEMA = "doc_id long, n_tokens long, first long, shard int, ids array<int>"
 
 
@@ -48,7 +50,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, en
 
     spark = docs.sparkSession
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    shards = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    size = int(str(ordered._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    shards = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), min(size // SHARD_BYTES, MOST_SHARDS))
     ordered = ordered.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text")
     options = {"compression": "zstd", "parquet.block.size": row_group_bytes, "parquet.page.size": page_bytes, "parquet.enable.dictionary": "true"}
     if encoding == "delta":

@@ -399,6 +399,44 @@ def test_toxicity(spark, awkward):
     assert kept.columns == awkward.columns
 
 
+def brute_features(model, text):
+    """Word by word: the heaviest entry that a word begins with, unless an exception lies around it."""
+    s = toxicity.folded(text)
+    hidden = []
+    for phrase in model.exceptions:
+        p, at = toxicity.folded(phrase.encode()), 0
+        while (at := s.find(p, at)) >= 0:
+            hidden.append((at, at + len(p)))
+            at += 1
+    total = 0.0
+    for at in [k for k, c in enumerate(s) if c == " "]:
+        fits = [w for stem, w in model.lexicon.items() if s.startswith(stem, at + 1) and not any(a <= at and at + 1 + len(stem) <= b for a, b in hidden)]
+        total += max(fits, default=0.0)
+    return math.log1p(total), 100 * total / (20 + s.count(" "))
+
+
+def test_matching_against_brute_force(spark, sample):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    learnt = toxicity.learn(docs, labels)
+    texts = [r["text"] for r in docs.join(labels.where("toxic = 1"), "doc_id", "left_semi").limit(60).collect()] + [r["text"] for r in sample.limit(60).collect()] + AWKWARD[:10]
+    made = toxicity.Model({"idiot": 3.0, "idi": 1.0, "clown": 2.0, "fool": 1.5}, ["clownfish", "no idiot", "fool of", "of fools"], (-3.0, 2.0, 1.0))
+    texts += ["no idiot idiots no idiot", "fool of fools", "clownfish clown", "idi idiot fool of fools of", "IDIOT" * 3, " idiot"]
+    for model in (learnt, made):
+        for text in texts:
+            raw = (text or "").encode()
+            assert model.features(raw) == pytest.approx(brute_features(model, raw))
+            z = model.coefficients[0] + model.coefficients[1] * brute_features(model, raw)[0] + model.coefficients[2] * math.log1p(brute_features(model, raw)[1])
+            assert model.score(raw) == pytest.approx(1 / (1 + math.exp(-max(-30, min(30, z)))))
+
+
+def test_conflicting_and_repeated_labels(spark):
+    docs = spark.createDataFrame([(k, f"you {'wretch' if k % 2 else 'friend'} number w{k}") for k in range(400)] * 2, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 1, k % 2) for k in range(400)] + [(1, 1, 0), (2, 1, None)], "doc_id long, quality int, toxic int")
+    rows = toxicity.toxicity(docs, labels).collect()
+    assert len(rows) == 800 and all(r["predicted"] == r["doc_id"] % 2 for r in rows)
+    assert len({(r["doc_id"], r["score"]) for r in rows}) == 400
+
+
 def test_folding_and_exceptions():
     model = toxicity.Model({"idiot": 3.0, "clown": 2.0}, ["clownfish", "no idiot"], (-3.0, 2.0, 1.0))
     clean = model.score(b"")
