@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from terrace.functions.text import collapse, fold_header
 
 
-def flatten_tree(df: DataFrame, root: str, depth: int, fields: list[str], present: str, children: str = "children") -> DataFrame:
-    """Rows of a nested tree: level, the fields, and each ancestor's first field as name_1, name_2, ...
+def flatten_tree(df: DataFrame, root: str, depth: int, fields: list[str], present: str, children: str = "children", keep: list[str] = ()) -> DataFrame:
+    """Rows of a nested tree: the kept columns, level, the fields, and each ancestor's first field as name_1, name_2, ...
 
     A node without ``present`` gives no row, but its children do. One pass: the nodes of all levels become one array.
     """
@@ -28,7 +28,7 @@ def flatten_tree(df: DataFrame, root: str, depth: int, fields: list[str], presen
         below = F.flatten(F.transform(n[children], lambda c: nodes(c, [*above, n[fields[0]].cast("string")], level + 1)))
         return F.concat(own, F.when(n[children].isNotNull(), below).otherwise(F.slice(own, 1, 0)))
 
-    return df.select(F.explode(nodes(F.col(root), [], 1)).alias("n")).select("n.*")
+    return df.select(*keep, F.explode(nodes(F.col(root), [], 1)).alias("n")).select(*keep, "n.*")
 
 
 def find_field(df: DataFrame, json: str, field: str, depth: int, keep: list[str]) -> DataFrame:

@@ -163,18 +163,18 @@ def short_code_geocode(spark, d):
     return found.select("c_custkey", F.round("lat", 9).alias("lat"), F.round("lon", 9).alias("lon"))
 
 
-@query("""WITH s AS (SELECT s_suppkey // 64 AS batch, * FROM supplier JOIN nation ON s_nationkey = n_nationkey)
-SELECT DISTINCT 1 AS level, 'batch ' || batch AS name, batch AS code, NULL AS name_1, NULL AS name_2 FROM s
-UNION ALL SELECT DISTINCT 2, n_name, CAST(n_nationkey AS BIGINT), 'batch ' || batch, NULL FROM s WHERE n_nationkey % 6 <> 0
-UNION ALL SELECT 3, s_name, s_suppkey, 'batch ' || batch, n_name FROM s""")
+@query("""WITH s AS (SELECT s_suppkey // 256 AS batch, * FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
+SELECT batch, 1 AS level, r_name AS name, CAST(r_regionkey AS BIGINT) AS code, NULL AS name_1, NULL AS name_2 FROM s GROUP BY batch, r_name, r_regionkey
+UNION ALL SELECT batch, 2, n_name, CAST(n_nationkey AS BIGINT), r_name, NULL FROM s WHERE n_nationkey % 6 <> 0 GROUP BY batch, n_name, n_nationkey, r_name
+UNION ALL SELECT batch, 3, s_name, s_suppkey, r_name, n_name FROM s""")
 def tree_flatten(spark, d):
-    """Batches of 64 suppliers nested by nation and flattened; each sixth nation lacks a centroid. No tree grows with the table."""
-    s = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).withColumn("batch", F.floor(F.col("s_suppkey") / 64))
-    leaves = s.groupBy("batch", "n_nationkey", "n_name").agg(F.collect_list(F.struct(F.col("s_name").alias("name"), F.col("s_suppkey").alias("code"), F.lit(1.0).alias("centroid"))).alias("children"))
+    """Batches of 256 suppliers nested by region and nation and flattened; each sixth nation lacks a centroid. No tree grows with the table."""
+    s = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).withColumn("batch", F.floor(F.col("s_suppkey") / 256))
+    leaves = s.groupBy("batch", "r_regionkey", "r_name", "n_nationkey", "n_name").agg(F.collect_list(F.struct(F.col("s_name").alias("name"), F.col("s_suppkey").alias("code"), F.lit(1.0).alias("centroid"))).alias("children"))
     centroid = F.when(F.col("n_nationkey") % 6 != 0, F.lit(1.0))
-    nations = leaves.groupBy("batch").agg(F.collect_list(F.struct(F.col("n_name").alias("name"), F.col("n_nationkey").cast("bigint").alias("code"), centroid.alias("centroid"), "children")).alias("children"))
-    root = F.struct(F.concat(F.lit("batch "), F.col("batch").cast("string")).alias("name"), F.col("batch").alias("code"), F.lit(1.0).alias("centroid"), "children")
-    return nested.flatten_tree(nations.select(root.alias("root")), "root", 3, ["name", "code"], "centroid")
+    nations = leaves.groupBy("batch", "r_regionkey", "r_name").agg(F.collect_list(F.struct(F.col("n_name").alias("name"), F.col("n_nationkey").cast("bigint").alias("code"), centroid.alias("centroid"), "children")).alias("children"))
+    root = F.struct(F.col("r_name").alias("name"), F.col("r_regionkey").cast("bigint").alias("code"), F.lit(1.0).alias("centroid"), "children")
+    return nested.flatten_tree(nations.select("batch", root.alias("root")), "root", 3, ["name", "code"], "centroid", keep=["batch"])
 
 
 @query("SELECT p_partkey, CAST(p_partkey % 3 + 1 AS INT) AS depth, CAST(p_size AS VARCHAR) AS value FROM part")
@@ -197,20 +197,23 @@ def response_elements(spark, d):
     return e.select("batch", "id", "kind", geo.own_or_center(F.col("kind"), F.col("lat"), F.col("center.lat")).alias("lat"), text.pick_category(F.col("tags"))["key"].alias("category"))
 
 
-@query("SELECT p_partkey, 'Code' AS h1, 'Depots Montant' AS h2, 'Depots %' AS h3 FROM part")
+@query("SELECT p_partkey, p_brand AS h1, CASE WHEN p_partkey % 3 = 0 THEN p_type ELSE p_type || ' Montant' END AS h2, CASE p_partkey % 3 WHEN 0 THEN '' WHEN 1 THEN p_type || ' %' ELSE p_type || ' ' || p_size END AS h3 FROM part")
 def header_merge(spark, d):
-    h = nested.merged_header(F.array(F.lit("Code"), F.concat(F.lit("Depots "), F.substring("p_brand", 1, 0)), F.lit("")), F.array(F.lit(""), F.lit("Montant"), F.lit("%")))
+    """Brands and types over sub-labels; a third of the second rows names no amount, and isn't one of sub-labels."""
+    m = F.col("p_partkey") % 3
+    second = F.array(F.lit(""), F.when(m == 0, "x").otherwise(" Montant "), F.when(m == 1, "%").otherwise(F.col("p_size").cast("string")))
+    h = nested.merged_header(F.array(F.concat(F.lit(" "), F.col("p_brand")), F.col("p_type"), F.lit("")), second)
     return table(spark, d, "part").select("p_partkey", *(F.get(h, F.lit(k)).alias(f"h{k + 1}") for k in range(3)))
 
 
-@query("SELECT o_orderkey // 64 AS batch, CAST(row_number() OVER (PARTITION BY o_orderkey // 64 ORDER BY o_orderkey) AS INT) AS line, CAST(o_orderkey AS VARCHAR) AS a, o_orderstatus AS b FROM orders")
+@query("SELECT o_custkey, o_orderkey // 4096 AS batch, CAST(row_number() OVER (PARTITION BY o_custkey, o_orderkey // 4096 ORDER BY o_orderkey) AS INT) AS line, CAST(o_orderkey AS VARCHAR) AS a, o_orderstatus AS b FROM orders")
 def cell_expand(spark, d):
-    """Batches of 64 order keys as lines of two cells, and back."""
-    o = table(spark, d, "orders").groupBy(F.floor(F.col("o_orderkey") / 64).alias("batch")).agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderstatus"))).alias("os"))
+    """A customer's orders, in batches of 4,096 keys, as lines of two cells, and back."""
+    o = table(spark, d, "orders").groupBy("o_custkey", F.floor(F.col("o_orderkey") / 4096).alias("batch")).agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderstatus"))).alias("os"))
     joined = lambda f: F.array_join(F.transform("os", lambda x: x[f].cast("string")), "\n")
-    rows = o.select("batch", F.array(joined("o_orderkey"), joined("o_orderstatus")).alias("row"))
-    e = nested.expand_cells(rows, "row", ["batch"])
-    return e.select("batch", "line", F.get("row", F.lit(0)).alias("a"), F.get("row", F.lit(1)).alias("b"))
+    rows = o.select("o_custkey", "batch", F.array(joined("o_orderkey"), joined("o_orderstatus")).alias("row"))
+    e = nested.expand_cells(rows, "row", ["o_custkey", "batch"])
+    return e.select("o_custkey", "batch", "line", F.get("row", F.lit(0)).alias("a"), F.get("row", F.lit(1)).alias("b"))
 
 
 def _grids(s):
@@ -235,13 +238,13 @@ def total_rows_dropped(spark, d):
     return kept.groupBy("s_nationkey").agg(F.count("*").alias("n_rows"))
 
 
-@query("SELECT p_partkey // 64 AS sheet, CAST(row_number() OVER (PARTITION BY p_partkey // 64 ORDER BY p_partkey) AS INT) AS row_number, CAST(p_partkey AS VARCHAR) AS k, CASE WHEN p_size > 25 THEN CAST(p_size AS VARCHAR) END AS size FROM part WHERE p_partkey % 5 <> 0")
+@query("SELECT p_brand, p_partkey // 4096 AS sheet, CAST(row_number() OVER (PARTITION BY p_brand, p_partkey // 4096 ORDER BY p_partkey) AS INT) AS row_number, CAST(p_partkey AS VARCHAR) AS k, CASE WHEN p_size > 25 THEN CAST(p_size AS VARCHAR) END AS size FROM part WHERE p_partkey % 5 <> 0")
 def sheet_records(spark, d):
-    """Sheets of 64 part keys: each fifth row is all null, small sizes are null cells."""
+    """A brand's sheets of 4,096 part keys: each fifth row is all null, small sizes are null cells."""
     full = F.col("p_partkey") % 5 != 0
     record = F.map_from_arrays(F.array(F.lit("k"), F.lit("size")), F.array(F.when(full, F.col("p_partkey").cast("string")), F.when(full & (F.col("p_size") > 25), F.col("p_size").cast("string"))))
-    r = nested.sheet_records(table(spark, d, "part").withColumns({"record": record, "sheet": F.floor(F.col("p_partkey") / 64)}), "record", ["sheet"], "p_partkey")
-    return r.select("sheet", "row_number", F.try_element_at("record", F.lit("k")).alias("k"), F.try_element_at("record", F.lit("size")).alias("size"))
+    r = nested.sheet_records(table(spark, d, "part").withColumns({"record": record, "sheet": F.floor(F.col("p_partkey") / 4096)}), "record", ["p_brand", "sheet"], "p_partkey")
+    return r.select("p_brand", "sheet", "row_number", F.try_element_at("record", F.lit("k")).alias("k"), F.try_element_at("record", F.lit("size")).alias("size"))
 
 
 @query("SELECT o_orderkey // 64 AS page_id, CAST(o_orderkey AS VARCHAR) AS code, o_orderstatus AS status, CAST(CAST(o_totalprice AS DECIMAL(14,2)) AS VARCHAR) AS amount FROM orders")
