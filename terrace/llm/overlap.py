@@ -42,6 +42,8 @@ NEAR, OF = 4, 5
 SAMPLE_ROWS, FREQUENT, MOST = 10_000, 3, 200_000
 #: Texts of one key that are compared in one task; a key of more is split into cells. Comparisons held at a time.
 PART, HELD = 2048, 1 << 20
+#: Bytes of text whose shingles are made at a time.
+BLOCK_BYTES = 4 << 20
 #: Texts of a key up to which their pairs are given out; those of more are compared in place.
 SMALL = 16
 _ODD = tuple(np.uint64(x | 1) for x in (0x9E3779B97F4A7C14, 0xBF58476D1CE4E5B8, 0x94D049BB133111EA))
@@ -108,7 +110,7 @@ def frequent_shingles(docs: DataFrame) -> tuple[np.ndarray, dict[int, int]]:
     step = -(-max(1, docs.count()) // SAMPLE_ROWS)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (x for b in batches for x in text_blocks(b, "text")):
+        for batch in (x for b in batches for x in text_blocks(b, "text", BLOCK_BYTES)):
             found = np.concatenate([np.zeros(0, np.uint64), *map(np.unique, shingles(batch.column(1)))])
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], ["key"])
 
@@ -123,7 +125,7 @@ def marks(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     """doc_id, node, fingerprint, size and keys of every row."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (x for b in batches for x in text_blocks(b, "text")):
+        for batch in (x for b in batches for x in text_blocks(b, "text", BLOCK_BYTES)):
             out: list[tuple] = []
             for h in shingles(batch.column(1)):
                 found = np.unique(h)
@@ -316,7 +318,7 @@ def verified(pairs: DataFrame, marked: DataFrame, nodes: DataFrame, docs: DataFr
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (x for b in batches for x in text_blocks(b, "text")):
+        for batch in (x for b in batches for x in text_blocks(b, "text", BLOCK_BYTES)):
             sets = [np.unique(h) for h in shingles(batch.column(1))]
             yield pa.RecordBatch.from_arrays([pa.array(map(node_of, sets), pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())], ["node", "found"])
 
