@@ -41,6 +41,17 @@ def new_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+#: Rows that Spark hands to a Python worker at a time: of texts, some megabytes.
+BATCH_ROWS = 2000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lowers the session's Arrow batches to BATCH_ROWS, which bounds what the JVM and the workers hold of long texts."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 
@@ -48,6 +59,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     consumers share one computation.
     """
     spark = df.sparkSession
+    bounded_batches(spark)
     path = new_path(spark, label)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

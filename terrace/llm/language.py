@@ -33,9 +33,11 @@ SAMPLE_ROWS = 4_000
 #: Text counts as so many independent trigrams at most; rows that the table's shares count as in what is told of a value, a domain and a host.
 INDEPENDENT, VALUE_WEIGHT, DOMAIN_WEIGHT, HOST_WEIGHT = 40.0, 5.0, 50.0, 20.0
 #: Chunks whose trigrams are looked up at a time; chunks that a worker keeps.
-COUNTED, KEPT = 50_000, 120_000
+COUNTED, KEPT = 10_000, 100_000
 #: A language is accepted from this posterior on, if this share of the trigrams is known.
 LEAST_POSTERIOR, LEAST_KNOWN = 0.5, 0.5
+#: Bytes of text that are split at a time.
+BLOCK_BYTES = 4 << 20
 #: Rows of an evidence table that are sent to every executor at most.
 SENT_ROWS = 50_000
 
@@ -115,7 +117,7 @@ def with_text_evidence(rows: DataFrame, model: Likelihoods, text_col: str = "tex
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = ChunkMemo(model.chunks, KEPT)
-        for batch in (x for b in batches for x in text_blocks(b, text_col)):
+        for batch in (x for b in batches for x in text_blocks(b, text_col, BLOCK_BYTES)):
             begin, number, distinct = chunks_of(batch.column(len(kept)))
             table = np.frombuffer(b"".join(memo.of(distinct)), "<f4").reshape(-1, width).astype(np.float64)
             sums = np.zeros((batch.num_rows, width))

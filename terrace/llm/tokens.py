@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import unicodedata
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -104,6 +105,7 @@ def text_blocks(batch: pa.RecordBatch, name: str, size: int = BLOCK_BYTES) -> It
         stop = max(start + 1, int(np.searchsorted(ends, before + size, side="right")))
         yield batch.slice(start, stop - start)
         start = stop
+    pa.default_memory_pool().release_unused()
 
 
 def chunks_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
@@ -127,10 +129,16 @@ def encoder(path: str) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
 
     def compute(chunks: list[bytes]) -> list[bytes]:
         out, rest = [], []
+        words: dict[str, bytes] = {}  # a word comes with and without marks
         for k, c in enumerate(chunks):
             s = c.decode("utf-8", "replace")
             if split := latin_word(s):
-                out.append(np.array([x.id for x in model.tokenize(in_letters(split[0]))], dtype="<u4").tobytes() + marks[split[1]])
+                word, mark = split
+                ids = words.get(word) or (memo.known.get(c[:-1]) if mark else None)
+                if ids is None:
+                    ids = array("I", [x.id for x in model.tokenize(in_letters(word))]).tobytes()
+                words[word] = ids
+                out.append(ids + marks[mark])
             else:
                 out.append(b"")
                 rest.append((k, s))

@@ -2,12 +2,12 @@
 
 import math
 
-from test_operators import check_packing
+from test_operators import AWKWARD, check_packing
 from test_overlap import brute_kept
 
 import corpus_pipeline
 from terrace.llm import language, registry, toxicity
-from terrace.llm.common import table
+from terrace.llm.common import stored, table
 
 DATA = "/root/testdata/sf0.001"
 
@@ -41,3 +41,16 @@ def test_stages_take_effect(spark):
 def test_every_operator_is_registered():
     numbers = {int(n[2:].split("_")[0]) for n in registry.queries() if n.startswith("op")}
     assert numbers == set(range(1, 11)) and "pipeline" in registry.queries()
+
+
+def test_stages_on_awkward_tables(spark):
+    """Null, empty, long and repeated texts, extra columns, and an empty table: stages keep the columns and don't crash."""
+    rows = [(i, t, None if i % 5 == 0 else "en", "s", 0, "x", "y") for i, t in enumerate([*AWKWARD, *AWKWARD])] + [(None, "the same text of some words", None, None, None, None, None), (3, None, None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, score string, node string")
+    for d in (docs, docs.limit(0)):
+        for name, stage in corpus_pipeline.STAGES:
+            before, d = d, stored(stage(spark, d, DATA), name)
+            if name != "packing":
+                assert d.columns == docs.columns and d.count() <= before.count()
+        assert {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"} <= set(d.columns)
+        assert d.count() == 0 or {r["doc_id"] for r in d.collect()} <= {r["doc_id"] for r in docs.collect()}
