@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -94,6 +96,18 @@ def anti_join(df: DataFrame, dropped: DataFrame, key: str = "doc_id") -> DataFra
     return _by_id(df, dropped, key, "left_anti")
 
 
+@lru_cache(maxsize=1)
+def _trim():
+    """The C library's call that gives freed memory back, or one that does nothing."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", lambda _: 0)
+
+
+def release() -> None:
+    """Gives back what a worker has freed: workers outlive their tasks, and hold on to it otherwise."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
 def binary_rows(batch: pa.RecordBatch, name: str) -> list[bytes]:
     """The UTF-8 bytes of a string column; null counts as empty."""
     return [x or b"" for x in batch.column(batch.schema.get_field_index(name)).cast(pa.binary()).to_pylist()]

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.common import anti_join, semi_join, slices, stored
+from terrace.llm.common import anti_join, release, semi_join, slices, stored
 from terrace.llm.components import components
 from terrace.llm.simhash import link_forest, majority
 from terrace.llm.tokens import text_blocks
@@ -41,7 +41,7 @@ NEAR, OF = 4, 5
 #: Documents that frequent shingles are counted in, documents of these that make one frequent, and shingles at most.
 SAMPLE_ROWS, FREQUENT, MOST = 10_000, 3, 200_000
 #: Texts of one key that are compared in one task; a key of more is split into cells. Comparisons held at a time.
-PART, HELD = 2048, 1 << 20
+PART, HELD = 2048, 1 << 18
 #: Bytes of text whose shingles are made at a time.
 BLOCK_BYTES = 4 << 20
 #: Texts of a key up to which their pairs are given out; those of more are compared in place.
@@ -224,6 +224,7 @@ def candidates(shared: DataFrame, meets: str) -> DataFrame:
                     two = np.unique(np.column_stack([np.minimum(node[a], node[b]), np.maximum(node[a], node[b])]), axis=0)
                     yield pa.RecordBatch.from_arrays([pa.array(two[:, 0]), pa.array(two[:, 1])], ["a", "b"])
                 at = to
+        release()
 
     return laid.mapInArrow(rows, "a long, b long").distinct()
 
@@ -290,6 +291,7 @@ def crowded_candidates(rows: DataFrame, firsts: DataFrame) -> DataFrame:
                 if root[x] != root[y - 1]:
                     for a, b in compared(key[x], *(c[x:y] for c in (own, node, size, root, keys, hot, leads))):
                         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+        release()
 
     return laid.mapInArrow(pairs_of, "a long, b long")
 
@@ -336,6 +338,7 @@ def verified(pairs: DataFrame, marked: DataFrame, nodes: DataFrame, docs: DataFr
         for batch in slices(batches):
             a, b = ([np.frombuffer(x, np.uint64) for x in batch.column(k).to_pylist()] for k in (2, 3))
             yield batch.select(["a", "b"]).filter(pa.array([similar(x, y) for x, y in zip(a, b, strict=True)], pa.bool_()))
+        release()
 
     def asked(of: DataFrame) -> DataFrame:
         return of.select(F.explode(F.array("a", "b")).alias("node"))

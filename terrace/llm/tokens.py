@@ -17,8 +17,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from terrace.llm.common import release
+
 #: Chunks in a generation of a worker's memo, which keeps two. Longer chunks aren't kept.
-MEMO_CHUNKS, MEMO_BYTES = 250_000, 40
+MEMO_CHUNKS, MEMO_BYTES = 160_000, 40
 #: Bytes of text that are split at a time (a longer text alone).
 BLOCK_BYTES = 10 << 20
 #: A letter followed by one of these always ends a pre-token, and each is a pre-token if it ends its chunk.
@@ -105,7 +107,7 @@ def text_blocks(batch: pa.RecordBatch, name: str, size: int = BLOCK_BYTES) -> It
         stop = max(start + 1, int(np.searchsorted(ends, before + size, side="right")))
         yield batch.slice(start, stop - start)
         start = stop
-    pa.default_memory_pool().release_unused()
+    release()
 
 
 def chunks_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
