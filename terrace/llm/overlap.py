@@ -55,7 +55,7 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def shingles(texts: pa.Array) -> list[np.ndarray]:
+def shingles(texts: pa.Array, size: int = SHINGLE) -> list[np.ndarray]:
     """The hashes of each text's word shingles, in order and with repeats; of the whole sequence where it is shorter.
 
     Words end at ASCII white space and A-Z are lowered. A shingle's hash is mixed from the XXH64 of its words.
@@ -69,13 +69,13 @@ def shingles(texts: pa.Array) -> list[np.ndarray]:
     upto = np.concatenate([[0], np.cumsum(real)])
     begin = upto[np.asarray(lists.offsets) - lists.offsets[0].as_py()]
     h = of_word[number[real]]
-    every = np.zeros(max(0, len(h) - SHINGLE + 1), np.uint64)
-    for k in range(SHINGLE):
+    every = np.zeros(max(0, len(h) - size + 1), np.uint64)
+    for k in range(size):
         every = _mixed(every + h[k : k + len(every)] + _ODD[0])
     out = []
     for a, b in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True):
-        if b - a >= SHINGLE:
-            out.append(every[a : b - SHINGLE + 1])
+        if b - a >= size:
+            out.append(every[a : b - size + 1])
         else:
             out.append(np.array([xxhash.xxh64_intdigest(h[a:b].tobytes(), SEED)] if b > a else [], np.uint64))
     return out

@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import bpe, divergence, html_text, language, media, packing, simhash, token_store, topk, toxicity, url_filter
+from terrace.llm import bpe, divergence, html_text, language, media, minhash, packing, simhash, spelling, token_store, topk, toxicity, url_filter
 from terrace.llm.common import spread, table
 from terrace.llm.tokens import default_tokenizer
 
@@ -62,6 +62,14 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(spread(table(spark, sf_dir, "pages")))
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_documents(spark, sf_dir))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_documents(spark, sf_dir))
+
+
 def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(_documents(spark, sf_dir))
 
@@ -71,8 +79,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_language_id, op2_language_id_pages, op3_bpe, op4_top_k, op5_url_filter, op6_media, op7_packing, op8_token_store, op9_toxicity, op10_html_text, op13_divergence, pipeline)}
+    return {f.__name__: f for f in (op1_simhash, op2_language_id, op2_language_id_pages, op3_bpe, op4_top_k, op5_url_filter, op6_media, op7_packing, op8_token_store, op9_toxicity, op10_html_text, op11_minhash, op12_spelling, op13_divergence, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_top_k": topk.TOPK_SQL, "op5_url_filter": url_filter.FILTER_SQL, "op13_divergence": divergence.AUDIT_SQL}
+    return {"op4_top_k": topk.TOPK_SQL, "op5_url_filter": url_filter.FILTER_SQL, "op11_minhash": minhash.NEAR_SQL, "op13_divergence": divergence.AUDIT_SQL}
