@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from terrace.operators import enrich, incremental
 from terrace.plans.registry import query, table
 from terrace.sources import readers, sinks
+from terrace.sources.merged import MergedTable
 from terrace.sources.storage import shared_path
 from terrace.streaming.upsert import stream_upsert
 
@@ -120,6 +121,32 @@ def upsert_ignore(spark, d):
     return sinks.upsert_ignore(old, new, ["o_orderkey"], [F.desc("o_totalprice")])
 
 
+def _merged(spark, d, mode, low=None, high=None):
+    """The orders as one run and the incoming rows as three more, one of which comes twice, merged on read."""
+    old, new = _batches(spark, d)
+    merged = MergedTable(spark, shared_path(spark, "merged"), old.schema, ["o_orderkey"], mode=mode)
+    earlier = new.withColumn("o_totalprice", F.col("o_totalprice") - 1)
+    for number, batch in enumerate((old, earlier.where("o_orderkey % 2 = 0") if mode == "update" else new.where("o_orderkey % 2 = 0"), new, new)):
+        merged.merge(batch, min(number, 2))
+    return merged.read(low, high)
+
+
+@query(f"WITH i AS ({_BATCH}) SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM i) UNION ALL SELECT * FROM i")
+def upsert_merged(spark, d):
+    return _merged(spark, d, "update")
+
+
+@query(f"WITH i AS ({_BATCH}) SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders UNION ALL SELECT * FROM i WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders)")
+def upsert_merged_ignore(spark, d):
+    return _merged(spark, d, "ignore")
+
+
+@query(f"WITH i AS ({_BATCH}) SELECT * FROM (SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM i) UNION ALL SELECT * FROM i) WHERE o_orderkey BETWEEN -500 AND 900")
+def upsert_merged_range(spark, d):
+    """A range of keys: runs beside it aren't opened, and the filter reaches the files of the others."""
+    return _merged(spark, d, "update", -500, 900)
+
+
 @query("SELECT p_partkey, p_brand, CAST(row_number() OVER (ORDER BY p_brand, p_partkey) AS BIGINT) AS id FROM part")
 def surrogate_keys(spark, d):
     return sinks.surrogate_key(table(spark, d, "part").select("p_partkey", "p_brand"), ["p_brand", "p_partkey"])

@@ -4,81 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from terrace.operators.quarantine import Rule, tag_rejects
+from terrace.sources.merged import MergedTable
 
-#: Parts of a table by a hash of the key; a batch rewrites those that it touches.
-BUCKETS = 64
 
+def stream_upsert(spark: SparkSession, landing: str, schema: StructType, table: str, checkpoint: str, keys: list[str], version: str, rules: list[Rule] = (), read_format: str = "parquet", prepare: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """Merges all files that landed since the last call into ``table``, a table merged on read, and returns it.
 
-class Versions:
-    """A folder of versions, ``batch=<number>/bucket=<number>``; each bucket's newest one is the table's."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
-        self.at = spark._jvm.org.apache.hadoop.fs.Path
-        self.fs = self.at(root).getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def path(self, batch: int) -> str:
-        return f"{self.root}/batch={batch:012d}"
-
-    def _numbers(self, path: str, prefix: str) -> list[int]:
-        names = [s.getPath().getName() for s in self.fs.listStatus(self.at(path))] if self.fs.exists(self.at(path)) else []
-        return sorted(int(n[len(prefix) :]) for n in names if n.startswith(prefix))
-
-    def of_buckets(self, below: int) -> dict[int, list[int]]:
-        """Whole batches below a number that hold a version of each bucket, in order."""
-        found: dict[int, list[int]] = {}
-        for batch in self._numbers(self.root, "batch="):
-            if batch < below and self.fs.exists(self.at(f"{self.path(batch)}/_SUCCESS")):
-                for bucket in self._numbers(self.path(batch), "bucket="):
-                    found.setdefault(bucket, []).append(batch)
-        return found
-
-    def newest(self, below: int, buckets: list[int] | None = None) -> list[str]:
-        of = self.of_buckets(below)
-        return [f"{self.path(v[-1])}/bucket={b}" for b, v in sorted(of.items()) if buckets is None or b in buckets]
-
-    def drop_old(self, batch: int) -> None:
-        """Removes what two newer versions of its bucket stand for: a repeated batch needs the one before it."""
-        for bucket, batches in self.of_buckets(batch + 1).items():
-            for old in batches[:-2]:
-                self.fs.delete(self.at(f"{self.path(old)}/bucket={bucket}"), True)
-
-
-def stream_upsert(spark: SparkSession, landing: str, schema: StructType, table: str, checkpoint: str, keys: list[str], version: str, rules: list[Rule] = (), read_format: str = "parquet", prepare: Callable[[DataFrame], DataFrame] = lambda df: df, buckets: int = BUCKETS) -> DataFrame:
-    """Merges all files that landed since the last call into ``table`` and returns it.
-
-    The table is dealt into buckets by a hash of the key. A batch of the stream reads the newest versions below its own
-    number of the buckets that it touches, and writes new ones, so a repeated batch writes the same again. Files of
-    one batch have no order: the row of a key with the greatest ``version`` column wins, and a row
-    older than the table's doesn't replace it, but one of the same version does. Rejects are appended beside the table.
+    Each batch of the stream adds a run of its own rows. Files of one batch have no order: the row of a key with the greatest
+    ``version`` column wins, and a row older than the table's doesn't replace it, but one of the same version does. Rejects are
+    appended beside the table. A repeated batch is committed once; the stream is known by its checkpoint folder.
     Without any row yet the result is an empty table.
     """
-    versions = Versions(spark, table)
     shape = prepare(spark.createDataFrame([], schema)).schema
+    merged = MergedTable(spark, table, shape, keys, version)
 
     def merge(batch: DataFrame, number: int) -> None:
-        tagged = tag_rejects(prepare(batch), rules).persist()
-        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-        new = tagged.where("reject_reason IS NULL").drop("reject_reason").withColumns({"_fresh": F.lit(1), "bucket_": bucket})
-        touched = [r[0] for r in new.select("bucket_").distinct().collect()]  # no more than there are buckets
-        paths = versions.newest(number, touched)
-        if paths:
-            new = new.unionByName(spark.read.schema(shape).parquet(*paths).withColumns({"_fresh": F.lit(0), "bucket_": bucket}))
-        # dealt by bucket, which the window keeps: one shuffle, one file a bucket
-        window = F.row_number().over(Window.partitionBy("bucket_", *keys).orderBy(F.desc(version), F.desc("_fresh"), F.xxhash64(*shape.names)))
-        merged = new.repartition("bucket_").withColumn("_place", window).where("_place = 1").drop("_place", "_fresh")
-        merged.withColumnRenamed("bucket_", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(versions.path(number))
+        tagged = tag_rejects(prepare(batch), rules)
         if rules:
+            tagged = tagged.persist()
             tagged.where("reject_reason IS NOT NULL").write.mode("overwrite").parquet(f"{table}_rejects/batch={number:012d}")
+        merged.merge(tagged.where("reject_reason IS NULL").drop("reject_reason"), number, checkpoint)
         tagged.unpersist()
-        versions.drop_old(number)
 
     query = spark.readStream.schema(schema).format(read_format).load(landing).writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-    paths = versions.newest(1 << 60)
-    return spark.read.schema(shape).parquet(*paths) if paths else spark.createDataFrame([], shape)
+    return merged.read()

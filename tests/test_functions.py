@@ -167,7 +167,7 @@ def test_stream_in_any_order(spark, tmp_path):
     assert results[0] == results[1] == [(1, 11, 2), (2, 20, 1), (3, 30, 1)]
 
 
-def test_stream_touches_few_buckets(spark, tmp_path):
+def test_stream_adds_runs(spark, tmp_path):
     schema = "k int, v int, version int"
     (tmp_path / "landing").mkdir()
     args = (f"{tmp_path}/table", f"{tmp_path}/state", ["k"], "version")
@@ -176,13 +176,15 @@ def test_stream_touches_few_buckets(spark, tmp_path):
     assert none.count() == 0 and none.columns == ["k", "v", "version"]
     for n, rows in enumerate([[(k, k, 1) for k in range(100)], [(7, 70, 2)], [(7, 71, 2)], [(7, 0, 1), (None, 5, 1)]]):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/landing")
-        out = stream_upsert(spark, f"{tmp_path}/landing", shape, *args, buckets=8)
-        written = sorted(p.name for p in (tmp_path / "table" / f"batch={n:012d}").glob("bucket=*"))
-        assert len(written) == 8 if n == 0 else len(written) <= 2
+        out = stream_upsert(spark, f"{tmp_path}/landing", shape, *args)
+        run = spark.read.parquet(f"{tmp_path}/table/run-{n + 1:012d}")
+        assert run.count() == len(rows)  # the batch alone
     found = {r["k"]: r["v"] for r in out.collect()}
     assert found == {k: k for k in range(100)} | {7: 71, None: 5}
-    for name in written:  # older versions are gone
-        assert len([*(tmp_path / "table").glob(f"batch=*/{name}")]) == 2
+    again = stream_upsert(spark, f"{tmp_path}/landing", shape, *args)
+    assert len([*(tmp_path / "table").glob("run-*")]) == 4 and again.count() == 101
+    with pytest.raises(ValueError, match="was written as"):
+        stream_upsert(spark, f"{tmp_path}/landing", shape, f"{tmp_path}/table", f"{tmp_path}/state", ["k", "v"], "version")
 
 
 def test_header_rules_follow_the_slug(spark):
