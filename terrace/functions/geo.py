@@ -64,35 +64,19 @@ def largest_part(geom: Column) -> Column:
     return F.element_at(F.array_sort(tagged, lambda a, b: F.when(a["area"] != b["area"], F.signum(a["area"] - b["area"]).cast("int")).otherwise((a["at"] - b["at"]).cast("int"))), -1)["part"]
 
 
-def _crossing(ring: Column) -> Column:
-    """Whether two edges that aren't neighbours cross properly."""
-
-    def side(p: Column, a: Column, b: Column) -> Column:
-        return F.signum((b["lon"] - a["lon"]) * (p["lat"] - a["lat"]) - (b["lat"] - a["lat"]) * (p["lon"] - a["lon"]))
-
-    def crosses(e: Column, f: Column) -> Column:
-        return (side(e["a"], f["a"], f["b"]) * side(e["b"], f["a"], f["b"]) < 0) & (side(f["a"], e["a"], e["b"]) * side(f["b"], e["a"], e["b"]) < 0)
-
-    all_ = edges(ring)
-    return F.exists(all_, lambda e: F.exists(all_, lambda f: crosses(e, f)))
-
-
 def ring_problem(ring: Column) -> Column:
-    """First failing rule of a ring, or null."""
+    """First failing rule of a ring by itself, or null; how edges meet is for ``operators.topology``."""
     n = F.size(ring)
     out = F.exists(ring, lambda p: ~F.coalesce(p["lon"].between(-180, 180) & p["lat"].between(-90, 90), F.lit(False)))
-    return F.when(ring.isNull() | (n < 4), "too_few_points").when(out, "out_of_range").when(F.get(ring, F.lit(0)) != F.get(ring, n - 1), "open_ring").when(signed_area(ring) == 0, "no_area").when(_crossing(ring), "self_crossing")
+    return F.when(ring.isNull() | (n < 4), "too_few_points").when(out, "out_of_range").when(F.get(ring, F.lit(0)) != F.get(ring, n - 1), "open_ring").when(signed_area(ring) == 0, "no_area")
 
 
-def geometry_problem(geom: Column) -> Column:
+def simple_problem(geom: Column) -> Column:
+    """First problem of a polygon's rings by themselves, or null."""
     problems = F.filter(F.transform(F.flatten(geom), ring_problem), lambda p: p.isNotNull())
     return F.when(geom.isNull() | (F.size(geom) == 0), "no_geometry").otherwise(F.get(problems, F.lit(0)))
 
 
-def is_valid(geom: Column) -> Column:
-    return geometry_problem(geom).isNull()
-
-
 def cleaned(geom: Column) -> Column:
     """Open rings closed, repeated points and rings without area dropped; crossing rings are left as they are."""
 

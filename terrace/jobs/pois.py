@@ -11,14 +11,17 @@ from terrace.operators import quality
 from terrace.operators.dedup import dedup_latest
 from terrace.operators.enrich import lookup
 from terrace.operators.quarantine import key_present, tag_rejects
-from terrace.operators.spatial import points_in_polygons
+from terrace.operators.topology import geometry_problems, points_in_polygons
+from terrace.sources.storage import stored
 
 
 def silver_boundaries(bronze: DataFrame) -> DataFrame:
     """Boundaries with cleaned polygons, tagged; ids stay text."""
     geom = geo.cleaned(geo.multipolygon(F.col("geojson_geom")))
-    typed = bronze.withColumn("geom", geom)
-    return tag_rejects(typed, [("osm_id manquant", key_present("osm_id")), ("geometrie illisible", F.col("geom").isNotNull()), ("geometrie invalide", geo.is_valid(F.col("geom")))])
+    typed = stored(bronze.withColumn("geom", geom).withColumn("_row", F.monotonically_increasing_id()), "boundaries")
+    checked = typed.join(geometry_problems(typed, ["_row"]), "_row")
+    rules = [("osm_id manquant", key_present("osm_id")), ("geometrie illisible", F.col("geom").isNotNull()), ("geometrie invalide", F.col("problem").isNull())]
+    return tag_rejects(checked, rules).drop("_row", "problem")
 
 
 def assign(points: DataFrame, boundaries: DataFrame, cell: float) -> DataFrame:

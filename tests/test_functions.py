@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from terrace.functions import casts, geo, text
-from terrace.operators import dedup, enrich, incremental, nested, pages, quality, quarantine, spatial
+from terrace.operators import dedup, enrich, incremental, nested, pages, quality, quarantine, topology
 from terrace.sources import readers, sinks
 from terrace.streaming.upsert import stream_upsert
 
@@ -103,13 +103,13 @@ def geom(spark, *rings):
     [([(0, 0), (4, 0), (4, 4), (0, 0)], None), ([(0, 0), (4, 0), (4, 4), (0, 4)], "open_ring"), ([(0, 0), (4, 4), (4, 0), (0, 5), (0, 0)], "self_crossing"), ([(0, 0), (1, 1), (0, 0)], "too_few_points"), ([(0, 0), (200, 0), (1, 1), (0, 0)], "out_of_range"), ([(0, 0), (1, 1), (2, 2), (0, 0)], "no_area")],
 )
 def test_rings(spark, points, problem):
-    assert geom(spark, ring(*points)).select(geo.geometry_problem(F.col("geom"))).first()[0] == problem
+    assert topology.geometry_problems(geom(spark, ring(*points)).withColumn("k", F.lit(1)), ["k"]).first()["problem"] == problem
 
 
 def test_hole_is_outside(spark):
     polygons = geom(spark, ring((0, 0), (9, 0), (9, 9), (0, 9), (0, 0)), ring((3, 3), (6, 3), (6, 6), (3, 6), (3, 3))).withColumn("n", F.lit(1))
     points = spark.createDataFrame([(1.0, 1.0), (4.0, 4.0), (8.5, 8.5), (10.0, 1.0), (0.0, 0.0)], "lon double, lat double")
-    found = sorted(tuple(r)[:2] for r in spatial.points_in_polygons(points, polygons, 2.0).collect())
+    found = sorted(tuple(r)[:2] for r in topology.points_in_polygons(points, polygons, 2.0).collect())
     assert found == [(0.0, 0.0), (1.0, 1.0), (8.5, 8.5)]
 
 
@@ -209,4 +209,4 @@ def test_point_in_two_parts_is_one_match(spark):
     ring = lambda x, y: [[(x, y), (x + 4.0, y), (x + 4.0, y + 4.0), (x, y + 4.0), (x, y)]]
     polygons = spark.createDataFrame([(1, [ring(0.0, 0.0), ring(2.0, 2.0)])], "id int, geom array<array<array<struct<lon:double,lat:double>>>>")
     points = spark.createDataFrame([(1, 3.0, 3.0), (2, 1.0, 1.0), (3, 5.5, 5.5), (4, 9.0, 9.0)], "p int, lon double, lat double")
-    assert sorted(r["p"] for r in spatial.points_in_polygons(points, polygons, 1.0).collect()) == [1, 2, 3]
+    assert sorted(r["p"] for r in topology.points_in_polygons(points, polygons, 1.0).collect()) == [1, 2, 3]
