@@ -94,23 +94,30 @@ def _letter(word: Column, at: Column) -> Column:
     return F.substring(word, at + 1, F.lit(1))
 
 
-def _level(states: DataFrame, words: DataFrame, trie: DataFrame, depth: int) -> tuple[DataFrame, DataFrame]:
-    """(states with one edit at the next depth, words found near) from the states at ``depth``.
+def _level(frontier: DataFrame, words: DataFrame, trie: DataFrame, depth: int) -> DataFrame:
+    """The frontier at the next depth.
 
-    ``states``: way, word, position, node, each with one edit; words without edits are at their own node.
+    ``frontier``: way, word, position, node, found; states have one edit and no word found yet, and what has found
+    one stays as it is. Words without edits are at their own node.
     """
     here = trie.where(F.col("depth") == depth).select("way", "node", "letter", "child", "ends", "only")
+    to = here.toDF("_way", "_node", "_letter", "child", "ends", "only")
+    open_ = F.col("found").isNull()
+    asked = F.when(open_, _letter(F.col("word"), F.col("position")))  # no edge has a null letter
+    walked = frontier.withColumn("asked", asked).join(to, (F.col("way") == F.col("_way")) & (F.col("node") == F.col("_node")) & (F.col("asked") == F.col("_letter")), "left").where(~open_ | F.col("child").isNotNull())
+    walked = walked.select("way", "word", F.when(open_, F.col("position") + 1).alias("position"), "child", "ends", "only", "found")
+
     whole = words.where((F.floor(F.length("word") / 2) <= depth) & (F.length("word") >= depth)).select("way", "word", F.lit(depth).alias("position"), F.substring("word", 1, depth).alias("node"))
     own = _letter(F.col("word"), F.col("position"))
     inserted, replaced = F.col("position"), F.when((own != "") & (F.col("letter") > own), F.col("position") + 1)
     edited = whole.join(here, ["way", "node"]).where(F.col("letter") != own).withColumn("position", F.explode(F.array_compact(F.array(inserted, replaced))))
-    walked = states.join(here.withColumnRenamed("letter", "_letter"), (states["way"] == here["way"]) & (states["node"] == here["node"]) & (_letter(states["word"], states["position"]) == F.col("_letter")))
-    walked = walked.select(states["way"], states["word"], (states["position"] + 1).alias("position"), "child", "ends", "only")
-    reached = edited.select("way", "word", "position", "child", "ends", "only").union(walked)
+
+    reached = walked.union(edited.select("way", "word", "position", "child", "ends", "only", F.lit(None).cast("string").alias("found")))
     rest = F.expr("substring(word, position + 1)")
     near = F.when(F.col("only").isNotNull(), F.expr("substring(only, length(child) + 1)") == rest).otherwise(F.col("ends") & (rest == ""))
-    reached = reached.withColumn("found", F.when(near, F.coalesce("only", "child")))
-    return reached.where("only IS NULL AND found IS NULL").select("way", "word", "position", F.col("child").alias("node")), reached.where("found IS NOT NULL").select("way", "word", "found")
+    reached = reached.withColumn("found", F.coalesce("found", F.when(near, F.coalesce("only", "child"))))
+    # what has found its word is dealt by that word from now on
+    return reached.where("found IS NOT NULL OR only IS NULL").select("way", "word", "position", F.coalesce("found", "child").alias("node"), "found")
 
 
 def near_words(words: DataFrame) -> DataFrame:
@@ -119,24 +126,14 @@ def near_words(words: DataFrame) -> DataFrame:
     trie = edges(words)
     deepest = trie.agg(F.max("depth").alias("depth")).first()["depth"]
     spark = words.sparkSession
-    states = spark.createDataFrame([], "way int, word string, position int, node string")
-    found = []
+    frontier = spark.createDataFrame([], "way int, word string, position int, node string, found string")
+    pairs = frontier.select("way", "word", "found")
     for first in range(0, -1 if deepest is None else deepest + 1, LEVELS):
-        nears = []
         for depth in range(first, min(first + LEVELS, deepest + 1)):
-            states, near = _level(states, words, trie, depth)
-            nears.append(near)
-        out = states.select("way", "word", "position", "node", F.lit(None).cast("string").alias("found"))
-        for near in nears:
-            out = out.unionByName(near, allowMissingColumns=True)
-        out = stored(out, "frontier")
-        states = out.where("found IS NULL").drop("found")
-        found.append(out.where("found IS NOT NULL").select("way", "word", "found"))
-    if not found:
-        return spark.createDataFrame([], "word string, near string")
-    pairs = found[0]
-    for more in found[1:]:
-        pairs = pairs.union(more)
+            frontier = _level(frontier, words, trie, depth)
+        walked = stored(frontier, "frontier")
+        pairs = pairs.union(walked.where("found IS NOT NULL").select("way", "word", "found"))
+        frontier = walked.where("found IS NULL")
     forwards = lambda c: F.when(F.col("way") == 1, F.reverse(c)).otherwise(F.col(c))
     pairs = pairs.select(forwards("word").alias("a"), forwards("found").alias("b"))
     return pairs.select(F.explode(F.array(F.struct(F.col("a").alias("word"), F.col("b").alias("near")), F.struct(F.col("b").alias("word"), F.col("a").alias("near")))).alias("p")).select("p.*").distinct()

@@ -79,7 +79,7 @@ def test_dense_words(spark, monkeypatch, levels):
 
 def test_awkward_rows(spark):
     rows = [(None, "straße " * 6 + "Straßen " * 40), (0, None), (1, ""), (2, "1 2 _"), (3, "ÀÉÎÕÜß " * 9 + "àéîõüß " * 9), (4, "x÷×yzab " * 5), (5, "abcdefĀghijkl日本mnopqr " * 5), (6, "a" * 50_000), (6, "a" * 50_000)]
-    rows += [(7, "prefix " * 50 + "prefixe " * 5 + "refix " * 9), (8, "word\x00worded " * 7)] + [(9, ("b" * 300 + " ") * 5), (9, ("b" * 301 + " ") * 30)]
+    rows += [(7, "prefix " * 50 + "prefixe " * 5 + "refix " * 9), (8, "word\x00worded " * 7)] + [(9, ("b" * 40 + " ") * 5), (9, ("b" * 41 + " ") * 30)]
     check(spark, rows)
     check(spark, [(1, "no word is frequent enough here")])
     assert spelling.variants(spark.createDataFrame([], SCHEMA)).count() == 0
