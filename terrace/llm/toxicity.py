@@ -2,8 +2,10 @@
 
 Folding lowers case, maps homoglyphs and full-width letters to Latin ones, drops invisible
 characters, undoes digit and symbol substitutions and turns other ASCII marks into blanks. The
-lexicon holds beginnings of words with their log odds, learnt from labelled rows: a beginning is
-taken if toxic rows hold it far oftener than clean ones and chance doesn't explain that. Exceptions are words of
+lexicon holds beginnings of words with their log odds, learnt from labelled rows. Which beginnings are taken is a question
+of their number too: the likelihood ratios of all that could be telling are ranked, and the bound is where the
+share of beginnings expected by chance falls to FALSE_SHARE, at every size of sample. A beginning that several words
+share must be telling without the commonest of them. Exceptions are words of
 clean rows that start like a lexicon entry, phrases of two words that clean rows hold oftener, and given
 phrases; they hide the matches inside them. The score is a logistic function of
 the weights found, as a sum and by length.
@@ -16,6 +18,7 @@ or ignored as the function says.
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_right
 from collections import Counter
@@ -34,8 +37,10 @@ from terrace.llm.common import binary_rows, free_name, slices, stored
 
 #: Labelled rows that the lexicon and the score are fitted on, at most.
 SAMPLE_ROWS = 20_000
-#: Lexicon: letters of a beginning, least odds, least log likelihood ratio against chance; rows that make an exception.
-STEM_LETTERS, LEAST_ODDS, LEAST_EVIDENCE, LEAST_ROWS = (3, 9), 12.0, 20.0, 3
+#: Lexicon: letters of a beginning; share of entries that chance may bring; chance below which one beginning is telling; rows that make an exception.
+STEM_LETTERS, FALSE_SHARE, TELLING, LEAST_ROWS = (4, 12), 0.05, 0.001, 3
+#: Phrases in which words of the lexicon are harmless.
+EXCEPTIONS = ("trash can", "trash bag", "trash bin", "clown fish", "clownfish", "rodeo clown", "scum line", "pond scum", "sore loser", "stupid mistake")
 #: A score from here on is toxic.
 THRESHOLD = 0.3
 
@@ -156,21 +161,63 @@ def _by_label(counted: DataFrame) -> DataFrame:
     return counted.groupBy("stem").agg(*n.values())
 
 
+def _words_behind(batches: Iterator[pa.RecordBatch], stems: set[str]) -> Iterator[pa.RecordBatch]:
+    """The words that begin with each of ``stems``, by label, and how many rows hold them."""
+    low, high = STEM_LETTERS
+    for batch in slices(batches):
+        found: Counter = Counter()
+        for text, toxic in zip(binary_rows(batch, "text"), batch.column(1).to_pylist(), strict=True):
+            found.update({(w[:n], w, 1 if toxic else 0) for w in set(folded(text).split()) for n in range(low, min(high, len(w)) + 1) if w[:n] in stems})
+        if found:
+            stem, word, toxic = zip(*found, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(stem, pa.string()), pa.array(word, pa.string()), pa.array(toxic, pa.int32()), pa.array(list(found.values()), pa.int64())], ["stem", "word", "toxic", "n"])
+
+
+def evidence(t: Column, c: Column, share: float) -> Column:
+    """Log likelihood ratio of t toxic and c clean rows against rows toxic by ``share``; 0 where they are less toxic."""
+    rows = t + c
+    part = lambda n, p: F.when(n > 0, n * F.log(n / rows / F.lit(p))).otherwise(0.0)
+    return F.when(t > rows * share, part(t, share) + part(c, 1 - share)).otherwise(0.0)
+
+
+def least_evidence(counts: DataFrame, share: float) -> float:
+    """The likelihood ratio from which on no more than FALSE_SHARE of the beginnings are expected by chance.
+
+    Beginnings of so few rows that even all toxic they would not be telling aren't asked. The driver gets a histogram.
+    """
+    chance = lambda v: math.erfc(math.sqrt(v)) / 2
+    could = counts.where(evidence(F.col("t") + F.col("c"), F.lit(0), share) >= math.log(1 / TELLING))
+    step = 20
+    bins = {r["bin"]: r["n"] for r in could.groupBy(F.floor(F.col("evidence") * step).alias("bin")).agg(F.count("*").alias("n")).collect()}
+    asked, above, least = sum(bins.values()), 0, math.inf
+    for k in sorted(bins, reverse=True):
+        above += bins[k]
+        if chance(k / step) <= FALSE_SHARE * above / asked:
+            least = k / step
+    return least
+
+
 def learn(docs: DataFrame, labels: DataFrame, exceptions: list[str] | None = None) -> Model:
     """A model from the labelled rows outside the held-out fold."""
     sample = stored(labelled_sample(docs, labels), "labelled")
     size = {r["toxic"]: r["n"] for r in sample.groupBy((F.col("toxic") > 0).cast("int").alias("toxic")).agg(F.count("*").alias("n")).collect()}
     bad, good = size.get(1, 0), size.get(0, 0)
-    counts = _by_label(sample.mapInArrow(_stems, "stem string, toxic int, n long"))
-    odds = ((F.col("t") + 0.5) / (bad + 1)) / ((F.col("c") + 0.5) / (good + 1))
-    counts = stored(counts.withColumn("odds", odds), "stems")
     share = (bad + 0.5) / (bad + good + 1)
-    rows = F.col("t") + F.col("c")
-    evidence = F.col("t") * F.log(F.col("t") / rows / F.lit(share)) + F.when(F.col("c") > 0, F.col("c") * F.log(F.col("c") / rows / F.lit(1 - share))).otherwise(0.0)
-    # the sample bounds the entries
-    strong = counts.where((F.col("t") > 0) & (F.col("odds") >= LEAST_ODDS) & (evidence >= LEAST_EVIDENCE)).withColumn("w", F.log("odds")).collect()
-    model = Model(_choose({r["stem"]: (r["t"], r["w"]) for r in strong}), list(exceptions or []))
+    odds = ((F.col("t") + 0.5) / (bad + 1)) / ((F.col("c") + 0.5) / (good + 1))
+    counts = _by_label(sample.mapInArrow(_stems, "stem string, toxic int, n long"))
+    counts = stored(counts.withColumns({"odds": odds, "evidence": evidence(F.col("t"), F.col("c"), share)}), "stems")
+    model = Model({}, list(exceptions or []))
     if bad and good:
+        least = least_evidence(counts, share)
+        # the sample bounds the entries, and the words behind them
+        strong = {r["stem"]: (r["t"], r["w"]) for r in counts.where(F.col("evidence") >= least).select("stem", "t", F.log("odds").alias("w")).collect()}
+        behind = sample.mapInArrow(lambda batches: _words_behind(batches, set(strong)), "stem string, word string, toxic int, n long")
+        n = {k: F.sum(F.when(F.col("toxic") == v, F.col("n")).otherwise(0)).alias(k) for k, v in (("t", 1), ("c", 0))}
+        words = behind.groupBy("stem", "word").agg(*n.values()).groupBy("stem").agg(F.sum("t").alias("t"), F.sum("c").alias("c"), F.max(F.struct((F.col("t") + F.col("c")).alias("n"), "word", "t", "c")).alias("top"))
+        rest = evidence(F.col("t") - F.col("top.t"), F.col("c") - F.col("top.c"), share)
+        own = (F.length("top.word") == F.length("stem")) | (F.length("stem") == STEM_LETTERS[1]) | (F.col("t") + F.col("c") == F.col("top.n"))
+        shared = words.where(own | (rest >= math.log(1 / TELLING) / 2)).select("stem").collect()
+        model.lexicon = _choose({r["stem"]: strong[r["stem"]] for r in shared})
         starts = F.lit(False)  # a word of clean rows that starts like an entry is an exception
         for n in sorted({len(x) for x in model.lexicon}):
             starts = starts | F.substring("stem", 1, n).isin([x for x in model.lexicon if len(x) == n])
@@ -182,21 +229,14 @@ def learn(docs: DataFrame, labels: DataFrame, exceptions: list[str] | None = Non
         model.__post_init__()
         model.coefficients = _fit(sample, model)
     elif bad or good:
-        p = (bad + 0.5) / (bad + good + 1)
-        model.coefficients = (float(np.log(p / (1 - p))), 0.0, 0.0)
+        model.coefficients = (float(np.log(share / (1 - share))), 0.0, 0.0)
     return model
 
 
 def _choose(strong: dict[str, tuple[int, float]]) -> dict[str, float]:
-    """Entries so that none starts like another: the longest beginning that loses hardly any rows."""
-    chosen: dict[str, float] = {}
-    for stem in sorted(strong, key=len):
-        if any(stem[:n] in chosen for n in range(STEM_LETTERS[0], len(stem))):
-            continue
-        if any(other != stem and other.startswith(stem) and n >= 0.95 * strong[stem][0] for other, (n, _) in strong.items() if len(other) == len(stem) + 1):
-            continue
-        chosen[stem] = strong[stem][1]
-    return chosen
+    """Entries so that a beginning isn't taken beside a longer one that loses hardly any of its rows."""
+    longer = {x[:-1] for x, (n, _) in strong.items() if x[:-1] in strong and n >= 0.95 * strong[x[:-1]][0]}
+    return {x: w for x, (_, w) in strong.items() if x not in longer}
 
 
 def _fit(sample: DataFrame, model: Model) -> tuple[float, ...]:
@@ -231,11 +271,11 @@ def with_scores(docs: DataFrame, model: Model, name: str = "score") -> DataFrame
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted of every document."""
-    scored = with_scores(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), learn(docs, labels))
+    scored = with_scores(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), learn(docs, labels, list(EXCEPTIONS)))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def keep_civil(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that aren't predicted toxic, with their columns."""
     score = free_name(docs, "_score")
-    return with_scores(docs, learn(docs, labels), score).where(F.col(score) < THRESHOLD).drop(score)
+    return with_scores(docs, learn(docs, labels, list(EXCEPTIONS)), score).where(F.col(score) < THRESHOLD).drop(score)

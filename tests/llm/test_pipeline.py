@@ -40,7 +40,7 @@ def test_stages_take_effect(spark):
 
 def test_every_operator_is_registered():
     numbers = {int(n[2:].split("_")[0]) for n in registry.queries() if n.startswith("op")}
-    assert numbers == set(range(1, 11)) and "pipeline" in registry.queries()
+    assert numbers == set(range(1, 14)) and "pipeline" in registry.queries()
 
 
 def test_stages_on_awkward_tables(spark):
