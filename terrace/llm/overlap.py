@@ -105,8 +105,8 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def frequent_shingles(docs: DataFrame) -> tuple[np.ndarray, dict[int, int]]:
-    """Shingles of many documents of a bounded sample, ascending, and the number of parts of those expected to be crowded."""
+def frequent_shingles(docs: DataFrame) -> np.ndarray:
+    """Shingles of many documents of a bounded sample, ascending."""
     step = -(-max(1, docs.count()) // SAMPLE_ROWS)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,8 +117,7 @@ def frequent_shingles(docs: DataFrame) -> tuple[np.ndarray, dict[int, int]]:
     sample = _texts(docs).where(F.pmod(F.xxhash64("doc_id"), F.lit(step)) == 0)
     counted = sample.mapInArrow(rows, "key long").groupBy("key").count().where(F.col("count") >= FREQUENT)
     kept = counted.orderBy(F.desc("count"), "key").limit(MOST).collect()
-    frequent = np.sort(np.array([r["key"] for r in kept], np.int64).view(np.uint64))
-    return frequent, {r["key"]: -(-r["count"] * step // PART) for r in kept if r["count"] * step > PART}
+    return np.sort(np.array([r["key"] for r in kept], np.int64).view(np.uint64))
 
 
 def marks(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
@@ -368,20 +367,16 @@ def simhash_pairs(nodes: DataFrame) -> DataFrame:
 
 def near_copies(docs: DataFrame) -> DataFrame:
     """doc_id, component_id (smallest doc_id that chains of similar texts reach) of every document."""
-    frequent, crowded = frequent_shingles(docs)
-    marked = stored(marks(docs, frequent), "marks")
+    marked = stored(marks(docs, frequent_shingles(docs)), "marks")
     nodes = stored(marked.groupBy("node").agg(F.min("doc_id").alias("doc"), F.first("fp").alias("fp"), F.first("size").alias("size")), "nodes")
 
     tested = stored(simhash_pairs(nodes), "pairs")
     links = verified(tested, marked, nodes, docs)
-    shared = shared_keys(marked, nodes)
-    if crowded:  # no more than MOST keys
-        parts = docs.sparkSession.createDataFrame(list(crowded.items()), "_key long, parts int")
-        shared = shared.join(F.broadcast(parts), F.col("key") == F.col("_key"), "left").drop("_key").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    else:
-        shared = shared.withColumn("parts", F.lit(1))
-    shared = stored(shared, "shared")
-    crowd = stored(shared.groupBy("key").count().where(F.col("count") > SMALL).select("key"), "crowd")
+    shared = stored(shared_keys(marked, nodes), "shared")
+    counts = shared.groupBy("key").count().where(F.col("count") > SMALL)
+    crowd = stored(counts.select("key", F.ceil(F.col("count") / PART).cast("int").alias("parts")), "crowd")
+    shared = shared.join(crowd, "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    crowd = crowd.select("key")
     roots = components(links)
     for meets in ("one", "one", "all"):
         rows = shared.join(placed(nodes.drop("doc"), roots), "node")

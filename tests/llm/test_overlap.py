@@ -51,3 +51,22 @@ def test_chains_edges_and_groups(spark, monkeypatch, small, part):
     for k in range(60):  # many that share a passage
         texts[100 + k] = " ".join([f"p{j}" for j in range(40)] + [f"q{k}.{j}" for j in range(k % 14)])
     check(spark, texts)
+
+
+def test_no_task_holds_a_crowded_key(spark, monkeypatch):
+    """A key outside the sample's sight is dealt out by its exact count: no cell gets more than two parts of it."""
+    monkeypatch.setattr(overlap, "SAMPLE_ROWS", 2)
+    monkeypatch.setattr(overlap, "SMALL", 3)
+    monkeypatch.setattr(overlap, "PART", 8)
+    seen = []
+    whole = overlap.crowded_candidates
+
+    def counted(rows, firsts):
+        cells = rows.groupBy("key").agg({"parts": "max", "node": "count"}).collect()
+        seen.extend((r["count(node)"], r["max(parts)"]) for r in cells)
+        return whole(rows, firsts)
+
+    monkeypatch.setattr(overlap, "crowded_candidates", counted)
+    passage = " ".join(f"p{j}" for j in range(12))
+    check(spark, {k: passage + " " + " ".join(f"q{k}.{j}" for j in range(2 + k % 9)) for k in range(90)})
+    assert max(n for n, _ in seen) > 60 and all(parts >= n / 8 for n, parts in seen)
