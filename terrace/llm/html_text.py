@@ -7,13 +7,15 @@ styles and other invisible or interactive parts hold no text blocks, nor does a
 the page's words; blocks inside navigation,
 header, footer, sidebar or complementary elements, or ones whose class or id names a notice, advert,
 menu or comments, carry that as a feature, and where a page marks an article, blocks outside it
-carry that. A class or id counts if one of its whole names is such a word, alone or with words of
-place ("site-header", "ad-slot-2", but neither "has-sidebar" nor "tag-news"). An article or main
+carry that. A class or id counts if it is such a word, alone or with words of place ("site-header", "ad-slot-2"); where
+the last word of a name is an advert, notice or the like, or its first or last one is comments, whatever stands beside it
+("leaderboard-ad", "fb-comments", but neither "has-sidebar", "tag-news" nor "related-work"). The headline of a page that marks
+no article counts inside a bare header too. An article or main
 element sheds the names of elements around it where most of the articles' words would go, and names count
 for nothing where they would leave nothing of a page.
 
 Defined results: null or empty HTML, and a page without content blocks, give an empty text; unclosed
-blocks and forms end with the block around them, unclosed links with their block, unclosed buttons and the like hide nothing, unclosed
+blocks and forms end with the block around them, unclosed links with their block, unclosed buttons and the like hide nothing, end tags of nothing are nothing, unclosed
 scripts and other raw text end with their page; a page without any tag is one block; repeated rows give repeated results;
 extra columns are ignored.
 """
@@ -22,6 +24,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.common import slices
+from terrace.llm.tokens import text_blocks
 
 # Elements by what they do to the text inside or around them.
 RAW = ("script", "style", "textarea", "title", "iframe")  # hold no tags; unclosed ones end with the page
@@ -40,20 +43,28 @@ SKIPPED = ("noscript", "template", "svg", "math", "object", "canvas", "select",
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
 BOILERPLATE = frozenset("nav header footer aside menu dialog".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-NAMES = frozenset("ad ads advert adverts advertisement advertisements advertising banner banners breadcrumb breadcrumbs consent cookie cookies disclaimer foot footer gdpr head header login masthead menu menus modal nav navbar navigation newsletter notice notices popup promo promos promoted promotion search share sharing sidebar signup skip social sponsor sponsored subscribe subscription tag tags toolbar widget widgets".split())
+NAMES = frozenset("ad ads adsbygoogle advert adverts advertisement advertisements advertising alert alerts banner banners breadcrumb breadcrumbs consent cookie cookies disclaimer foot footer gdpr head header login masthead menu menus modal nav navbar navigation newsletter notice notices popup promo promos promoted promotion search share sharing sidebar signup skip social sponsor sponsored subscribe subscription tag tags toolbar widget widgets".split())
 #: Names that an article element or its surroundings don't shed.
-OTHERS = frozenset("comment comments commentlist disqus related replies reply respond".split())
+OTHERS = frozenset("comment comments commentlist discussion discussions disqus outbrain related replies reply respond responses taboola".split())
 #: Words that may stand beside a name in a class or id without changing what it says.
-PLACES = frozenset("aside bar block bottom box cloud col column container entry fixed global group inner item items left link links list lists main mobile nested outer page panel post posts primary right row secondary section site slot sticky top unit wrap wrapper".split())
+PLACES = frozenset("area aside bar block bottom box cloud col column container content entry fixed form global group inner item items label left link links list lists main mobile nested outer overlay page panel post posts primary right row secondary section site slot sticky thread top unit wrap wrapper".split())
+#: Names that say what a thing is when they come last, whatever it is called; those that do so when they come first too.
+LAST = frozenset("ad ads advert adverts advertisement advertisements advertising alert alerts banner banners comment comments consent disclaimer discussion footer modal navbar newsletter notice notices popup promo promos promotion replies responses sidebar sponsor".split())
+FIRST = frozenset("ad ads adsbygoogle advert adverts advertisement advertising comments commentlist disqus outbrain replies sponsored taboola".split())
+#: Words that make a name tell of something else: of what an element has, or how it is filed.
+TURNS = frozenset("allow category closed count data disabled enabled filed format has hide is no not open show status tag type with without".split())
+#: What related things are, if they aren't the text's own.
+RELATED = frozenset("articles content items links news pages posts products reading stories topics videos".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar".split())
 
 _REST = r"(?:\"[^\"]*\"|'[^']*'|[^'\">])*(?<!/)>"
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<({'|'.join(RAW)})\b{_REST}.*?(?:</\1\s*>|\Z)"
-    rf"|<(?P<skipped>{'|'.join(SKIPPED)})\b{_REST}(?:(?!<(?:(?P=skipped)|article|main)\b|</(?:article|main|body)\b).)*?</(?P=skipped)\s*>"
+    rf"|<(?P<skipped>{'|'.join(SKIPPED)})\b{_REST}"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^'\"<>])*)(?:>|(?=<)|\Z)|<[!?][^>]*(?:>|\Z)",
     re.S | re.I,
 )
+_SKIPS = re.compile(rf"<(?P<end>/?)(?P<name>{'|'.join(SKIPPED)}|article|main|body)\b(?P<close>\s*>)?", re.I)
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _UNSEEN = re.compile(r"(?i)(display\s*:\s*none|visibility\s*:\s*hidden)")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
@@ -71,6 +82,7 @@ class Block:
     named: bool = False  # by a class or id inside the innermost article or main, or anywhere if there is none
     around: bool = False  # by a class or id of such an element or around it
     form: int = 0  # number of the form that holds it, 0 if none does
+    bare: bool = False  # boilerplate for a header element alone
 
 
 def attributes(rest: str) -> dict[str, str]:
@@ -87,8 +99,14 @@ def named(token: str) -> str:
     parts = [p.lower() for p in _PART.findall(token)]
     words = [p for p in parts if not p.isdigit() and len(p) > 1]
     told = [p for p in words if p in NAMES or p in OTHERS]
-    if not told or any(p not in NAMES and p not in OTHERS and p not in PLACES for p in words):
+    if not told:
         return ""
+    if any(p not in NAMES and p not in OTHERS and p not in PLACES for p in words):
+        if any(p in TURNS for p in words):
+            return ""
+        if words[0] == "related" and set(words[1:]) <= RELATED | PLACES:
+            return "related"
+        return words[-1] if words[-1] in LAST else words[0] if words[0] in FIRST else ""
     if told[-1] in ("head", "header", "foot") and words[0] in ("post", "entry"):
         return ""  # of an article
     return next((p for p in told if p in OTHERS), told[-1])
@@ -113,26 +131,60 @@ class State:
     named: bool = False
     around: bool = False
     form: int = 0
+    bare: bool = False
 
     def inside(self, name: str, found: dict[str, str], form: int) -> State:
         names = names_of(found) if found and name not in ("body", "html") else set()
         article, around = self.article, self.around
         if article and name in ("header", "div", "section"):
             names -= {"head", "header"}  # the article's own
-        boilerplate = self.boilerplate or name in BOILERPLATE and not (article and name == "header") or found.get("role", "").lower() in ROLES
+        role = found.get("role", "").lower() in ROLES
+        boilerplate = self.boilerplate or name in BOILERPLATE and not (article and name == "header") or role
+        bare = (self.bare or name == "header" and not self.boilerplate) and name not in BOILERPLATE - {"header"} and not role and not names
         strong, weak = bool(names & OTHERS), bool(names - OTHERS)
         told = self.named or strong or weak
         if name in ("article", "main") and not boilerplate and not strong:
             article, told, around = True, False, around or self.named or weak
         elif strong:
             boilerplate = True
-        return State(boilerplate, article, self.unseen or unseen(found), told, around, form or self.form)
+        return State(boilerplate, article, self.unseen or unseen(found), told, around, form or self.form, bare and boilerplate)
+
+
+class Skips:
+    """Where elements that hold no text end: at their end tag, if neither one of their kind nor an article begins or ends before."""
+
+    def __init__(self, source: str):
+        self.closes: dict[str, list[tuple[int, int]]] = {}
+        self.bars: dict[str, list[int]] = {}
+        for m in _SKIPS.finditer(source):
+            name = m["name"].lower()
+            if name in SKIPPED:
+                if not m["end"]:
+                    self.bars.setdefault(name, []).append(m.start())
+                elif m["close"]:
+                    self.closes.setdefault(name, []).append((m.start(), m.end()))
+            elif m["end"] or name != "body":
+                self.bars.setdefault("", []).append(m.start())
+
+    def end(self, name: str, at: int) -> int:
+        """Where the element whose tag ends at ``at`` ends, or ``at``."""
+        closes = self.closes.get(name, [])
+        k = bisect_left(closes, (at, 0))
+        if k == len(closes):
+            return at
+        for bars in (self.bars.get(name, []), self.bars.get("", [])):
+            j = bisect_left(bars, at)
+            if j < len(bars) and bars[j] < closes[k][0]:
+                return at
+        return closes[k][1]
 
 
 def blocks(source: str) -> list[Block]:
-    """The flat text blocks of a page, in order."""
+    """The flat text blocks of a page, in order, in time that grows with its length."""
     out: list[Block] = []
     stack: list[tuple[str, State]] = []
+    opened: Counter[str] = Counter()  # open elements by name
+    skips = Skips(source)
     parts: list[str] = []
     anchor = -1  # open elements when the open link began, -1 if none is open
     torn = False  # whether the open link isn't closed before the next
@@ -147,20 +199,22 @@ def blocks(source: str) -> list[Block]:
             text = " ".join(html.unescape("".join(parts)).split())
             if text and not state.unseen:
                 density = min(1.0, linked / max(1, sum(map(len, parts))))
-                out.append(Block(text, text.count(" ") + 1, density, state.boilerplate, state.article, heading, state.named, state.around, state.form))
+                out.append(Block(text, text.count(" ") + 1, density, state.boilerplate, state.article, heading, state.named, state.around, state.form, state.bare))
             if text and torn:
                 anchor = -1
             parts.clear()
         linked, heading = 0, False
 
     at = 0
-    for m in _TOKEN.finditer(source):
+    while m := _TOKEN.search(source, at):
         if m.start() > at:
             piece = source[at : m.start()]
             parts.append(piece)
             if anchor >= 0:
                 linked += len(piece)
         at = m.end()
+        if m["skipped"]:
+            at = skips.end(m["skipped"].lower(), at)
         name = m["name"]
         if name is None:
             continue
@@ -168,17 +222,20 @@ def blocks(source: str) -> list[Block]:
         if name in BLOCKS:
             flush()
             if m["end"]:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == name:
-                        del stack[k:]
+                while opened[name]:  # whatever is open inside ends with it
+                    last = stack.pop()[0]
+                    opened[last] -= 1
+                    if last == name:
                         break
             elif name not in VOID and not m["rest"].rstrip().endswith("/"):
                 if name in ("p", "li") and stack and stack[-1][0] == name:
                     stack.pop()  # closed by the next of its kind
+                    opened[name] -= 1
                 state = stack[-1][1] if stack else none
                 forms += name == "form"
                 found = attributes(m["rest"]) if m["rest"] else {}
                 stack.append((name, state.inside(name, found, forms if name == "form" else 0)))
+                opened[name] += 1
                 heading = name[0] == "h" and name[1:].isdigit()
             if len(stack) < anchor:
                 anchor = -1
@@ -207,6 +264,8 @@ def _settled(found: list[Block]) -> list[Block]:
         for b in main:
             words[b.form] += b.words
         found = [b for b in found if not b.form or 2 * words[b.form] >= sum(words.values()) > 0]
+    if not any(b.article for b in found) and (title := next((b for b in found if b.bare and b.heading), None)):
+        title.boilerplate = False
     inside = [b for b in found if b.article and not b.boilerplate and not b.named]
     shed = sum(b.words for b in inside if b.around) > sum(b.words for b in inside if not b.around)
     for b in found:
@@ -307,7 +366,7 @@ def extract(pages: DataFrame, tree: tuple | None = None) -> DataFrame:
     tree = tree or train(labelled())
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in (x for b in batches for x in text_blocks(b, "html")):
             texts = [main_text(x or "", tree) for x in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], ["page_id", "url", "text", "n_chars"])
 
