@@ -6,10 +6,11 @@ make TABLES * TABLES tables of four minhashes each, where tables of their own wo
 Two sets of similarity j share a table with probability (1 - (1 - j*j) ** TABLES) ** 2: at 0.85 all but
 one pair in 50,000, before the chains that connect most of them anyway.
 
-Links are confirmed on full sets, in three rounds. In the first each set meets that table head which it shares most tables
-with, in the second the head of another component; most of a large group is connected then. In the
-third all that share a table and lie in different components still meet: they are compared by their minhashes
-in place, in cells, and each pair that may be similar is given out by the first table that both are in.
+Links are confirmed on full sets, in rounds. In the first each set meets that table head which it shares most tables
+with. From then on what still shares a table with another component is compared in place, in cells by pieces of the
+first collection, with those that also agree in one of the second: by sizes and minhashes, then by the LOW lowest
+hashes of both sets. In two rounds each set meets those that are most alike, which connects most of a large
+group; in the last all meet that may be similar, each pair given out once.
 
 Equal sets are one node, so copies cost nothing. A key of very many nodes never gathers in one task: heads are
 minima, joins on keys may be split, and comparisons are dealt out in cells by exact counts.
@@ -36,8 +37,10 @@ from terrace.llm.tokens import text_blocks
 #: Words of a shingle; least similarity in hundredths; pieces of a collection.
 SHINGLE, NEAR, OF, TABLES = 3, 85, 100, 9
 MINHASHES = 4 * TABLES
-#: Equal minhashes that make a pair worth its full sets: with a similarity of 0.85 one pair in 10**7 has fewer.
+#: Equal minhashes that make a pair worth a comparison of its lowest hashes: at a similarity of 0.85 one pair in 10**7 has fewer.
 ALIKE = MINHASHES // 2
+#: Lowest hashes of a set that are kept, and hits among the LOW lowest of both that make a pair worth its full sets: at 0.85 three pairs in 10**6 have fewer.
+LOW, HITS = 256, 190
 #: Nodes of a key that are compared in one task from either side; comparisons held at a time; sets that are compared with one in one task.
 PART, HELD, EACH = 2048, 1 << 16, 256
 #: Bytes of text whose shingles are made at a time.
@@ -59,12 +62,34 @@ def minhashes(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def lowest(found: np.ndarray) -> bytes:
+    """The upper halves of the lowest hashes of an ascending set."""
+    return (found[:LOW] >> np.uint64(32)).astype("<u4").tobytes()
+
+
+def alike(low: np.ndarray, size: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How similar the pairs (a, b) are by their lowest hashes, in parts of LOW; -1 where they can't be similar enough.
+
+    ``low``: a row for each set, filled up with the greatest number. Of two sets that are no larger than LOW this is exact.
+    """
+    both = np.sort(np.concatenate([low[a], low[b]], axis=1), axis=1)
+    same = np.zeros(both.shape, bool)
+    same[:, 1:] = both[:, 1:] == both[:, :-1]
+    real = both < np.uint32(0xFFFFFFFF)
+    place = np.cumsum(~same & real, axis=1)  # of a hash in the union
+    whole = (size[a] <= LOW) & (size[b] <= LOW)
+    upto = real & (whole[:, None] | (place <= LOW))
+    hits, union = (same & upto).sum(axis=1), (~same & upto).sum(axis=1)
+    fit = np.where(whole, OF * hits >= NEAR * union, hits >= HITS)
+    return np.where(fit, hits * LOW // np.maximum(union, 1), -1)
+
+
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
 def marks(docs: DataFrame) -> DataFrame:
-    """doc_id, node (number of the set), size and minhashes of every row; no minhashes where the set is empty."""
+    """doc_id, node (number of the set), size, minhashes and lowest hashes of every row; no minhashes where the set is empty."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (x for b in batches for x in text_blocks(b, "text", BLOCK_BYTES)):
@@ -72,9 +97,9 @@ def marks(docs: DataFrame) -> DataFrame:
             size = np.array([len(x) for x in sets], np.int64)
             mins = minhashes([x for x in sets if len(x)])
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum(np.r_[0, np.where(size > 0, MINHASHES, 0)]).astype(np.int32)), pa.array(mins.view(np.int32).ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(node_of, sets), pa.int64()), pa.array(size), lists], ["doc_id", "node", "size", "mins"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(node_of, sets), pa.int64()), pa.array(size), lists, pa.array([lowest(x) for x in sets], pa.binary())], ["doc_id", "node", "size", "mins", "low"])
 
-    return _texts(docs).mapInArrow(rows, "doc_id long, node long, size long, mins array<int>")
+    return _texts(docs).mapInArrow(rows, "doc_id long, node long, size long, mins array<int>, low binary")
 
 
 def table_keys(mins: Column) -> Column:
@@ -85,8 +110,8 @@ def table_keys(mins: Column) -> Column:
 
 
 def shared_keys(nodes: DataFrame) -> DataFrame:
-    """key, place (number of the table), node and head (the key's smallest node) wherever several nodes share a key."""
-    keyed = nodes.select("node", F.posexplode(table_keys(F.col("mins"))).alias("place", "key"))
+    """key, node and head (the key's smallest node) wherever several nodes share a key."""
+    keyed = nodes.select("node", F.explode(table_keys(F.col("mins"))).alias("key"))
     crowd = keyed.groupBy("key").agg(F.count("*").alias("nodes"), F.min("node").alias("head")).where("nodes > 1")
     return keyed.join(crowd.drop("nodes"), "key")
 
@@ -97,55 +122,76 @@ def heads(shared: DataFrame) -> DataFrame:
     return met.groupBy("node").agg(F.max(F.struct("count", "head")).alias("most")).select(F.col("node").alias("a"), F.col("most.head").alias("b"))
 
 
-def spread(shared: DataFrame, roots: DataFrame) -> DataFrame:
-    """``shared`` with roots, where a key's nodes lie in different components; head is of its smallest root."""
+def apart(shared: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows of the nodes that share a key with another component: piece (its number), key, nodes (of the key), node, root, size, mins, low.
+
+    Keys are the pieces of the first collection here: who shares a table shares one of them.
+    """
     rooted = placed(shared.drop("head"), roots)
-    apart = rooted.groupBy("key").agg(F.min(F.struct("root", "node")).alias("first"), F.max("root").alias("last"), F.count("*").alias("nodes")).where("first.root <> last")
-    return rooted.join(apart.select("key", F.col("first.node").alias("head"), F.col("first.root").alias("head_root"), "nodes"), "key")
+    mixed = rooted.groupBy("key").agg(F.min("root").alias("first"), F.max("root").alias("last")).where("first <> last")
+    asked = stored(rooted.join(mixed.select("key"), "key", "left_semi").select("node", "root").distinct(), "asked")
+    piece = F.transform(F.sequence(F.lit(0), F.lit(TABLES - 1)), lambda k: F.xxhash64(k, F.get("mins", 2 * k), F.get("mins", 2 * k + 1)))
+    keyed = nodes.select("node", "mins").join(asked, "node").select("node", "root", F.posexplode(piece).alias("piece", "key"))
+    crowd = keyed.groupBy("key").agg(F.min("root").alias("first"), F.max("root").alias("last"), F.count("*").alias("nodes")).where("first <> last")
+    return keyed.join(crowd.select("key", "nodes"), "key").join(nodes.select("node", "size", "mins", "low"), "node")
 
 
-def candidates(apart: DataFrame, nodes: DataFrame) -> DataFrame:
-    """All pairs (a, b) of nodes of different components that share a key and may be similar by sizes and minhashes, once each.
+def candidates(wide: DataFrame, best: bool) -> DataFrame:
+    """Pairs (a, b) of nodes of different components that share a table and may be similar.
 
-    Of a cell's nodes, those outside the commonest component are compared with all.
+    ``wide``: rows of ``apart``. Of a cell's nodes, those outside the commonest component are compared with all. ``best``: for each
+    of these the one of that component and the one of others that are most alike; else all pairs, once each.
     """
-    wide = apart.select("key", "place", "node", "root", F.ceil(F.col("nodes") / PART).cast("int").alias("parts")).join(nodes.select("node", "size", "mins"), "node")
+    wide = wide.withColumn("parts", F.ceil(F.col("nodes") / PART).cast("int"))
     own, other = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     celled = wide.withColumn("own", own).withColumn("other", other)
     cell = (F.least("own", "other") * F.col("parts") + F.greatest("own", "other")).cast("long").alias("cell")
-    laid = celled.select("key", cell, "place", "own", "node", "root", "size", "mins").repartition("key", "cell").sortWithinPartitions("key", "cell", "root", "node")
+    laid = celled.select("key", cell, "piece", "own", "node", "root", "size", "mins", "low").repartition("key", "cell").sortWithinPartitions("key", "cell", "root", "node")
 
-    def compared(place: int, own: np.ndarray, node: np.ndarray, root: np.ndarray, size: np.ndarray, mins: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def compared(i: int, own: np.ndarray, node: np.ndarray, root: np.ndarray, size: np.ndarray, mins: np.ndarray, low: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
         values, counts = np.unique(root, return_counts=True)
-        asks = np.flatnonzero(root != values[counts.argmax()])
-        asking = np.zeros(len(node), bool)
-        asking[asks] = True
+        asking = root != values[counts.argmax()]
+        asks = np.flatnonzero(asking)
         piece = np.ascontiguousarray(mins).view(np.uint64)
-        i, j = divmod(place, TABLES)
         step = max(1, HELD // len(node))
         for block in (asks[at : at + step] for at in range(0, len(asks), step)):
             fit = (root[block, None] != root) & (OF * np.minimum(size[block, None], size) >= NEAR * np.maximum(size[block, None], size))
-            fit &= ~asking | (block[:, None] < np.arange(len(node)))  # two that ask meet once
             if own.min() != own.max():
                 fit &= own[block, None] != own
+            if not best:
+                fit &= ~asking | (block[:, None] < np.arange(len(node)))  # two that ask meet once
             a, b = np.nonzero(fit)
             a = block[a]
-            alike = (mins[a] == mins[b]).sum(axis=1) >= ALIKE
-            a, b = a[alike], b[alike]
             same = piece[a] == piece[b]
-            first = (same[:, :TABLES].argmax(axis=1) == i) & (same[:, TABLES:].argmax(axis=1) == j)
-            yield node[a[first]], node[b[first]]
+            kept = (same[:, :TABLES].argmax(axis=1) == i) & same[:, TABLES:].any(axis=1)
+            a, b = a[kept], b[kept]
+            kept = (mins[a] == mins[b]).sum(axis=1) >= ALIKE
+            a, b = a[kept], b[kept]
+            near = np.concatenate([np.zeros(0, np.int64), *(alike(low, size, a[k : k + 4096], b[k : k + 4096]) for k in range(0, len(a), 4096))])
+            a, b, near = a[near >= 0], b[near >= 0], near[near >= 0]
+            if best:
+                order = np.lexsort((-near, asking[b], a))
+                a, b, near = a[order], b[order], near[order]
+                kept = np.r_[True, (a[1:] != a[:-1]) | (asking[b[1:]] != asking[b[:-1]])][: len(a)]
+                a, b, near = a[kept], b[kept], near[kept]
+            yield node[a], node[b], near, asking[b]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for starts, (_, _, place, own, node, root, size, mins) in whole_runs(batches, 2):
+        for starts, (_, _, piece, own, node, root, size, mins, low) in whole_runs(batches, 2):
             for x, y in zip(starts[:-1], starts[1:], strict=True):
                 if root[x] != root[y - 1]:
-                    for a, b in compared(int(place[x]), own[x:y], node[x:y], root[x:y], size[x:y], np.stack(mins[x:y])):
+                    lows = np.full((y - x, LOW), 0xFFFFFFFF, np.uint32)
+                    for k, held in enumerate(low[x:y]):
+                        lows[k, : len(held) // 4] = np.frombuffer(held, "<u4")
+                    for a, b, near, asked in compared(int(piece[x]), own[x:y], node[x:y], root[x:y], size[x:y], np.stack(mins[x:y]), lows):
                         if len(a):
-                            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+                            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(near.astype(np.int32)), pa.array(asked)], ["a", "b", "alike", "asked"])
         release()
 
-    return laid.mapInArrow(rows, "a long, b long").distinct()  # keys of two tables may be equal by chance
+    found = laid.mapInArrow(rows, "a long, b long, alike int, asked boolean")
+    if best:
+        found = found.groupBy("a", "asked").agg(F.max(F.struct("alike", "b")).alias("most")).select("a", F.col("most.b").alias("b"))
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -193,16 +239,15 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id that links reach), kept (whether it is that one) of every document."""
     marked = stored(marks(docs), "marks")
-    nodes = marked.where("size > 0").groupBy("node").agg(F.min("doc_id").alias("doc"), F.first("size").alias("size"), F.first("mins").alias("mins"))
+    nodes = marked.where("size > 0").groupBy("node").agg(F.min("doc_id").alias("doc"), F.first("size").alias("size"), F.first("mins").alias("mins"), F.first("low").alias("low"))
     nodes = stored(nodes, "nodes")
     shared = stored(shared_keys(nodes), "shared")
 
     tested = stored(heads(shared), "pairs")
     links = confirmed(tested, nodes, docs)
     roots = components(links)
-    for last in (False, True):
-        apart = stored(spread(shared, roots), "apart")
-        found = candidates(apart, nodes) if last else heads(apart.where("root <> head_root"))
+    for best in (True, True, False):
+        found = candidates(apart(shared, nodes, roots), best)
         met = tested.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
         pairs = stored(found.join(met, (F.least("a", "b") == F.col("x")) & (F.greatest("a", "b") == F.col("y")), "left_anti"), "pairs")
         tested, links = tested.union(pairs), links.union(confirmed(pairs, nodes, docs))
