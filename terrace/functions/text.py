@@ -48,6 +48,15 @@ def normalize_name(x: Column) -> Column:
     return collapse(F.replace(_ascii(strip_accents(F.lower(F.trim(x)))), F.lit("-"), F.lit(" ")))
 
 
+def name_key(x: Column) -> Column:
+    """Key for exact name matching in any script: folded like ``normalize_name``, but letters beyond Latin stay, compared without case and marks.
+
+    Null where nothing is left of a name, so that it matches nothing.
+    """
+    kept = F.regexp_replace(strip_accents(F.lower(F.trim(x))), r"[^\x00-\x7F\p{L}\p{M}\p{N}]", "")
+    return F.collate(F.nullif(collapse(F.replace(kept, F.lit("-"), F.lit(" "))), F.lit("")), "UNICODE_CI_AI")
+
+
 def fold_header(x: Column) -> Column:
     """Header key: no accents, one kind of apostrophe, single blanks, lower case."""
     return F.lower(collapse(F.replace(strip_accents(compat(F.coalesce(x, F.lit("")))), F.lit("’"), F.lit("'"))))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from terrace.functions import casts, geo
@@ -10,6 +10,7 @@ from terrace.functions.text import deepest_code
 from terrace.operators import quality
 from terrace.operators.dedup import dedup_latest
 from terrace.operators.enrich import mark_existing, prefix_match
+from terrace.operators.monitoring import outcomes
 from terrace.operators.quarantine import tag_rejects
 
 # Zones of the dashboard's tree that are outside the statistical scope, in lower case.
@@ -17,17 +18,21 @@ OUT_OF_SCOPE = ("sebta", "mellilia", "melilla")
 ROOT_CODE = "MA"
 
 
-def consolidate(themes: DataFrame, zones: DataFrame, key: str = "code", value: str = "valeur") -> tuple[DataFrame, DataFrame]:
+#: What becomes of a row when themes are consolidated.
+OUTCOMES = ("kept", "empty", "unmatched")
+
+
+def consolidate(themes: DataFrame, zones: DataFrame, key: str = "code", value: str = "valeur") -> tuple[DataFrame, Observation]:
     """(long rows with their zone's attributes, counters): empty cells are dropped and counted, as are rows without a zone.
 
-    One pass tags each row with its outcome; the counters are (outcome, n).
+    The counters, for ``monitoring.counters`` with OUTCOMES, come with the first action over the rows.
     """
     known = zones.select(key, *(c for c in zones.columns if c != key and c not in themes.columns)).withColumn("_zone", F.lit(True))
     joined = themes.join(known, key, "left")
     empty = F.coalesce(F.trim(F.col(value)), F.lit("")) == ""
     tagged = joined.withColumn("_outcome", F.when(empty, "empty").when(F.col("_zone").isNull(), "unmatched").otherwise("kept"))
-    counters = tagged.groupBy(F.col("_outcome").alias("outcome")).agg(F.count("*").alias("n"))
-    return tagged.where("_outcome = 'kept'").drop("_zone", "_outcome"), counters
+    watched, seen = outcomes(tagged, "_outcome", OUTCOMES)
+    return watched.where("_outcome = 'kept'").drop("_zone", "_outcome"), seen
 
 
 def silver_zones(bronze: DataFrame, boundaries: DataFrame | None = None) -> DataFrame:

@@ -25,6 +25,12 @@ def dated_series(bronze: DataFrame, key: str, days: list[str], numbers: dict[str
     return bronze.where(F.col(key).rlike(DATED)).select(*texts, *(c.alias(n) for n, c in typed.items()))
 
 
+def undated(bronze: DataFrame, key: str) -> DataFrame:
+    """The rows that ``dated_series`` leaves out, as they came, with the reason."""
+    holds = F.col(key).rlike(DATED)
+    return tag_rejects(bronze, [(f"{key} invalide (attendu JJ/MM/AAAA)", holds)]).where("reject_reason IS NOT NULL")
+
+
 def silver_index(bronze: DataFrame) -> DataFrame:
     return dated_series(bronze, "date_reference", ["date_reference", "date_publication"], {"indice_monia_pct": "indice_monia", "volume_jj_mdh": "volume_jj"})
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrace.functions.text import normalize_name
+from terrace.functions.text import name_key, normalize_name
 from terrace.operators.dedup import first_by
 
 
@@ -53,9 +53,9 @@ def prefix_match(zones: DataFrame, places: DataFrame, zone_name: str, place_name
 
 
 def match_by_name(df: DataFrame, dim: DataFrame, name: str, dim_name: str, dim_id: str) -> DataFrame:
-    """Exact match on folded names: adds dim_id and reason: null, 'absent' or 'ambiguous' (the id is then null)."""
-    known = dim.groupBy(normalize_name(F.col(dim_name)).alias("_k")).agg(F.min(dim_id).alias("_id"), F.count("*").alias("_n"))
-    joined = df.withColumn("_f", normalize_name(F.col(name))).join(known, F.col("_f") == F.col("_k"), "left")
+    """Exact match on folded names of any script: adds dim_id and reason: null, 'absent' or 'ambiguous' (the id is then null)."""
+    known = dim.groupBy(name_key(F.col(dim_name)).alias("_k")).agg(F.min(dim_id).alias("_id"), F.count("*").alias("_n"))
+    joined = df.withColumn("_f", name_key(F.col(name))).join(known, F.col("_f") == F.col("_k"), "left")
     reason = F.when(F.col("_n").isNull(), "absent").when(F.col("_n") > 1, "ambiguous")
     return joined.withColumn("reason", reason).withColumn(dim_id, F.when(F.col("_n") == 1, F.col("_id"))).drop("_f", "_k", "_id", "_n")
 
@@ -74,10 +74,5 @@ def work_grid(*frames: DataFrame, key: str = "work_key") -> DataFrame:
     return out.withColumn(key, F.concat_ws("|", *(F.col(c).cast("string") for c in out.columns)))
 
 
-def remaining(work: DataFrame, done: DataFrame, key: str) -> DataFrame:
-    """Work whose key isn't done."""
-    return work.join(done.select(key).distinct(), key, "left_anti")
-
-
 def latest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_n = 1").drop("_n")

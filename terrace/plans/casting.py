@@ -158,9 +158,12 @@ def quantity_label(spark, d):
 _REASON = "CASE WHEN o_totalprice IS NULL OR o_totalprice < 1000 THEN 'price too low' WHEN o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM') THEN 'priority not allowed' WHEN o_orderstatus = 'P' THEN 'pending' END"
 
 
+def _rules():
+    return [("price too low", F.col("o_totalprice") >= 1000), ("priority not allowed", F.col("o_orderpriority").isin("1-URGENT", "2-HIGH", "3-MEDIUM")), ("pending", F.col("o_orderstatus") != "P")]
+
+
 def _tagged(spark, d):
-    rules = [("price too low", F.col("o_totalprice") >= 1000), ("priority not allowed", F.col("o_orderpriority").isin("1-URGENT", "2-HIGH", "3-MEDIUM")), ("pending", F.col("o_orderstatus") != "P")]
-    return quarantine.tag_rejects(table(spark, d, "orders"), rules)
+    return quarantine.tag_rejects(table(spark, d, "orders"), _rules())
 
 
 @query(f"SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE {_REASON} IS NULL")

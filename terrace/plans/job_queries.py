@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from terrace.jobs import census, listings, pois, rates
+from terrace.operators import monitoring
 from terrace.plans.registry import french, query, table, text2
+from terrace.sources import sinks
+from terrace.sources.storage import shared_path
 
 
 def _key(prefix: str, column: str):
@@ -74,7 +77,9 @@ def job_census_checks(spark, d):
 def job_consolidate(spark, d):
     zones = table(spark, d, "supplier").where("s_suppkey % 10 <> 0").select(_key("S", "s_suppkey").alias("code"), F.col("s_name").alias("nom"))
     themes = table(spark, d, "lineitem").select(_key("S", "l_suppkey").alias("code"), F.when(F.col("l_linenumber") == 2, " ").otherwise(text2("l_tax")).alias("valeur"))
-    return census.consolidate(themes, zones)[1]
+    rows, seen = census.consolidate(themes, zones)
+    sinks.full_load(rows, shared_path(spark, "consolidated"))
+    return monitoring.counters(spark, seen, census.OUTCOMES)
 
 
 def _rates(spark, d):

@@ -45,6 +45,16 @@ def job_interbank_market(spark, d):
     return money.silver_interbank_market(_market(spark, d))
 
 
+@query("SELECT strftime(o_orderdate, '%Y-%m-%d') AS date_reference, 'date_reference invalide (attendu JJ/MM/AAAA)' AS reject_reason FROM orders WHERE o_orderkey % 11 = 0")
+def job_overnight_index_rejects(spark, d):
+    return money.undated(_index(spark, d), "date_reference").select("date_reference", "reject_reason")
+
+
+@query("SELECT strftime(l_shipdate, '%Y-%m-%d') AS date_operation, 'date_operation invalide (attendu JJ/MM/AAAA)' AS reject_reason FROM lineitem WHERE (l_orderkey + l_linenumber) % 9 = 0")
+def job_interbank_market_rejects(spark, d):
+    return money.undated(_market(spark, d), "date_operation").select("date_operation", "reject_reason")
+
+
 @query(f"""WITH a AS (SELECT date_reference AS date_id, indice_monia_pct, row_number() OVER (PARTITION BY date_reference ORDER BY indice_monia_pct DESC NULLS LAST, volume_jj_mdh DESC NULLS LAST) AS k FROM ({_INDEX})),
 b AS (SELECT *, row_number() OVER (PARTITION BY date_operation ORDER BY taux_moyen_pondere_pct DESC NULLS LAST, volume_jj_mdh DESC NULLS LAST, encours_mdh DESC NULLS LAST) AS k FROM ({_MARKET}))
 SELECT coalesce(a.date_id, b.date_operation) AS date_id, indice_monia_pct, taux_moyen_pondere_pct AS taux_moyen_pondere_interbancaire, volume_jj_mdh AS volume_jj_interbancaire_mdh, encours_mdh AS encours_interbancaire_mdh

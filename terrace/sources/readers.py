@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from terrace.sources.storage import stored
+
 
 def _text(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
@@ -61,6 +63,33 @@ def read_run_log(spark: SparkSession, path: str, schema: str = RUN_LOG) -> DataF
     return spark.read.schema(schema).json(path)
 
 
+def read_json_kept(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
+    """(rows of ``schema``, rejects) of JSON lines: rejects are the lines that don't parse, whole, with their file and a reason.
+
+    Valid rows and rejects together are all lines but blank ones. A torn line would otherwise be a row of nulls.
+    """
+    kept = T.StructType.fromDDL(schema).add("_corrupt", T.StringType())
+    lines = spark.read.schema(kept).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(path).withColumn("_source_file", F.col("_metadata.file_path"))
+    lines = stored(lines, "lines")  # parsed once for both
+    torn = F.col("_corrupt").isNotNull()
+    rejects = lines.where(torn).select(F.col("_corrupt").alias("line"), "_source_file", F.lit("ligne illisible").alias("reject_reason"))
+    return lines.where(~torn).drop("_corrupt"), rejects
+
+
+def read_csv_kept(spark: SparkSession, path: str | list[str], columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """As ``read_text_csv``, and the records with another number of cells as rejects, whole, with their file and a reason."""
+    shape = _text([*columns, "_corrupt"])
+    rows = spark.read.schema(shape).csv(path, header=True, enforceSchema=True, multiLine=True, escape='"', encoding="UTF-8", mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt").withColumn("_source_file", F.col("_metadata.file_path"))
+    rows = stored(rows, "records")
+    torn = F.col("_corrupt").isNotNull()
+    return rows.where(~torn).drop("_corrupt"), rows.where(torn).select(F.col("_corrupt").alias("line"), "_source_file", F.lit("nombre de colonnes inattendu").alias("reject_reason"))
+
+
+def read_region(spark: SparkSession, path: str, schema: str, column: str, prefix: str) -> DataFrame:
+    """The rows of a partitioned table whose partition begins with ``prefix``; other partitions' files aren't opened."""
+    return spark.read.schema(schema).parquet(path).where(F.col(column).startswith(prefix))
+
+
 def list_raw_pages(pages: DataFrame) -> DataFrame:
     """page_id, url, html, and what identifies a page's content."""
     return pages.select("page_id", "url", "html", F.sha2(F.coalesce("html", F.lit("")), 256).alias("content_sha256"), F.octet_length(F.coalesce("html", F.lit(""))).alias("size_bytes"))

@@ -25,6 +25,11 @@ def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> N
     df.write.mode("append").partitionBy(*(partition_by or [])).parquet(path)
 
 
+def reload_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
+    """Replaces the partitions that ``df`` has rows of, and leaves the files of all others alone."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+
+
 def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
