@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrace.functions.text import collapse, fold_header
+from terrace.sources.storage import stored
 
 
 def flatten_tree(df: DataFrame, root: str, depth: int, fields: list[str], present: str, children: str = "children", keep: list[str] = ()) -> DataFrame:
@@ -31,15 +32,22 @@ def flatten_tree(df: DataFrame, root: str, depth: int, fields: list[str], presen
     return df.select(*keep, F.explode(nodes(F.col(root), [], 1)).alias("n")).select(*keep, "n.*")
 
 
-def find_field(df: DataFrame, json: str, field: str, depth: int, keep: list[str]) -> DataFrame:
-    """(keep..., depth, value) for each place down to ``depth`` where a JSON text holds the field."""
-    at = df.select(*keep, F.try_parse_json(json).alias("v"))
-    found = []
-    for level in range(1, depth + 1):
-        spread = at.sparkSession.sql(f"SELECT {', '.join(f't.`{k}`' for k in keep)}, e.key AS k, e.value AS v FROM {{at}} t, LATERAL variant_explode(t.v) e", at=at)
-        found.append(spread.where(F.col("k") == field).select(*keep, F.lit(level).alias("depth"), F.to_json("v").alias("value")))
-        at = spread.select(*keep, "v")
-    return reduce(DataFrame.unionByName, found)
+def find_field(df: DataFrame, json: str, field: str, keep: list[str], depth: int | None = None) -> DataFrame:
+    """(keep..., depth, value) for each place where a JSON text holds the field, however deep, or down to ``depth``.
+
+    The texts are read and parsed once. A level of nesting is one small table: its objects and arrays, opened, are
+    the next, so the work ends with the deepest text and shrinks on the way.
+    """
+    spark, opened = df.sparkSession, F.expr("schema_of_variant(v) RLIKE '^(OBJECT|ARRAY)'")
+    at, found, level = stored(df.select(*keep, F.try_parse_json(json).alias("v")).where(opened), "level"), [], 0
+    while True:
+        level += 1
+        spread = spark.sql(f"SELECT {', '.join(f't.`{k}`' for k in keep)}, e.key AS _key, e.value AS v FROM {{at}} t, LATERAL variant_explode(t.v) e", at=at)
+        spread = stored(spread.where((F.col("_key") == field) | opened), "level")
+        found.append(spread.where(F.col("_key") == field).select(*keep, F.lit(level).alias("depth"), F.to_json("v").alias("value")))
+        at = spread.where(opened).select(*keep, "v")
+        if level == depth or at.isEmpty():
+            return reduce(DataFrame.unionByName, found)
 
 
 def explode_elements(df: DataFrame, response: str, schema: str, keep: list[str]) -> DataFrame:

@@ -204,14 +204,12 @@ def tree_flatten(spark, d):
     return nested.flatten_tree(nations.select("batch", root.alias("root")), "root", 3, ["name", "code"], "centroid", keep=["batch"])
 
 
-@query("SELECT p_partkey, CAST(p_partkey % 3 + 1 AS INT) AS depth, CAST(p_size AS VARCHAR) AS value FROM part")
+@query("SELECT p_partkey, CAST(p_partkey % 12 + 1 AS INT) AS depth, CAST(p_size AS VARCHAR) AS value FROM part")
 def deep_field(spark, d):
-    """A field at a depth that differs by row."""
-    size, k = F.col("p_size").cast("string"), F.col("p_partkey") % 3
-    leaf = F.concat(F.lit('{"iso":'), size, F.lit("}"))
-    wrap = lambda x: F.concat(F.lit('{"a":'), x, F.lit(',"b":[]}'))
-    j = F.when(k == 0, leaf).when(k == 1, wrap(leaf)).otherwise(wrap(wrap(leaf)))
-    return nested.find_field(table(spark, d, "part").select("p_partkey", j.alias("j")), "j", "iso", 3, ["p_partkey"])
+    """A field at a depth that differs by row, from 1 to 12."""
+    size, k = F.col("p_size").cast("string"), (F.col("p_partkey") % 12).cast("int")
+    j = F.concat(F.repeat(F.lit('{"a":'), k), F.lit('{"iso":'), size, F.lit("}"), F.repeat(F.lit(',"b":[]}'), k))
+    return nested.find_field(table(spark, d, "part").select("p_partkey", j.alias("j")), "j", "iso", ["p_partkey"])
 
 
 @query("SELECT CAST(s_nationkey AS INT) AS batch, s_suppkey AS id, CASE WHEN s_suppkey % 2 = 0 THEN 'node' ELSE 'way' END AS kind, CASE WHEN s_suppkey % 2 = 0 THEN CAST(s_suppkey AS DOUBLE) ELSE CAST(s_nationkey AS DOUBLE) END AS lat, CASE WHEN s_suppkey % 3 = 0 THEN 'shop' END AS category FROM supplier")
