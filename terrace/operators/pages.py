@@ -16,7 +16,8 @@ ANCHOR = r"(?is)<a\s[^>]*?href\s*=\s*[\"']([^\"']*)[\"'][^>]*>(.*?)</a>"
 
 def extract_links(pages: DataFrame, keywords: list[str] | None = None, suffixes: list[str] | None = None) -> DataFrame:
     """(page_id, pos, url, title) of each page's anchors, the first of each absolute URL of a page."""
-    found = F.arrays_zip(F.regexp_extract_all("html", F.lit(ANCHOR), 1).alias("href"), F.regexp_extract_all("html", F.lit(ANCHOR), 2).alias("title"))
+    # pages are searched once, and the anchors found once more for their parts
+    found = F.transform(F.regexp_extract_all("html", F.lit(ANCHOR), 0), lambda a: F.struct(F.regexp_extract(a, ANCHOR, 1).alias("href"), F.regexp_extract(a, ANCHOR, 2).alias("title")))
     links = pages.select("page_id", F.col("url").alias("base"), F.posexplode(found).alias("pos", "a"))
     links = links.select("page_id", "pos", absolute_url(F.trim("a.href"), F.col("base")).alias("url"), collapse(F.regexp_replace("a.title", "<[^>]*>", " ")).alias("title"))
     if suffixes:

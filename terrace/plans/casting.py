@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from terrace.functions import casts, text
+from terrace.jobs import census
 from terrace.operators import enrich, quarantine
 from terrace.plans.registry import french, query, table, text2
 
@@ -187,11 +188,12 @@ def scope_exclude(spark, d):
     return flagged.where(~F.col("excluded")).select("n_nationkey", "n_name")
 
 
-@query("SELECT event_type, count(*) FILTER (user_id % 3 <> 0) AS n_kept, count(*) FILTER (user_id % 3 = 0) AS n_empty FROM events GROUP BY event_type")
+@query("SELECT event_id, CAST(event_id % 50 AS VARCHAR) AS code, CAST(user_id AS VARCHAR) AS valeur, p_name AS nom FROM events JOIN part ON p_partkey = event_id % 50 WHERE user_id % 3 <> 0")
 def empty_cells_dropped(spark, d):
-    cells = table(spark, d, "events").withColumn("cell", F.when(F.col("user_id") % 3 == 0, "  ").otherwise(F.col("user_id").cast("string")))
-    full = F.trim("cell") != ""
-    return cells.groupBy("event_type").agg(F.count_if(full).alias("n_kept"), F.count_if(~full).alias("n_empty"))
+    """The rows that consolidation keeps; empty cells and cells without a zone go."""
+    cells = table(spark, d, "events").select("event_id", (F.col("event_id") % 50).cast("string").alias("code"), F.when(F.col("user_id") % 3 == 0, "  ").otherwise(F.col("user_id").cast("string")).alias("valeur"))
+    zones = table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("code"), F.col("p_name").alias("nom"))
+    return census.consolidate(cells, zones)[0].select("event_id", "code", "valeur", "nom")
 
 
 @query("SELECT event_id, event_type FROM events WHERE event_id % 4 <> 0 AND trim(event_type) <> ''")

@@ -298,14 +298,24 @@ def table_chain(spark, d):
     return rows.select("k", "row_number", *(F.try_element_at("record", F.lit(h)).alias(n) for h, n in (("Code", "code"), ("Dépôts Montant", "amount"), ("Dépôts %", "share"))))
 
 
-@query(r"""WITH a AS (SELECT page_id, url AS base, unnest(regexp_extract_all(html, '(?is)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["''][^>]*>(.*?)</a>', 1)) AS href,
+_LINKS = r"""WITH a AS (SELECT page_id, url AS base, unnest(regexp_extract_all(html, '(?is)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["''][^>]*>(.*?)</a>', 1)) AS href,
 unnest(regexp_extract_all(html, '(?is)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["''][^>]*>(.*?)</a>', 2)) AS title, unnest(range(CAST(len(regexp_extract_all(html, '(?is)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["''][^>]*>(.*?)</a>', 1)) AS BIGINT))) AS pos FROM pages),
 u AS (SELECT page_id, CAST(pos AS INT) AS pos, CASE WHEN starts_with(trim(href), 'http') THEN trim(href) ELSE regexp_extract(base, '^([a-z]+://[^/?#]+)', 1) || trim(href) END AS url, trim(regexp_replace(regexp_replace(title, '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) AS title FROM a)
-SELECT page_id, min(pos) AS pos, url, arg_min(title, pos) AS title FROM u GROUP BY page_id, url""")
+"""
+
+
+@query(_LINKS + "SELECT page_id, min(pos) AS pos, url, arg_min(title, pos) AS title FROM u GROUP BY page_id, url")
 def page_links(spark, d):
     return pages.extract_links(table(spark, d, "pages"))
 
 
+@query(_LINKS + """SELECT page_id, min(pos) AS pos, url, arg_min(title, pos) AS title FROM u
+WHERE (ends_with(lower(url), 'en') OR ends_with(lower(url), 'tion.') OR ends_with(lower(url), 'er')) AND (contains(lower(title || ' ' || url), '/th') OR contains(lower(title || ' ' || url), '/re') OR contains(lower(title || ' ' || url), 'ch')) GROUP BY page_id, url""")
+def page_links_chosen(spark, d):
+    """Links by keyword of title or address and by ending."""
+    return pages.extract_links(table(spark, d, "pages"), keywords=["/TH", "/re", "ch"], suffixes=["en", "tion.", "er"])
+
+
 @query("""SELECT doc_id, '2024' AS year, CASE WHEN doc_id % 3 = 0 THEN CAST(n_chars AS VARCHAR) END AS density, CASE WHEN doc_id % 3 = 1 THEN CAST(doc_id AS VARCHAR) END AS agencies, CASE WHEN doc_id % 3 = 1 THEN '1,6' END AS per_10000 FROM documents WHERE doc_id % 3 < 2""")
 def text_indicators(spark, d):
     """Each document with a sentence appended; a third has none."""
