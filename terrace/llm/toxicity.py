@@ -6,8 +6,8 @@ lexicon holds beginnings of words with their log odds, learnt from labelled rows
 of their number too: the likelihood ratios of all that could be telling are ranked, and the bound is where the
 share of beginnings expected by chance falls to FALSE_SHARE, at every size of sample. A beginning that several words
 share must be telling without the commonest of them. Exceptions are words of
-clean rows that start like a lexicon entry, phrases of two words that clean rows hold oftener, and given
-phrases; they hide the matches inside them. The score is a logistic function of
+clean rows that start like a lexicon entry and phrases of two words around one, if clean rows hold them much oftener than
+the entry tells, and given phrases; they hide the matches inside them. The score is a logistic function of
 the weights found, as a sum and by length.
 
 Defined results: null and empty texts score as texts without matches; with no labelled rows
@@ -37,8 +37,8 @@ from terrace.llm.common import binary_rows, free_name, slices, stored
 
 #: Labelled rows that the lexicon and the score are fitted on, at most.
 SAMPLE_ROWS = 20_000
-#: Lexicon: letters of a beginning; share of entries that chance may bring; chance below which one beginning is telling; rows that make an exception.
-STEM_LETTERS, FALSE_SHARE, TELLING, LEAST_ROWS = (4, 12), 0.05, 0.001, 3
+#: Lexicon: letters of a beginning; least odds; share of entries that chance may bring; chance below which one beginning is telling; rows that make an exception.
+STEM_LETTERS, LEAST_ODDS, FALSE_SHARE, TELLING, LEAST_ROWS = (4, 12), 12.0, 0.05, 0.001, 3
 #: Phrases in which words of the lexicon are harmless.
 EXCEPTIONS = ("trash can", "trash bag", "trash bin", "clown fish", "clownfish", "rodeo clown", "scum line", "pond scum", "sore loser", "stupid mistake")
 #: A score from here on is toxic.
@@ -180,13 +180,18 @@ def evidence(t: Column, c: Column, share: float) -> Column:
     return F.when(t > rows * share, part(t, share) + part(c, 1 - share)).otherwise(0.0)
 
 
+def could_tell(share: float) -> Column:
+    """Whether a beginning has so many rows that it would be telling if all were toxic."""
+    return evidence(F.col("t") + F.col("c"), F.lit(0), share) >= math.log(1 / TELLING)
+
+
 def least_evidence(counts: DataFrame, share: float) -> float:
     """The likelihood ratio from which on no more than FALSE_SHARE of the beginnings are expected by chance.
 
-    Beginnings of so few rows that even all toxic they would not be telling aren't asked. The driver gets a histogram.
+    Beginnings that couldn't tell aren't asked. The driver gets a histogram.
     """
     chance = lambda v: math.erfc(math.sqrt(v)) / 2
-    could = counts.where(evidence(F.col("t") + F.col("c"), F.lit(0), share) >= math.log(1 / TELLING))
+    could = counts.where(could_tell(share))
     step = 20
     bins = {r["bin"]: r["n"] for r in could.groupBy(F.floor(F.col("evidence") * step).alias("bin")).agg(F.count("*").alias("n")).collect()}
     asked, above, least = sum(bins.values()), 0, math.inf
@@ -197,6 +202,20 @@ def least_evidence(counts: DataFrame, share: float) -> float:
     return least
 
 
+def _entry(model: Model, word: str) -> float:
+    """The weight of the entry that a word begins with, or 0."""
+    return max((w for n in range(STEM_LETTERS[0], min(STEM_LETTERS[1], len(word)) + 1) if (w := model.lexicon.get(word[:n]))), default=0.0)
+
+
+def milder(t: int, c: int, share: float, weight: float) -> float:
+    """Log likelihood ratio of t toxic and c clean rows against the share of toxic rows that an entry of this weight tells; 0 unless lower."""
+    told = 1 / (1 + math.exp(-weight) * (1 - share) / share)
+    own = t / (t + c)
+    if own >= told:
+        return 0.0
+    return (t * math.log(own / told) if t else 0.0) + c * math.log((1 - own) / (1 - told))
+
+
 def learn(docs: DataFrame, labels: DataFrame, exceptions: list[str] | None = None) -> Model:
     """A model from the labelled rows outside the held-out fold."""
     sample = stored(labelled_sample(docs, labels), "labelled")
@@ -210,7 +229,7 @@ def learn(docs: DataFrame, labels: DataFrame, exceptions: list[str] | None = Non
     if bad and good:
         least = least_evidence(counts, share)
         # the sample bounds the entries, and the words behind them
-        strong = {r["stem"]: (r["t"], r["w"]) for r in counts.where(F.col("evidence") >= least).select("stem", "t", F.log("odds").alias("w")).collect()}
+        strong = {r["stem"]: (r["t"], r["w"]) for r in counts.where(could_tell(share) & (F.col("evidence") >= least) & (F.col("odds") >= LEAST_ODDS)).select("stem", "t", F.log("odds").alias("w")).collect()}
         behind = sample.mapInArrow(lambda batches: _words_behind(batches, set(strong)), "stem string, word string, toxic int, n long")
         n = {k: F.sum(F.when(F.col("toxic") == v, F.col("n")).otherwise(0)).alias(k) for k, v in (("t", 1), ("c", 0))}
         words = behind.groupBy("stem", "word").agg(*n.values()).groupBy("stem").agg(F.sum("t").alias("t"), F.sum("c").alias("c"), F.max(F.struct((F.col("t") + F.col("c")).alias("n"), "word", "t", "c")).alias("top"))
@@ -221,11 +240,12 @@ def learn(docs: DataFrame, labels: DataFrame, exceptions: list[str] | None = Non
         starts = F.lit(False)  # a word of clean rows that starts like an entry is an exception
         for n in sorted({len(x) for x in model.lexicon}):
             starts = starts | F.substring("stem", 1, n).isin([x for x in model.lexicon if len(x) == n])
-        excused = counts.where(starts & (F.col("c") >= LEAST_ROWS) & (F.col("odds") < 1)).select("stem").collect()
-        model.exceptions += sorted(r["stem"] for r in excused if r["stem"] not in model.lexicon)
+        few = (F.col("c") >= LEAST_ROWS) & (F.col("odds") < 1)
+        excused = [r for r in counts.where(starts & few).collect() if r["stem"] not in model.lexicon]
+        model.exceptions += sorted(r["stem"] for r in excused if milder(r["t"], r["c"], share, _entry(model, r["stem"])) >= math.log(1 / TELLING))
         pairs = _by_label(sample.mapInArrow(lambda batches: _phrases(batches, model), "stem string, toxic int, n long"))
-        mild = pairs.where((F.col("c") >= LEAST_ROWS) & (F.col("c") * bad >= F.col("t") * good)).select("stem").collect()
-        model.exceptions += sorted(r["stem"] for r in mild)
+        mild = pairs.where((F.col("c") >= LEAST_ROWS) & (F.col("c") * bad >= F.col("t") * good)).collect()
+        model.exceptions += sorted(r["stem"] for r in mild if milder(r["t"], r["c"], share, max(_entry(model, w) for w in r["stem"].split())) >= math.log(1 / TELLING))
         model.__post_init__()
         model.coefficients = _fit(sample, model)
     elif bad or good:
@@ -234,9 +254,13 @@ def learn(docs: DataFrame, labels: DataFrame, exceptions: list[str] | None = Non
 
 
 def _choose(strong: dict[str, tuple[int, float]]) -> dict[str, float]:
-    """Entries so that a beginning isn't taken beside a longer one that loses hardly any of its rows."""
+    """Entries so that none starts like another: the longest beginning that loses hardly any rows."""
+    chosen: dict[str, float] = {}
     longer = {x[:-1] for x, (n, _) in strong.items() if x[:-1] in strong and n >= 0.95 * strong[x[:-1]][0]}
-    return {x: w for x, (_, w) in strong.items() if x not in longer}
+    for stem in sorted(strong, key=len):
+        if stem not in longer and not any(stem[:n] in chosen for n in range(STEM_LETTERS[0], len(stem))):
+            chosen[stem] = strong[stem][1]
+    return chosen
 
 
 def _fit(sample: DataFrame, model: Model) -> tuple[float, ...]:

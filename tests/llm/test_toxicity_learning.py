@@ -42,10 +42,10 @@ def test_a_shared_beginning_needs_more_than_one_word(spark):
 
 
 def test_exceptions_are_learnt(spark):
-    rows = [("you clown", 1), ("clowns you are", 1)] * 30 + [("the clownfish swims", 0)] * 25 + [("a class clown again", 0)] * 8 + [("a quiet day", 0)] * 150
+    rows = [("you clown", 1), ("clowns you are", 1)] * 30 + [("the clownfish swims", 0)] * 8 + [("a class clown again", 0)] * 8 + [("a quiet day", 0)] * 300
     model = toxicity.learn(*labelled(spark, rows))
     assert "clown" in model.lexicon and "clownfish" in model.exceptions and "class clown" in model.exceptions
-    assert model.score(b"the clownfish swims") == model.score(b"") == model.score(b"class clown") < model.score(b"clown") 
+    assert model.score(b"the clownfish swims") == model.score(b"") == model.score(b"class clown") < model.score(b"clown")
 
 
 def test_entries_by_a_recount(spark):
