@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
@@ -108,6 +109,12 @@ def release() -> None:
     _trim()(0)
 
 
+def fresh() -> None:
+    """Clears what the task before has left in a worker, as workers are used again."""
+    gc.collect()
+    release()
+
+
 def binary_rows(batch: pa.RecordBatch, name: str) -> list[bytes]:
     """The UTF-8 bytes of a string column; null counts as empty."""
     return [x or b"" for x in batch.column(batch.schema.get_field_index(name)).cast(pa.binary()).to_pylist()]

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.common import anti_join, release, semi_join, slices, stored
+from terrace.llm.common import anti_join, fresh, release, semi_join, slices, stored
 from terrace.llm.components import components
 from terrace.llm.simhash import link_forest, majority
 from terrace.llm.tokens import text_blocks
@@ -43,7 +43,7 @@ SAMPLE_ROWS, FREQUENT, MOST = 10_000, 3, 200_000
 #: Texts of one key that are compared in one task; a key of more is split into cells. Comparisons held at a time.
 PART, HELD = 2048, 1 << 18
 #: Bytes of text whose shingles are made at a time.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 #: Texts of a key up to which their pairs are given out; those of more are compared in place.
 SMALL = 16
 _ODD = tuple(np.uint64(x | 1) for x in (0x9E3779B97F4A7C14, 0xBF58476D1CE4E5B8, 0x94D049BB133111EA))
@@ -124,6 +124,7 @@ def marks(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     """doc_id, node, fingerprint, size and keys of every row."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh()
         for batch in (x for b in batches for x in text_blocks(b, "text", BLOCK_BYTES)):
             out: list[tuple] = []
             for h in shingles(batch.column(1)):
@@ -319,6 +320,7 @@ def verified(pairs: DataFrame, marked: DataFrame, nodes: DataFrame, docs: DataFr
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh()
         for batch in (x for b in batches for x in text_blocks(b, "text", BLOCK_BYTES)):
             sets = [np.unique(h) for h in shingles(batch.column(1))]
             yield pa.RecordBatch.from_arrays([pa.array(map(node_of, sets), pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())], ["node", "found"])

@@ -24,9 +24,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrace.llm.common import stored
+from terrace.llm.common import fresh, stored
 from terrace.llm.tokens import encoder, text_blocks
 
+#: Bytes of text that are encoded at a time.
+BLOCK_BYTES = 2 << 20
+
 
 @dataclass(frozen=True)
 class Capacity:
@@ -108,8 +111,9 @@ def token_pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int = 0, id
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh()
         encode = encoder(tokenizer)
-        for batch in (x for b in batches for x in text_blocks(b, text_col)):
+        for batch in (x for b in batches for x in text_blocks(b, text_col, BLOCK_BYTES)):
             ids, begin = encode(batch.column(1))
             whole = np.insert(ids, begin[1:], end_id).astype("<u4")
             begin = begin + np.arange(len(begin))
