@@ -128,3 +128,16 @@ def test_names_of_any_script(spark):
     found = {r["k"]: (r["id"], r["reason"]) for r in enrich.match_by_name(df, dim, "name", "zone", "id").collect()}
     absent = (None, "absent")
     assert found == {0: (1, None), 1: (2, None), 2: (3, None), 3: (4, None), 4: (5, None), 5: absent, 6: (6, None), 7: absent, 8: absent, 9: absent, 10: absent}
+
+
+def test_crowded_cells_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(spatial, "SIDE", 4)
+    monkeypatch.setattr(spatial, "BLOCK", 8)
+    p = spark.range(90).select(F.col("id").cast("int").alias("p"), F.lit(10.0).alias("lon"), (F.lit(89.9) - F.col("id") % 3 / 10).alias("lat"))
+    c = spark.range(40).select(F.col("id").cast("int").alias("c"), F.when(F.col("id") % 2 == 0, 180.0).otherwise(-170.0).alias("c_lon"), F.lit(89.9).alias("c_lat"))
+    df = spatial.within_radius(p, c, 40.0)
+    rows = df.collect()
+    near = {(i, j) for i in range(90) for j in range(40) if haversine(10.0, 89.9 - i % 3 / 10, (180.0, -170.0)[j % 2], 89.9) <= 40}
+    assert len(rows) == len(near) and {(r["p"], r["c"]) for r in rows} == near and len(near) >= 2400
+    tasks = df.groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) > 20 and max(r["count"] for r in tasks) < 600
