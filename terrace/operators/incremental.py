@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def detect_changes(pages: DataFrame, state: DataFrame, key: str = "url", content: str = "html") -> DataFrame:
+def detect_changes(pages: DataFrame, state: DataFrame, key: str | list[str] = "url", content: str = "html") -> DataFrame:
     """(key, content_sha256, status): NEW where the content's hash isn't that of the last state, else UNCHANGED.
 
-    ``state`` holds (key, content_sha256), one row a key.
+    ``state`` holds (key, content_sha256), one row a key; several columns may be the key. Missing content has no hash.
     """
-    now = pages.select(key, F.sha2(F.coalesce(F.col(content), F.lit("")), 256).alias("content_sha256"))
-    last = state.select(F.col(key).alias("_k"), F.col("content_sha256").alias("_last"))
-    status = F.when(F.col("_last") == F.col("content_sha256"), "UNCHANGED").otherwise("NEW")
-    return now.join(last, F.col(key).eqNullSafe(F.col("_k")), "left").select(key, "content_sha256", status.alias("status"))
+    keys = [key] if isinstance(key, str) else key
+    now = pages.select(*keys, F.sha2(F.col(content), 256).alias("content_sha256"))
+    last = state.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), F.col("content_sha256").alias("_last"), F.lit(True).alias("_known"))
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)))
+    status = F.when(F.col("_known") & F.col("_last").eqNullSafe(F.col("content_sha256")), "UNCHANGED").otherwise("NEW")
+    return now.join(last, same, "left").select(*keys, "content_sha256", status.alias("status"))
 
 
 def last_state(runs: DataFrame, key: str, at: str) -> DataFrame:

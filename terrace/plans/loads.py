@@ -154,10 +154,10 @@ def surrogate_keys(spark, d):
 
 @query("SELECT url, sha256(html) AS content_sha256, CASE WHEN page_id % 4 = 0 THEN 'NEW' WHEN page_id % 9 = 0 THEN 'NEW' ELSE 'UNCHANGED' END AS status FROM pages")
 def hash_change(spark, d):
-    """Against a state in which each ninth page has other content and each fourth is missing."""
+    """Against a state in which each ninth page has other content and each fourth is missing; an address may have several pages."""
     pages = table(spark, d, "pages")
-    state = pages.where("page_id % 4 <> 0").select("url", F.sha2(F.when(F.col("page_id") % 9 == 0, F.concat("html", F.lit(" "))).otherwise(F.col("html")), 256).alias("content_sha256"))
-    return incremental.detect_changes(pages, state)
+    state = pages.where("page_id % 4 <> 0").select("page_id", "url", F.sha2(F.when(F.col("page_id") % 9 == 0, F.concat(F.coalesce("html", F.lit("")), F.lit(" "))).otherwise(F.col("html")), 256).alias("content_sha256"))
+    return incremental.detect_changes(pages, state, ["page_id", "url"]).drop("page_id")
 
 
 @query("SELECT user_id, max(ts) AS ts, arg_max(event_id, (ts, event_id)) AS event_id, arg_max(event_type, (ts, event_id)) AS event_type FROM events GROUP BY user_id")

@@ -146,6 +146,24 @@ def test_unchanged_pages(spark):
     assert {r["url"]: r["status"] for r in incremental.detect_changes(again, state).collect()} == {"u": "UNCHANGED", "v": "UNCHANGED", "w": "NEW"}
 
 
+def test_pages_of_one_address(spark):
+    """Each page is compared with its own state; missing content has no hash."""
+    pages_ = spark.createDataFrame([(1, "u", "a"), (2, "u", "b"), (3, "u", None), (4, "u", None)], "page_id int, url string, html string")
+    state = incremental.detect_changes(pages_.where("page_id < 4"), pages_.limit(0).withColumn("content_sha256", F.lit("")), ["page_id", "url"]).drop("status")
+    again = incremental.detect_changes(pages_.withColumn("html", F.when(F.col("page_id") == 2, "a").otherwise(F.col("html"))), state, ["page_id", "url"])
+    rows = sorted(map(tuple, again.select("page_id", "url", F.col("content_sha256").isNull(), "status").collect()))
+    assert rows == [(1, "u", False, "UNCHANGED"), (2, "u", False, "NEW"), (3, "u", True, "UNCHANGED"), (4, "u", True, "NEW")]
+
+
+def test_hash_change_with_addresses_twice(spark, tmp_path):
+    from terrace.plans.catalog import QUERIES
+
+    spark.range(1, 41).selectExpr("id AS page_id", "concat('u', id % 7) AS url", "if(id % 5 = 0, NULL, concat('h', id)) AS html").write.parquet(f"{tmp_path}/pages.parquet")
+    found = QUERIES["hash_change"](spark, str(tmp_path)).groupBy("status").count().collect()
+    new = sum(k % 4 == 0 or k % 9 == 0 for k in range(1, 41))
+    assert {r["status"]: r["count"] for r in found} == {"NEW": new, "UNCHANGED": 40 - new}
+
+
 def test_checks_of_an_empty_table(spark):
     empty = spark.createDataFrame([], "k int, v int")
     assert [r["status"] for r in quality.completeness(empty, "t", ["k", "v"]).collect()] == ["PASS", "PASS"]
