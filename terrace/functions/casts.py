@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -27,14 +28,42 @@ def _compatible() -> tuple[str, str, list[tuple[str, str]]]:
 _FORMS, _PLAIN, _LIGATURES = _compatible()
 
 
+def _spans(characters: str, gap: int = 24) -> str:
+    """Character class of a few ranges that hold the characters and what lies near them; one that names each is slow, as all of its parts are asked."""
+    spans = []
+    for c in sorted(map(ord, characters)):
+        if spans and c - spans[-1][1] <= gap:
+            spans[-1][1] = c
+        else:
+            spans.append([c, c])
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in spans) + "]"
+
+
+_NEAR_FORMS, _NEAR_LIGATURES = _spans(_FORMS), _spans("".join(c for c, _ in _LIGATURES), 256)
+
+
+def once(x: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is worked out once a row, also in a lambda, where Spark works it out for each use."""
+    return F.get(F.transform(F.array(x), then), F.lit(0))
+
+
+def is_ascii(x: Column) -> Column:
+    """Whether every character is one byte."""
+    return F.length(x) == F.octet_length(x)
+
+
 def compat(x: Column) -> Column:
     """Compatibility variants of Latin letters, digits, marks and blanks as what they stand for; see ``text.nfkc`` for all of Unicode."""
-    x = F.translate(x, _FORMS, _PLAIN)
-    held = x.rlike("[" + "".join(c for c, _ in _LIGATURES) + "]")
-    spelled = x
-    for c, plain in _LIGATURES:
-        spelled = F.replace(spelled, F.lit(c), F.lit(plain))
-    return F.when(held, spelled).otherwise(x)
+
+    def spelled(y: Column) -> Column:
+        for c, plain in _LIGATURES:
+            y = F.replace(y, F.lit(c), F.lit(plain))
+        return y
+
+    def plain(x: Column) -> Column:
+        return F.when(x.rlike(_NEAR_FORMS), F.translate(x, _FORMS, _PLAIN)).otherwise(x)
+
+    return F.when(is_ascii(x), x).when(x.rlike(_NEAR_LIGATURES), spelled(plain(x))).otherwise(plain(x))
 
 
 def blank_to_null(x: Column) -> Column:
@@ -90,11 +119,15 @@ def unit_or_one(x: Column) -> Column:
 
 def normalize_number(x: Column) -> Column:
     """struct(i, d, s): a whole number, a number with point or percent sign, or the cleaned text."""
-    t = F.trim(compat(x))
-    percent = t.endswith("%")
-    clean = F.nullif(F.replace(F.translate(t, "%    ​\"'", ""), F.lit(","), F.lit(".")), F.lit(""))
-    whole = clean.rlike(r"^[+-]?[0-9]+$") & ~percent
-    real = F.when(percent, clean.rlike(NUMBER)).otherwise(clean.rlike(r"^[+-]?[0-9]+[.][0-9]+$"))
-    i = F.when(whole, clean.try_cast("bigint"))
-    d = F.when(real, clean.try_cast("double"))
-    return F.struct(i.alias("i"), d.alias("d"), F.when(i.isNull() & d.isNull(), clean).alias("s"))
+
+    def parsed(clean: Column, percent: Column) -> Column:
+        whole = clean.rlike(r"^[+-]?[0-9]+$") & ~percent
+        real = F.when(percent, clean.rlike(NUMBER)).otherwise(clean.rlike(r"^[+-]?[0-9]+[.][0-9]+$"))
+        i = F.when(whole, clean.try_cast("bigint"))
+        d = F.when(real, clean.try_cast("double"))
+        return F.struct(i.alias("i"), d.alias("d"), F.when(i.isNull() & d.isNull(), clean).alias("s"))
+
+    def number(t: Column) -> Column:
+        return once(F.nullif(F.replace(F.translate(t, "%    ​\"'", ""), F.lit(","), F.lit(".")), F.lit("")), lambda c: parsed(c, t.endswith("%")))
+
+    return once(F.trim(compat(x)), number)

@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from terrace.functions.casts import compat, normalize_number
+from terrace.functions.casts import compat, is_ascii, normalize_number, once
 
 
 def _accents() -> tuple[str, str]:
@@ -26,7 +26,7 @@ _FROM, _TO = _accents()
 
 
 def strip_accents(x: Column) -> Column:
-    return F.translate(x, _FROM, _TO)
+    return F.when(is_ascii(x), x).otherwise(F.translate(x, _FROM, _TO))
 
 
 def _ascii(x: Column) -> Column:
@@ -96,18 +96,23 @@ def slug(x: Column) -> Column:
 
 def field_name(x: Column, rules: tuple[tuple[str, str], ...] = FIELD_RULES) -> Column:
     """Canonical column name of a label: its slug, or what the first matching rule says."""
-    s = slug(x)
-    found = F.when(s == "", "column")
-    for pattern, name in rules:
-        found = found.when(s.rlike(pattern), name)
-    return found.otherwise(s)
+
+    def named(s: Column) -> Column:
+        found = F.when(s == "", "column")
+        for pattern, name in rules:
+            found = found.when(s.rlike(pattern), name)
+        return found.otherwise(s)
+
+    return once(slug(x), named)
 
 
 def normalize_map(m: Column) -> Column:
     """A map with canonical keys and values as ``normalize_number`` gives them; on two labels of one name, the last one's value."""
     entries = F.transform(F.map_entries(m), lambda e: F.struct(field_name(e["key"]).alias("key"), normalize_number(e["value"]).alias("value")))
-    names = F.array_distinct(F.transform(entries, lambda e: e["key"]))
-    return F.map_from_arrays(names, F.transform(names, lambda k: F.element_at(F.filter(entries, lambda e: e["key"] == k), -1)["value"]))
+    # of each name the last entry, at the place of its first
+    last = lambda es, k: F.element_at(F.filter(es, lambda e: e["key"] == k), -1)
+    single = lambda es: F.transform(F.array_distinct(F.transform(es, lambda e: e["key"])), lambda k: last(es, k))
+    return F.map_from_entries(once(entries, single))
 
 
 def period_from_title(x: Column) -> Column:

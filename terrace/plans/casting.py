@@ -257,8 +257,8 @@ def pick_category(spark, d):
 def map_normalise(spark, d):
     """Two labels of one canonical name: the last counts."""
     raw = F.map_from_arrays(F.array(F.lit("Ville"), F.lit("Rayon"), F.lit("Commune")), F.array(F.lit("?"), F.get_json_object("props", "$.k"), F.col("event_type")))
-    m = text.normalize_map(raw)
-    return table(spark, d, "events").select("event_id", F.try_element_at(m, F.lit("rayon_action"))["i"].alias("rayon_action"), F.try_element_at(m, F.lit("localite"))["s"].alias("localite"))
+    named = table(spark, d, "events").select("event_id", text.normalize_map(raw).alias("m"))
+    return named.select("event_id", F.try_element_at("m", F.lit("rayon_action"))["i"].alias("rayon_action"), F.try_element_at("m", F.lit("localite"))["s"].alias("localite"))
 
 
 @query("""SELECT p_partkey, concat_ws('|', p_partkey, p_brand, p_type) AS k, CASE WHEN regexp_matches(trim(regexp_replace(p_name, '[^A-Za-z0-9_]', '_', 'g'), '_'), '^[0-9]') THEN 't_' ELSE '' END || trim(regexp_replace(p_name, '[^A-Za-z0-9_]', '_', 'g'), '_') AS ident FROM part""")

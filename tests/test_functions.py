@@ -228,3 +228,33 @@ def test_point_in_two_parts_is_one_match(spark):
     polygons = spark.createDataFrame([(1, [ring(0.0, 0.0), ring(2.0, 2.0)])], "id int, geom array<array<array<struct<lon:double,lat:double>>>>")
     points = spark.createDataFrame([(1, 3.0, 3.0), (2, 1.0, 1.0), (3, 5.5, 5.5), (4, 9.0, 9.0)], "p int, lon double, lat double")
     assert sorted(r["p"] for r in topology.points_in_polygons(points, polygons, 1.0).collect()) == [1, 2, 3]
+
+
+def test_labels_are_worked_out_once(spark):
+    m = text.normalize_map(F.map_from_arrays(F.array(F.lit("Ville"), F.lit("Rayon"), F.lit("Commune")), F.array(F.lit("?"), F.lit("7 %"), F.lit("Fès"))))
+    assert spark.range(1).select(m.alias("m"))._jdf.queryExecution().analyzed().toString().count("[^a-z0-9]+") == 1
+    found = spark.range(1).select(m.alias("m")).first()["m"]
+    assert [(k, v["i"], v["d"], v["s"]) for k, v in found.items()] == [("localite", None, None, "Fès"), ("rayon_action", None, 7.0, None)]
+
+
+def test_variants_are_asked_by_few_ranges(spark):
+    import re
+
+    plan = spark.range(1).select(casts.compat(F.concat("id", F.lit("é"))).alias("x"))._jdf.queryExecution().analyzed().toString()
+    classes = re.findall(r"RLIKE\((?:.*?), (\[[^\]]*\])\)| RLIKE (\[[^\]]*\])", plan)
+    assert classes and all(len(re.findall(r"\\x\{\w+\}-\\x\{\w+\}|[^\[\]]", a or b)) <= 10 for a, b in classes)
+    variants = [*casts._FORMS, *(c for c, _ in casts._LIGATURES)]
+    expected = [*casts._PLAIN, *(plain for _, plain in casts._LIGATURES)]
+    df = spark.createDataFrame([(k, f"é{c}b") for k, c in enumerate(variants)], "k int, x string")
+    assert {r["k"]: r["x"] for r in df.select("k", casts.compat(F.col("x")).alias("x")).collect()} == {k: f"é{c}b" for k, c in enumerate(expected)}
+
+
+def test_measures_of_the_root_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(enrich, "CROWD", 10)
+    measures = spark.range(100).select("id", F.when(F.col("id") < 70, "MA").when(F.col("id") < 80, F.col("id").cast("string")).when(F.col("id") < 90, "?").alias("code"))
+    zones = spark.createDataFrame([(str(k), f"z{k}") for k in range(70, 79)] + [("75", "again")], "code string, zone string")
+    known, unknown = enrich.enrich_with_root(measures, zones, spark.createDataFrame([("MA", "root")], "code string, zone string"), "code")
+    assert known.columns == ["code", "id", "zone"] and unknown.columns == ["code", "id"]
+    assert sorted((r["id"], r["zone"]) for r in known.collect()) == sorted([(k, "root") for k in range(70)] + [(k, f"z{k}") for k in range(70, 79)] + [(75, "again")])
+    assert sorted(r["id"] for r in unknown.collect()) == list(range(79, 100))
+    assert "_task" in known._jdf.queryExecution().executedPlan().toString()
