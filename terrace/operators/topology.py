@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrace.functions import geo
+from terrace.functions.casts import once
 from terrace.sources.storage import stored
 
 #: Part of a cell by which edges are widened, so that what meets on the border of two cells meets in both.
@@ -18,6 +19,8 @@ SLACK = 1e-7
 MOVED_X, MOVED_Y = 0.381966011250105, 0.718281828459045
 #: Points of a cell that meet its polygons in one task.
 CROWD = 100_000
+#: Points of a geometry whose edges are compared in place, every two of them.
+FEW = 32
 
 #: Problems in the order in which they are told, the first alone.
 PROBLEMS = ("no_geometry", "too_few_points", "out_of_range", "open_ring", "no_area", "self_crossing", "overlapping_edges", "self_touching", "rings_crossing", "rings_touching_twice", "hole_outside", "holes_nested", "parts_overlapping")
@@ -75,6 +78,20 @@ def edge_pairs(edges: DataFrame, keys: list[str]) -> DataFrame:
     return e.join(f, same & (place("e") < place("f")))
 
 
+def pairs_in_place(df: DataFrame, keys: list[str], geom: str) -> DataFrame:
+    """Pairs (e, f) of all edges of one geometry of few points, as ``edge_pairs`` gives those that share a cell; nothing is shuffled."""
+    single = lambda ring: F.filter(ring, lambda p, i: (i == 0) | (p != F.get(ring, i - 1)))
+    names = ("part", "ring", "at", "ax", "ay", "bx", "by", "last")
+
+    def of_ring(ring: Column, part: Column, at: Column) -> Column:
+        numbered = lambda s: lambda e, i: F.struct(*(x.alias(n) for n, x in zip(names, (part, at, i, e["a"]["lon"], e["a"]["lat"], e["b"]["lon"], e["b"]["lat"], F.size(s) - 2), strict=True)))
+        return once(single(ring), lambda s: F.transform(geo.edges(s), numbered(s)))
+
+    every = F.flatten(F.transform(geom, lambda rings, p: F.flatten(F.transform(rings, lambda ring, r: of_ring(ring, p, r)))))
+    first = df.select(*keys, every.alias("_e")).select(*keys, "_e", F.posexplode("_e").alias("_i", "e"))
+    return first.select(F.struct(*keys, *(F.col(f"e.{n}").alias(n) for n in names)).alias("e"), F.explode(F.slice("_e", F.col("_i") + 2, F.size("_e"))).alias("f"))
+
+
 def touches(pairs: DataFrame, keys: list[str]) -> DataFrame:
     """What is wrong with pairs of edges, or where they touch: keys, both places, kind, x and y of a touching point.
 
@@ -128,10 +145,15 @@ def geometry_problems(df: DataFrame, keys: list[str], geom: str = "geom") -> Dat
     side = lambda a: F.aggregate(F.flatten(geom), F.lit(0.0), lambda s, r: s + F.aggregate(geo.edges(r), F.lit(0.0), lambda t, e: t + F.abs(e["b"][a] - e["a"][a])))
     # cells twice as wide and high as an edge is in the mean: edges pass few cells, and cells hold few edges
     size = lambda a: F.greatest(2 * side(a) / n, side("lon") / n / 100, side("lat") / n / 100)
-    simple = df.select(*keys, geom, geo.simple_problem(F.col(geom)).alias("problem"))
+    # dealt out, since a small file may hold many polygons
+    simple = stored(df.repartition(*keys).select(*keys, geom, geo.simple_problem(F.col(geom)).alias("problem")), "simple")
     sound = simple.where("problem IS NULL").withColumns({"width": size("lon"), "height": size("lat")})
-    edges = stored(ring_edges(sound, keys, geom, ["width", "height"]), "edges")
-    found = stored(touches(edge_pairs(edges, keys), keys), "touches")
+    # one ring of few points needs no edges beside its row
+    sound = sound.withColumns({"few": n <= FEW, "several": F.size(F.flatten(geom)) > 1})
+    edges = stored(ring_edges(sound.where("several OR NOT few"), keys, geom, ["width", "height", "few", "several"]), "edges")
+    by_cells = touches(edge_pairs(edges.where("NOT few").drop("few", "several"), keys), keys)
+    found = stored(by_cells.unionByName(touches(pairs_in_place(sound.where("few"), keys, geom), keys)), "touches")
+    edges = edges.where("several").drop("few", "several")
 
     one_part, one_ring = F.col("e_part") == F.col("f_part"), F.col("e_ring") == F.col("f_ring")
     name = F.when(F.col("kind") == "overlap", "overlapping_edges").when(one_part & one_ring, F.when(F.col("kind") == "crossing", "self_crossing").otherwise("self_touching"))

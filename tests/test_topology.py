@@ -175,3 +175,19 @@ def test_index_is_about_as_large_as_the_polygon(spark):
     sums = held.agg(F.sum("n").alias("edges"), F.count("*").alias("cells"), F.count_if(F.col("corner") & (F.col("n") == 0)).alias("full")).first()
     assert n <= sums["edges"] < 1.1 * n  # an edge lies in one cell, or passes into the next
     assert sums["cells"] < 1.2 * math.pi * (10 / 0.25) ** 2 and sums["full"] > 0.8 * sums["cells"]
+
+
+def test_few_points_are_compared_in_place(spark, monkeypatch):
+
+    random.seed(4)
+    point = "struct<lon:double,lat:double>"
+    ring = lambda n: (lambda r: [*r, r[0]])([(float(random.randint(0, 6)), float(random.randint(0, 6))) for _ in range(n)])
+    shapes = [[[ring(random.randint(3, 7))]] for _ in range(150)] + [[[ring(4), ring(3)], [ring(3)]] for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(shapes)), f"k int, geom array<array<array<{point}>>>")
+    written, real = {}, topology.stored
+    monkeypatch.setattr(topology, "stored", lambda frame, label: written.setdefault(label, real(frame, label)))
+    found = {r["k"]: r["problem"] for r in topology.geometry_problems(df, ["k"]).collect()}
+    assert written["edges"].where("k < 150").isEmpty() and not written["edges"].isEmpty()
+    monkeypatch.setattr(topology, "stored", real)
+    monkeypatch.setattr(topology, "FEW", 0)
+    assert found == {r["k"]: r["problem"] for r in topology.geometry_problems(df, ["k"]).collect()} and len(set(found.values())) > 4
