@@ -39,7 +39,8 @@ def find_field(df: DataFrame, json: str, field: str, keep: list[str], depth: int
     the next, so the work ends with the deepest text and shrinks on the way.
     """
     spark, opened = df.sparkSession, F.expr("schema_of_variant(v) RLIKE '^(OBJECT|ARRAY)'")
-    at, found, level = stored(df.select(*keep, F.try_parse_json(json).alias("v")).where(opened), "level"), [], 0
+    dealt = df.repartition(*keep, json)  # a small file may hold many texts
+    at, found, level = stored(dealt.select(*keep, F.try_parse_json(json).alias("v")).where(opened), "level"), [], 0
     while True:
         level += 1
         spread = spark.sql(f"SELECT {', '.join(f't.`{k}`' for k in keep)}, e.key AS _key, e.value AS v FROM {{at}} t, LATERAL variant_explode(t.v) e", at=at)

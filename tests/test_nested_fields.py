@@ -31,3 +31,10 @@ def test_texts_are_read_once(spark, tmp_path):
     spark.createDataFrame([(1, '{"a":{"iso":1}}')], "k int, j string").write.parquet(f"{tmp_path}/t")
     found = nested.find_field(spark.read.parquet(f"{tmp_path}/t"), "j", "iso", ["k"])
     assert not any(str(tmp_path / "t") in f for f in found.inputFiles()) and found.count() == 1
+
+
+def test_texts_of_a_small_file_are_dealt_out(spark, monkeypatch):
+    plans, real = [], nested.stored
+    monkeypatch.setattr(nested, "stored", lambda df, label: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or real(df, label))
+    assert nested.find_field(spark.createDataFrame([(1, '{"a":{"iso":1}}')], "k int, j string"), "j", "iso", ["k"]).count() == 1
+    assert "RepartitionByExpression" in plans[0]
