@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from terrace.functions.text import name_key, normalize_name
 from terrace.operators.dedup import first_by
+from terrace.sources.storage import stored
+
+#: Rows of one key that a task joins.
+CROWD = 100_000
 
 
 def mark_existing(df: DataFrame, keys: DataFrame, key: str, name: str) -> DataFrame:
@@ -61,9 +65,16 @@ def match_by_name(df: DataFrame, dim: DataFrame, name: str, dim_name: str, dim_i
 
 
 def enrich_with_root(measures: DataFrame, zones: DataFrame, root: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """(measures with zone attributes, measures without a zone); the root zone is added to the zones."""
-    every = zones.unionByName(root)
-    return measures.join(every, key), measures.join(every, key, "left_anti")
+    """(measures with zone attributes, measures without a zone); the root zone is added to the zones.
+
+    Measures of one code, as the root's, are dealt to several tasks by their exact count, and their zones go to each of them.
+    """
+    crowded = measures.groupBy(key).count().where(F.col("count") > CROWD).select(key, F.ceil(F.col("count") / CROWD).alias("_tasks"))
+    crowded, tasks = stored(crowded, "crowded"), F.coalesce("_tasks", F.lit(1).cast("bigint"))
+    own = [c for c, kind in measures.dtypes if "map<" not in kind and "variant" not in kind]
+    dealt = measures.join(crowded, key, "left").withColumn("_task", F.pmod(F.xxhash64(*own), tasks)).drop("_tasks")
+    every = zones.unionByName(root).join(crowded, key, "left").withColumn("_task", F.explode(F.sequence(F.lit(0).cast("bigint"), tasks - 1))).drop("_tasks")
+    return dealt.join(every, [key, "_task"]).drop("_task"), dealt.join(every, [key, "_task"], "left_anti").drop("_task")
 
 
 def work_grid(*frames: DataFrame, key: str = "work_key") -> DataFrame:
