@@ -257,7 +257,8 @@ def pick_category(spark, d):
 def map_normalise(spark, d):
     """Two labels of one canonical name: the last counts."""
     raw = F.map_from_arrays(F.array(F.lit("Ville"), F.lit("Rayon"), F.lit("Commune")), F.array(F.lit("?"), F.get_json_object("props", "$.k"), F.col("event_type")))
-    named = table(spark, d, "events").select("event_id", text.normalize_map(raw).alias("m"))
+    dealt = table(spark, d, "events").repartition("event_id")  # a small file may hold many rows
+    named = dealt.select("event_id", text.normalize_map(raw).alias("m"))
     return named.select("event_id", F.try_element_at("m", F.lit("rayon_action"))["i"].alias("rayon_action"), F.try_element_at("m", F.lit("localite"))["s"].alias("localite"))
 
 
