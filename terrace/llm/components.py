@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.common import stored
+from terrace.llm.common import passing, stored
 
 
 def _star(pairs: DataFrame, large: bool) -> DataFrame:
@@ -32,11 +32,12 @@ def components(pairs: DataFrame) -> DataFrame:
     Every round halves the paths at least; the driver sees a count and a checksum a round. Loops and
     repeated pairs are harmless, and no pairs give no rows.
     """
-    pairs = stored(pairs.where("a <> b").distinct(), "pairs")
-    seen = None
-    while True:
-        now = pairs.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
-        if now == seen or not now["n"]:
-            return pairs.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        seen = now
-        pairs = stored(_star(_star(pairs, large=True), large=False), "pairs")
+    with passing(pairs.sparkSession) as keep:
+        pairs = stored(pairs.where("a <> b").distinct(), "pairs")
+        seen = None
+        while True:
+            now = pairs.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
+            if now == seen or not now["n"]:
+                return keep(pairs).select(F.col("a").alias("node"), F.col("b").alias("root"))
+            seen = now
+            pairs = stored(_star(_star(pairs, large=True), large=False), "pairs")

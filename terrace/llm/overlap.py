@@ -11,7 +11,8 @@ sets of shingles:
    first n - ceil(0.8 n) + 1 of a text's n hold one that a similar text has among its own first ones. The order
    is that of hashes, with the shingles that are frequent in a sample last, which changes the number of
    candidates but not what is found. A text meets those with the nearest fingerprints first; whatever
-   components are still apart then are compared whole.
+   components are still apart then are compared whole. Parity bits, one to two a shingle, rule out most
+   pairs before sets are sent: sets differ in no fewer shingles than their bits.
 
 Equal sets are one node, so copies cost nothing.
 
@@ -30,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.common import anti_join, fresh, release, semi_join, slices, stored
+from terrace.llm.common import anti_join, fresh, passing, release, semi_join, slices, stored
 from terrace.llm.components import components
 from terrace.llm.simhash import link_forest, majority
 from terrace.llm.tokens import text_blocks
@@ -44,6 +45,8 @@ SAMPLE_ROWS, FREQUENT, MOST = 10_000, 3, 200_000
 PART, HELD = 2048, 1 << 18
 #: Bytes of text whose shingles are made at a time.
 BLOCK_BYTES = 1 << 20
+#: How texts meet by their keys, pass by pass (see ``candidates``); what passes before have joined isn't compared again.
+MEETINGS = ("one", "all")
 #: Texts of a key up to which their pairs are given out; those of more are compared in place.
 SMALL = 16
 _ODD = tuple(np.uint64(x | 1) for x in (0x9E3779B97F4A7C14, 0xBF58476D1CE4E5B8, 0x94D049BB133111EA))
@@ -96,6 +99,42 @@ def prefix(found: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     return found[: len(found) - -(-NEAR * len(found) // OF) + 1]
 
 
+def parities(found: np.ndarray) -> np.ndarray:
+    """A set's parity bits, one to two for each shingle: whether an odd number of shingles falls to a bit.
+
+    Sets differ in as many shingles at least as their bits do, also when bits are folded, so bits alone rule pairs out.
+    """
+    width = max(64, 1 << max(0, len(found) - 1).bit_length())
+    odd = np.bincount((found % np.uint64(width)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
+def folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """The parity bits that the set has in so many words of 64, as many as ``bits`` has or fewer."""
+    return np.bitwise_xor.reduce(bits.reshape(-1, words), axis=0)
+
+
+def most_apart(size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
+    """How many shingles may be in one of two similar sets alone."""
+    return size_a + size_b - 2 * -(-NEAR * (size_a + size_b) // (NEAR + OF))
+
+
+def near_by_bits(bits: list[np.ndarray], a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the parity bits of sets number a and b let them be similar."""
+    words = np.array([len(x) for x in bits])
+    of_pair, allowed = np.minimum(words[a], words[b]), most_apart(size[a], size[b])
+    near = np.zeros(len(a), bool)
+    for n in np.unique(of_pair).tolist():
+        mine = np.flatnonzero(of_pair == n)
+        held = np.union1d(a[mine], b[mine])
+        table = np.stack([folded(bits[k], n) for k in held.tolist()])
+        for at in range(0, len(mine), max(1, HELD // n)):
+            some = mine[at : at + max(1, HELD // n)]
+            x, y = table[np.searchsorted(held, a[some])], table[np.searchsorted(held, b[some])]
+            near[some] = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) <= allowed[some]
+    return near
+
+
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
     both = len(np.intersect1d(a, b, assume_unique=True))
     return OF * both >= NEAR * (len(a) + len(b) - both)
@@ -121,7 +160,7 @@ def frequent_shingles(docs: DataFrame) -> np.ndarray:
 
 
 def marks(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """doc_id, node, fingerprint, size and keys of every row."""
+    """doc_id, node, fingerprint, size, parity bits and keys of every row."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fresh()
@@ -129,13 +168,14 @@ def marks(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
             out: list[tuple] = []
             for h in shingles(batch.column(1)):
                 found = np.unique(h)
-                out.append((node_of(found), majority(h) if len(h) else 0, len(found), prefix(found, frequent).view(np.int64)))
-            node, fp, size, keys = zip(*out, strict=True) if out else ((), (), (), ())
+                out.append((node_of(found), majority(h) if len(h) else 0, len(found), parities(found).tobytes(), prefix(found, frequent).view(np.int64)))
+            node, fp, size, bits, keys = zip(*out, strict=True) if out else ((), (), (), (), ())
             ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.zeros(0, np.int64), *keys])))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(node, pa.int64()), pa.array(fp, pa.int64()), pa.array(size, pa.int64()), lists], ["doc_id", "node", "fp", "size", "keys"])
+            columns = [batch.column(0), *(pa.array(x, pa.int64()) for x in (node, fp, size)), pa.array(bits, pa.binary()), lists]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "fp", "size", "bits", "keys"])
 
-    return _texts(docs).mapInArrow(rows, "doc_id long, node long, fp long, size long, keys array<long>")
+    return _texts(docs).mapInArrow(rows, "doc_id long, node long, fp long, size long, bits binary, keys array<long>")
 
 
 def whole_runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
@@ -230,82 +270,44 @@ def candidates(shared: DataFrame, meets: str) -> DataFrame:
 
 
 def crowded_candidates(rows: DataFrame, firsts: DataFrame) -> DataFrame:
-    """As ``candidates`` for all, of keys of very many texts: pairs that share enough first shingles, each given out by one key.
+    """As ``candidates`` for all, of keys of very many texts: pairs that their parity bits let be similar.
 
-    ``rows``: as there; ``firsts``: node, keys. Of a key's texts, those outside the commonest component are compared with all.
+    ``rows``: as there; ``firsts``: node, bits. Of a key's texts, those outside the commonest component are compared with all.
     """
     own, other = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    crowded = rows.groupBy("node").agg(F.collect_list("key").alias("hot"), F.collect_list(F.col("leads").cast("int")).alias("hot_leads"))
-    wide = rows.join(crowded.join(firsts, "node"), "node").withColumn("own", own).withColumn("other", other)
+    wide = rows.join(firsts, "node").withColumn("own", own).withColumn("other", other)
     cell = (F.least("own", "other") * F.col("parts") + F.greatest("own", "other")).cast("long").alias("cell")
-    laid = wide.select("key", cell, "own", "node", "size", "root", "keys", "hot", "hot_leads").repartition("key", "cell").sortWithinPartitions("key", "cell", "root", "node")
-
-    def holders(lists: np.ndarray, *more: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
-        """(value, who holds it, what they hold beside it) for each value that several hold, ascending."""
-        owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-        value = np.concatenate(lists)
-        order = np.argsort(value, kind="stable")
-        edges = np.flatnonzero(np.r_[True, value[order][1:] != value[order][:-1], True])
-        beside = [np.concatenate(m)[order] for m in more]
-        for a, b in zip(edges[:-1], edges[1:], strict=True):
-            if b - a > 1:
-                yield value[order[a]], owner[order[a:b]], *(m[a:b] for m in beside)
-
-    def compared(key: int, own: np.ndarray, node: np.ndarray, size: np.ndarray, root: np.ndarray, keys: np.ndarray, hot: np.ndarray, leads: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    laid = wide.select("key", cell, "own", "node", F.col("leads").cast("int").alias("leads"), "size", "root", "bits").repartition("key", "cell").sortWithinPartitions("key", "cell", "root", "node")
+
+    def compared(own: np.ndarray, node: np.ndarray, leads: np.ndarray, size: np.ndarray, root: np.ndarray, bits: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         values, counts = np.unique(root, return_counts=True)
         asks = np.flatnonzero(root != values[counts.argmax()])
-        least, length = np.full(len(node), -1), np.array([len(x) for x in keys])
+        asking = np.isin(np.arange(len(node)), asks)
+        bits = [np.frombuffer(x, np.uint64) for x in bits]
         for at in range(0, len(asks), max(1, HELD // len(node))):
-            block = asks[at : at + max(1, HELD // len(node))]
-            least[:] = -1
-            least[block] = np.arange(len(block))
-            shared, elsewhere = np.zeros((len(block), len(node)), np.uint16), np.zeros((len(block), len(node)), bool)
-            smaller = (size[block, None] < size) | (size[block, None] == size) & (node[block, None] < node)  # the asking one
-            for _, who in holders(keys):
-                a = who[least[who] >= 0]
-                shared[np.ix_(least[a], who)] += 1
-            here = None
-            for k, who, lead in holders(hot, leads):
-                if k > key:
-                    break
-                mine = least[who] >= 0
-                a = least[who[mine]]
-                met = np.where(smaller[np.ix_(a, who)], lead[mine][:, None], lead) > 0
-                if k == key:
-                    here = np.zeros_like(elsewhere)
-                    here[np.ix_(a, who)] = met
-                else:
-                    elsewhere[np.ix_(a, who)] |= met
-            both = -(-NEAR * (size[block, None] + size) // (NEAR + OF))
-            need = np.minimum(length[block, None] - size[block, None] + both, length - size + both)
-            fit = here & ~elsewhere & (shared >= need) & (root[block, None] != root) & (OF * np.minimum(size[block, None], size) >= NEAR * np.maximum(size[block, None], size))
+            block = asks[at : at + max(1, HELD // len(node)), None]
+            smaller = (size[block] < size) | (size[block] == size) & (node[block] < node)  # the asking one
+            fit = np.where(smaller, leads[block], leads) > 0
+            fit &= (root[block] != root) & (OF * np.minimum(size[block], size) >= NEAR * np.maximum(size[block], size))
             if own.min() != own.max():
-                fit &= own[block, None] != own
-            fit &= (least < 0) | (block[:, None] < np.arange(len(node)))  # two that ask meet once
+                fit &= own[block] != own
+            fit &= ~asking | (block < np.arange(len(node)))  # two that ask meet once
             a, b = np.nonzero(fit)
-            yield node[block[a]], node[b]
+            a = block[a, 0]
+            near = near_by_bits(bits, a, b, size)
+            yield node[a[near]], node[b[near]]
 
     def pairs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for starts, (key, cell, own, node, size, root, keys, hot, leads) in whole_runs(batches, 2):
+        for starts, (_, _, own, node, leads, size, root, bits) in whole_runs(batches, 2):
             for x, y in zip(starts[:-1], starts[1:], strict=True):
                 if root[x] != root[y - 1]:
-                    for a, b in compared(key[x], *(c[x:y] for c in (own, node, size, root, keys, hot, leads))):
+                    for a, b in compared(*(c[x:y] for c in (own, node, leads, size, root, bits))):
                         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
         release()
 
     return laid.mapInArrow(pairs_of, "a long, b long")
 
 
-def enough_keys(a: np.ndarray, b: np.ndarray, size_a: int, size_b: int) -> bool:
-    """Whether two sets that share just these of their first shingles can be similar.
-
-    Of the one whose first shingles end earlier in the order, all that are in both sets are among the other's first ones.
-    """
-    least = -(-NEAR * (size_a + size_b) // (NEAR + OF))  # in both, if similar
-    need = min(len(a) - (size_a - least), len(b) - (size_b - least))
-    return len(np.intersect1d(a, b, assume_unique=True)) >= need
-
-
 def _with_both(pairs: DataFrame, of_node: DataFrame) -> DataFrame:
     """The pairs with the columns of ``of_node`` for a and for b."""
     for side in ("a", "b"):
@@ -316,7 +318,7 @@ def _with_both(pairs: DataFrame, of_node: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, marked: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b; distinct and stored) whose sets of shingles are similar, stored.
 
-    First shingles rule most others out, so that few whole sets are sent.
+    Parity bits rule most others out, so that few whole sets are sent.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -326,14 +328,11 @@ def verified(pairs: DataFrame, marked: DataFrame, nodes: DataFrame, docs: DataFr
             yield pa.RecordBatch.from_arrays([pa.array(map(node_of, sets), pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())], ["node", "found"])
 
     def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 4096):
-            at = batch.schema.get_field_index
-            keys = []
-            for side in ("keys_a", "keys_b"):
-                lists = batch.column(at(side))
-                keys.append(np.split(np.asarray(lists.flatten()), np.asarray(lists.offsets)[1:-1] - lists.offsets[0].as_py()) if batch.num_rows else [])
-            sizes = [batch.column(at(x)).to_pylist() for x in ("size_a", "size_b")]
-            yield batch.select(["a", "b"]).filter(pa.array([enough_keys(*x) for x in zip(*keys, *sizes, strict=True)], pa.bool_()))
+        for batch in slices(batches, 1024):
+            of = {name: batch.column(k) for k, name in enumerate(batch.schema.names)}
+            bits = [np.frombuffer(x, np.uint64) for side in ("bits_a", "bits_b") for x in of[side].to_pylist()]
+            size, at = np.r_[of["size_a"].to_numpy(), of["size_b"].to_numpy()], np.arange(batch.num_rows)
+            yield batch.select(["a", "b"]).filter(pa.array(near_by_bits(bits, at, at + batch.num_rows, size)))
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -344,14 +343,15 @@ def verified(pairs: DataFrame, marked: DataFrame, nodes: DataFrame, docs: DataFr
     def asked(of: DataFrame) -> DataFrame:
         return of.select(F.explode(F.array("a", "b")).alias("node"))
 
-    first = stored(semi_join(marked.select("node", "size", "keys"), asked(pairs), "node").dropDuplicates(["node"]), "first")
-    pairs = stored(_with_both(pairs, first).mapInArrow(possible, "a long, b long"), "possible")
-    of = stored(nodes.join(asked(pairs).distinct(), "node").select("node", F.col("doc").alias("doc_id")), "asked")
-    # rows that share a doc_id can have other texts
-    made = semi_join(_texts(docs), of.select("doc_id")).mapInArrow(rows, "node long, found binary")
-    sets = stored(semi_join(made, of.select("node"), "node").dropDuplicates(["node"]), "sets")
-    both = _with_both(pairs, sets).select("a", "b", "found_a", "found_b")
-    return stored(both.mapInArrow(decide, "a long, b long"), "links")
+    with passing(docs.sparkSession) as keep:
+        first = stored(semi_join(marked.select("node", "size", "bits"), asked(pairs), "node").dropDuplicates(["node"]), "first")
+        pairs = stored(_with_both(pairs, first).mapInArrow(possible, "a long, b long"), "possible")
+        of = stored(nodes.join(asked(pairs).distinct(), "node").select("node", F.col("doc").alias("doc_id")), "asked")
+        # rows that share a doc_id can have other texts
+        made = semi_join(_texts(docs), of.select("doc_id")).mapInArrow(rows, "node long, found binary")
+        sets = stored(semi_join(made, of.select("node"), "node").dropDuplicates(["node"]), "sets")
+        both = _with_both(pairs, sets).select("a", "b", "found_a", "found_b")
+        return keep(stored(both.mapInArrow(decide, "a long, b long"), "links"))
 
 
 def placed(nodes: DataFrame, roots: DataFrame) -> DataFrame:
@@ -368,38 +368,41 @@ def simhash_pairs(nodes: DataFrame) -> DataFrame:
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
-    """doc_id, component_id (smallest doc_id that chains of similar texts reach) of every document."""
-    marked = stored(marks(docs, frequent_shingles(docs)), "marks")
-    nodes = stored(marked.groupBy("node").agg(F.min("doc_id").alias("doc"), F.first("fp").alias("fp"), F.first("size").alias("size")), "nodes")
-
-    tested = stored(simhash_pairs(nodes), "pairs")
-    links = verified(tested, marked, nodes, docs)
-    shared = stored(shared_keys(marked, nodes), "shared")
-    counts = shared.groupBy("key").count().where(F.col("count") > SMALL)
-    crowd = stored(counts.select("key", F.ceil(F.col("count") / PART).cast("int").alias("parts")), "crowd")
-    shared = shared.join(crowd, "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    crowd = crowd.select("key")
-    roots = components(links)
-    for meets in ("one", "one", "all"):
-        rows = shared.join(placed(nodes.drop("doc"), roots), "node")
-        if meets == "one":
-            found = candidates(rows, meets)
-        else:
-            crowded_rows = stored(semi_join(rows, crowd, "key"), "crowded")
-            firsts = semi_join(marked.select("node", "keys"), crowded_rows.select("node"), "node").dropDuplicates(["node"])
-            found = candidates(anti_join(rows, crowd, "key"), meets).union(crowded_candidates(crowded_rows, firsts)).distinct()
-        pairs = stored(found.join(tested, ["a", "b"], "left_anti"), "pairs")
-        tested = tested.union(pairs)
-        links = links.union(verified(pairs, marked, nodes, docs))
+    """doc_id, component_id (smallest doc_id that chains of similar texts reach) of every document, stored."""
+    spark = docs.sparkSession
+    with passing(spark) as keep:
+        marked = stored(marks(docs, frequent_shingles(docs)), "marks")
+        nodes = stored(marked.groupBy("node").agg(F.min("doc_id").alias("doc"), F.first("fp").alias("fp"), F.first("size").alias("size")), "nodes")
+
+        tested = stored(simhash_pairs(nodes), "pairs")
+        links = verified(tested, marked, nodes, docs)
+        shared = stored(shared_keys(marked, nodes), "shared")
+        counts = shared.groupBy("key").count().where(F.col("count") > SMALL)
+        crowd = stored(counts.select("key", F.ceil(F.col("count") / PART).cast("int").alias("parts")), "crowd")
+        shared = shared.join(crowd, "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+        crowd = crowd.select("key")
         roots = components(links)
+        for meets in MEETINGS:
+            with passing(spark) as pass_on:
+                rows = shared.join(placed(nodes.drop("doc"), roots), "node")
+                if meets == "one":
+                    found = candidates(rows, meets)
+                else:
+                    crowded_rows = stored(semi_join(rows, crowd, "key"), "crowded")
+                    firsts = semi_join(marked.select("node", "bits"), crowded_rows.select("node"), "node").dropDuplicates(["node"])
+                    found = candidates(anti_join(rows, crowd, "key"), meets).union(crowded_candidates(crowded_rows, firsts)).distinct()
+                pairs = pass_on(stored(found.join(tested, ["a", "b"], "left_anti"), "pairs"))
+            tested = tested.union(pairs)
+            links = links.union(verified(pairs, marked, nodes, docs))
+            roots = components(links)
 
-    whole = placed(nodes.select("node", "doc"), roots)
-    least = whole.groupBy("root").agg(F.min("doc").alias("component_id"))
-    return marked.select("doc_id", "node").join(whole.join(least, "root").select("node", "component_id"), "node").select("doc_id", "component_id")
+        whole = placed(nodes.select("node", "doc"), roots)
+        least = whole.groupBy("root").agg(F.min("doc").alias("component_id"))
+        copies = marked.select("doc_id", "node").join(whole.join(least, "root").select("node", "component_id"), "node").select("doc_id", "component_id")
+        return keep(stored(copies, "copies"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents without those that another one of their component, with a smaller doc_id, stands for."""
-    found = stored(near_copies(docs), "copies")
-    of_doc = found.groupBy("doc_id").agg(F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("stays"))
+    of_doc = near_copies(docs).groupBy("doc_id").agg(F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("stays"))
     return anti_join(docs, of_doc.where("not stays").select("doc_id"))
