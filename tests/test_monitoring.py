@@ -141,3 +141,22 @@ def test_crowded_cells_are_dealt_out(spark, monkeypatch):
     assert len(rows) == len(near) and {(r["p"], r["c"]) for r in rows} == near and len(near) >= 2400
     tasks = df.groupBy(F.spark_partition_id()).count().collect()
     assert len(tasks) > 20 and max(r["count"] for r in tasks) < 600
+
+
+def test_a_point_is_sent_to_few_tasks_however_many_pairs(spark, monkeypatch):
+    for name, n in (("SIDE", 4), ("BLOCK", 4), ("TASKS", 25)):
+        monkeypatch.setattr(spatial, name, n)
+    p = spark.range(400).select(F.col("id").alias("p"), (F.col("id") % 360 - 180.0).alias("lon"), F.lit(89.9).alias("lat"))
+    c = spark.range(400).select(F.col("id").alias("c"), (F.col("id") % 7 * 50.0 - 180).alias("c_lon"), F.lit(89.9).alias("c_lat"))
+    found = spatial.within_radius(p, c, 40.0).select("p", "c", F.spark_partition_id().alias("task"))
+    assert found.select("p", "c").distinct().count() == found.count() == 160_000
+    copies = [r["count"] for r in found.select("p", "task").distinct().groupBy("p").count().collect()]
+    assert len(copies) == 400 and max(copies) <= 5
+
+
+def test_pairs_of_a_crowded_cell_take_little_room(spark, tmp_path):
+    p = spark.range(2500).select(F.col("id").alias("p"), F.lit(10.0).alias("lon"), (F.lit(89.9) - F.col("id") % 3 / 10).alias("lat"))
+    c = spark.range(0, 2501, 1, 1).select(F.col("id").alias("c"), F.lit(180.0).alias("c_lon"), F.lit(89.9).alias("c_lat"))
+    spatial.within_radius(p, c, 80.0).select("p", "c").write.parquet(f"{tmp_path}/t")
+    assert spark.read.parquet(f"{tmp_path}/t").count() == 2500 * 2501
+    assert sum(x.stat().st_size for x in tmp_path.glob("t/*.parquet")) < 0.5 * 2500 * 2501
